@@ -19,28 +19,26 @@ def versioned_key(natural_key: Column, version: int = 0) -> Column:
 
 def key_bucket(columns: list[str], digits: int = 3) -> Column:
     """Evenly spread bucket name, ``16**digits`` in all, from the row's key text."""
-    text = F.concat_ws("|", *[F.col(name).cast("string") for name in columns])
-    return F.substring(F.md5(text), 1, digits)
+    return F.expr(f"substring(md5(concat_ws('|', {', '.join(columns)})), 1, {digits})")
 
 
 def dense_keys(
     df: DataFrame,
     name: str,
     key: list[str],
-    tie_break: list[str] | None = None,
     after: DataFrame | None = None,
     digits: int = 3,
 ) -> DataFrame:
-    """Prepend gap-free LONG keys 1..n, ordered by (bucket, key, tie_break).
+    """Prepend gap-free LONG keys 1..n, ordered by (bucket, key).
 
     Numbers are drawn per hash bucket and shifted by the row count of the buckets
     before it, so no task sees more than one bucket. The bucket counts are at most
-    ``16**digits`` rows, hence the broadcast. Rows sharing one ``key`` share a
-    bucket: the key must be (nearly) unique. ``after`` continues the numbering of
-    an existing table.
+    ``16**digits`` rows, hence the broadcast. Rows equal in ``key`` share a bucket,
+    so the key must identify a row. ``after`` continues the numbering of an existing
+    table.
     """
     bucketed = df.withColumn("_bucket", key_bucket(key, digits))
-    within = Window.partitionBy("_bucket").orderBy(*key, *(tie_break or []))
+    within = Window.partitionBy("_bucket").orderBy(*key)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

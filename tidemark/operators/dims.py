@@ -50,26 +50,37 @@ def dim_products(products: DataFrame) -> DataFrame:
     )
 
 
-def _absent(rows: DataFrame, existing: DataFrame | None, key: str, current_only: bool) -> DataFrame:
-    if existing is None:
-        return rows
-    known = existing.filter("is_current") if current_only else existing
-    return absent_from(rows, known, [key])
+def _insert_new(
+    rows: DataFrame, existing: DataFrame | None, mode: str, name: str, key: str, as_of: date
+) -> DataFrame:
+    """Open one version for each distinct row whose key the dimension lacks, and number them.
 
+    The bucket for numbering is taken from the whole row: rows are distinct, so the
+    buckets stay even although a key may come with very many rows.
+    """
+    if existing is not None:
+        known = existing.filter("is_current") if mode == "full_outer" else existing
+        rows = absent_from(rows, known, [key])
+    new = rows.distinct().selectExpr(
+        "*",
+        f"DATE'{as_of.isoformat()}' AS effective_date",
+        "CAST(NULL AS DATE) AS end_date",
+        "true AS is_current",
+    )
+    return dense_keys(new, name, rows.columns, after=existing)
 
-def _keyed(rows: DataFrame, existing: DataFrame | None, name: str, key: str) -> DataFrame:
-    """Number new dimension rows after the existing ones; the other columns settle ties."""
-    rest = [c for c in rows.columns if c not in (key, "effective_date", "end_date", "is_current")]
-    return dense_keys(rows, name, [key], rest, after=existing)
 
+def _with_right_only(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both halves of a full outer join: left rows with their match, and unmatched right rows.
 
-def _open_version(rows: DataFrame, as_of: date) -> DataFrame:
-    return rows.select(
-        "*",
-        F.lit(as_of).alias("effective_date"),
-        F.lit(None).cast("date").alias("end_date"),
-        F.lit(True).alias("is_current"),
-    )
+    Unlike one full join, either half can broadcast a small side, and Spark can split
+    a hot key in both.
+    """
+    matched = left.join(right, F.col(left_key) == F.col(right_key), "left")
+    alone = absent_from(right, left.select(F.col(left_key).alias(right_key)), [right_key])
+    return matched, alone
 
 
 def dim_customers(
@@ -80,46 +91,44 @@ def dim_customers(
     existing: DataFrame | None = None,
     mode: str = "union",
 ) -> DataFrame:
-    """New customer rows to insert, CRM values before ERP values, region by city.
+    """New customer rows to insert: CRM rows with their ERP match and the city's region, then
+    ERP customers unknown to CRM.
 
-    ``mode='union'``: CRM rows with their ERP match, then ERP-only rows; skips keys
-    the dimension holds in any version. ``mode='full_outer'``: one full join; skips
-    keys the dimension holds as current.
+    ``mode='union'`` skips keys the dimension holds in any version, ``'full_outer'``
+    those it holds as current.
     """
-    c, e, region = crm.alias("c"), erp.alias("e"), loc.select("city", "region").alias("l")
-    on = F.col("c.cust_id") == F.col("e.customer_code")
-    joined = c.join(e, on, "full_outer" if mode == "full_outer" else "left")
-    merged = joined.join(region, F.col("c.city") == F.col("l.city"), "left").select(
-        F.coalesce("c.cust_id", "e.customer_code").alias("customer_id"),
-        F.coalesce("c.cust_name", "e.customer_full_name").alias("customer_name"),
-        F.coalesce("c.email", "e.contact_email").alias("email"),
-        F.coalesce("c.phone", "e.contact_phone").alias("phone"),
-        "c.full_address",
-        "c.city",
-        "c.state",
-        "c.zip_code",
-        "l.region",
-        "c.customer_type",
-        "e.business_type",
-        "e.credit_limit",
-        "c.registration_date",
-        F.coalesce("c.status", "e.account_status").alias("status"),
+    crm = crm.drop("data_quality_score")
+    regions = loc.select(F.col("city").alias("_city"), "region")
+    matched, alone = _with_right_only(
+        crm, erp.drop("data_quality_score"), "cust_id", "customer_code"
+    )
+    both = matched.join(regions, F.col("city") == F.col("_city"), "left").selectExpr(
+        "cust_id AS customer_id",
+        "coalesce(cust_name, customer_full_name) AS customer_name",
+        "coalesce(email, contact_email) AS email",
+        "coalesce(phone, contact_phone) AS phone",
+        "full_address",
+        "city",
+        "state",
+        "zip_code",
+        "region",
+        "customer_type",
+        "business_type",
+        "credit_limit",
+        "registration_date",
+        "coalesce(status, account_status) AS status",
+    )
+    erp_only = alone.selectExpr(
+        "customer_code AS customer_id",
+        "customer_full_name AS customer_name",
+        "contact_email AS email",
+        "contact_phone AS phone",
+        "business_type",
+        "credit_limit",
+        "account_status AS status",
     )
-    if mode == "union":
-        erp_only = absent_from(
-            erp, crm.select(F.col("cust_id").alias("customer_code")), ["customer_code"]
-        ).select(
-            F.col("customer_code").alias("customer_id"),
-            F.col("customer_full_name").alias("customer_name"),
-            F.col("contact_email").alias("email"),
-            F.col("contact_phone").alias("phone"),
-            "business_type",
-            "credit_limit",
-            F.col("account_status").alias("status"),
-        )
-        merged = merged.unionByName(erp_only, allowMissingColumns=True)
-    new = _absent(merged, existing, "customer_id", current_only=mode == "full_outer").distinct()
-    return _keyed(_open_version(new, as_of), existing, "customer_key", "customer_id")
+    rows = both.unionByName(erp_only, allowMissingColumns=True)
+    return _insert_new(rows, existing, mode, "customer_key", "customer_id", as_of)
 
 
 def dim_products_crm(
@@ -131,39 +140,35 @@ def dim_products_crm(
 ) -> DataFrame:
     """New product rows to insert; modes as in ``dim_customers``.
 
-    The union form fills currency 'VND' and status 'ACTIVE'; the full join leaves NULL.
+    ``'union'`` fills currency 'VND' and status 'ACTIVE', ``'full_outer'`` leaves NULL.
     """
-    p, e = crm.alias("p"), erp.alias("e")
-    on = F.col("p.product_id") == F.col("e.product_code")
-    full = mode == "full_outer"
-    currency, status = F.col("p.currency"), F.col("p.status")
-    if not full:
-        currency = F.coalesce(currency, F.lit("VND"))
-        status = F.coalesce(status, F.lit("ACTIVE"))
-    merged = p.join(e, on, "full_outer" if full else "left").select(
-        F.coalesce("p.product_id", "e.product_code").alias("product_id"),
-        F.coalesce("p.product_name", "e.product_desc").alias("product_name"),
-        "p.description",
-        F.coalesce("p.category", "e.category_name").alias("category"),
-        "e.subcategory",
-        "p.brand",
-        "p.unit_price",
-        "e.unit_cost",
-        currency.alias("currency"),
-        status.alias("status"),
+    currency, status = ("'VND'", "'ACTIVE'") if mode == "union" else ("NULL", "NULL")
+    matched, alone = _with_right_only(
+        crm.drop("data_quality_score"),
+        erp.drop("data_quality_score"),
+        "product_id",
+        "product_code",
+    )
+    both = matched.selectExpr(
+        "product_id",
+        "coalesce(product_name, product_desc) AS product_name",
+        "description",
+        "coalesce(category, category_name) AS category",
+        "subcategory",
+        "brand",
+        "unit_price",
+        "unit_cost",
+        f"coalesce(currency, {currency}) AS currency",
+        f"coalesce(status, {status}) AS status",
+    )
+    erp_only = alone.selectExpr(
+        "product_code AS product_id",
+        "product_desc AS product_name",
+        "category_name AS category",
+        "subcategory",
+        "unit_cost",
+        f"CAST({currency} AS STRING) AS currency",
+        f"CAST({status} AS STRING) AS status",
     )
-    if not full:
-        erp_only = absent_from(
-            erp, crm.select(F.col("product_id").alias("product_code")), ["product_code"]
-        ).select(
-            F.col("product_code").alias("product_id"),
-            F.col("product_desc").alias("product_name"),
-            F.col("category_name").alias("category"),
-            "subcategory",
-            "unit_cost",
-            F.lit("VND").alias("currency"),
-            F.lit("ACTIVE").alias("status"),
-        )
-        merged = merged.unionByName(erp_only, allowMissingColumns=True)
-    new = _absent(merged, existing, "product_id", current_only=full).distinct()
-    return _keyed(_open_version(new, as_of), existing, "product_key", "product_id")
+    rows = both.unionByName(erp_only, allowMissingColumns=True)
+    return _insert_new(rows, existing, mode, "product_key", "product_id", as_of)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,6 @@ from tidemark.plans.crm import AS_OF as CRM_AS_OF
 from tidemark.plans.crm import CLEANERS, Crm
 from tidemark.plans.shop import KEYS, RUN_AT, Shop, recency
 from tidemark.session import new_folder, prepare
-from tidemark.sources.bindings import bind
 from tidemark.sources.bronze import (
     batch_summary,
     incremental,
@@ -160,7 +158,7 @@ def _watermarks(spark: SparkSession, folder: str) -> DataFrame:
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:
     """A start event per run and, but for runs still going, an end event."""
-    runs = bind(spark, folder, "run_log")
+    runs = Shop(spark, folder).source("run_log")
     started = runs.select(
         "log_id",
         "batch_id",
@@ -186,7 +184,7 @@ def run_events(spark: SparkSession, folder: str) -> DataFrame:
 
 query("s8_run_log")(lambda spark, folder: run_log(run_events(spark, folder)))
 _shop("s9_rollback_batch", lambda s: rollback_batch(s.bronze("users"), "B"))
-query("s10_etl_log")(lambda spark, folder: etl_log_report(bind(spark, folder, "etl_log")))
+query("s10_etl_log")(lambda spark, folder: etl_log_report(Shop(spark, folder).source("etl_log")))
 
 
 @query("s11_full_refresh")
@@ -326,7 +324,7 @@ def _second_customer_load(c: Crm, mode: str) -> DataFrame:
     before = dim_customers(
         c.silver("crm_cust_info"), erp.filter(F.lit(False)), c.silver("erp_loc_a101"), CRM_AS_OF
     )
-    return c.dim_customers(mode, existing=before)
+    return c.dim_customers(mode, before)
 
 
 _crm("d9c_dim_customers_second_load", lambda c: _second_customer_load(c, "union"))
@@ -342,7 +340,7 @@ _crm("f3_fact_sales", lambda c: c.fact_sales())
 
 def _second_sales_load(c: Crm) -> DataFrame:
     loaded = c.silver("crm_sales_details").filter(F.col("transaction_date") <= F.lit(WATERMARK))
-    return c.fact_sales(existing=loaded.select("transaction_id"))
+    return c.fact_sales(loaded.select("transaction_id"))
 
 
 _crm("f3b_fact_sales_second_load", _second_sales_load)
@@ -474,7 +472,7 @@ _shop("x5b_dq_totals", lambda s: quality.dq_totals(quality.run_dq(checked_tables
 
 def _alerts(spark: SparkSession, folder: str) -> DataFrame:
     tables = checked_tables(Shop(spark, folder))
-    return observe.run_alerts(tables, bind(spark, folder, "run_log"), OBSERVED_AT)
+    return observe.run_alerts(tables, Shop(spark, folder).source("run_log"), OBSERVED_AT)
 
 
 query("x6_alerts")(_alerts)
@@ -540,7 +538,7 @@ _shop(
     lambda s: observe.watermark_listing(advance_watermarks(*watermark_state(s), RUN_AT)),
 )
 query("x11_success_rate")(
-    lambda spark, folder: observe.success_rate(bind(spark, folder, "run_log"), OBSERVED_AT)
+    lambda spark, folder: observe.success_rate(Shop(spark, folder).source("run_log"), OBSERVED_AT)
 )
 _shop("x12_kpis", lambda s: observe.kpis(_inventory(s)))
 

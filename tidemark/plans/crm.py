@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import cache, partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ from tidemark.operators.silver_crm import (
     clean_erp_loc,
     clean_erp_px,
 )
+from tidemark.plans import once
 from tidemark.sources.bindings import bind
-from tidemark.sources.tables import overwrite
+from tidemark.sources.tables import overwrite, read_table
 
 CLEANERS = {
     "crm_cust_info": clean_crm_cust,
@@ -43,14 +45,18 @@ class Crm:
 
     @classmethod
     def over(cls, spark: SparkSession, folder: str) -> Crm:
-        return cls(spark, lambda name: bind(spark, folder, name))
+        table = cache(partial(read_table, spark, folder))
+        return cls(spark, cache(partial(bind, table)))
 
+    @once
     def silver(self, name: str) -> DataFrame:
         return CLEANERS[name](self.bronze(name))
 
+    @once
     def dim_date(self) -> DataFrame:
         return dim_date(self.spark, style="fiscal")
 
+    @once
     def dim_customers(self, mode: str = "union", existing: DataFrame | None = None) -> DataFrame:
         return dim_customers(
             self.silver("crm_cust_info"),
@@ -61,11 +67,13 @@ class Crm:
             mode,
         )
 
+    @once
     def dim_products(self, mode: str = "union", existing: DataFrame | None = None) -> DataFrame:
         return dim_products_crm(
             self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2"), AS_OF, existing, mode
         )
 
+    @once
     def fact_sales(self, existing: DataFrame | None = None) -> DataFrame:
         return fact_sales(
             self.silver("crm_sales_details"), self.dim_customers(), self.dim_products(), existing

@@ -26,10 +26,11 @@ from tidemark.operators.silver_shop import (
     clean_transactions,
     clean_users,
 )
+from tidemark.plans import once
 from tidemark.schemas import RUN_EVENT, WATERMARK
 from tidemark.sources.bindings import bind
 from tidemark.sources.bronze import drop_batch, incremental, ingest_all, land_batch, read_bronze, to_bronze
-from tidemark.sources.tables import overwrite, stamped
+from tidemark.sources.tables import overwrite, read_table, stamped
 from tidemark.sources.watermarks import advance_watermarks, loaded_marks, read_watermarks
 
 KEYS = {
@@ -65,9 +66,15 @@ class Shop:
     spark: SparkSession
     folder: str
 
+    @once
     def source(self, entity: str) -> DataFrame:
-        return bind(self.spark, self.folder, entity)
+        return bind(self.table, entity)
 
+    @once
+    def table(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.folder, name)
+
+    @once
     def bronze(self, entity: str) -> DataFrame:
         """Two batches: the older one misses every fifth key."""
         rows = self.source(entity)
@@ -76,42 +83,53 @@ class Shop:
             to_bronze(rows, f"public.{entity}", *NEW_BATCH)
         )
 
+    @once
     def users(self, bronze: DataFrame | None = None) -> DataFrame:
         rows = self.bronze("users") if bronze is None else bronze
         return clean_users(rows, NEW_BATCH[0], recency=recency("users"))
 
+    @once
     def products(self) -> DataFrame:
         return clean_products(self.bronze("products"), NEW_BATCH[0], recency=recency("products"))
 
+    @once
     def orders(self) -> DataFrame:
         return clean_orders(self.bronze("orders"), NEW_BATCH[0], recency=recency("orders"))
 
+    @once
     def order_items(self, orders: DataFrame | None = None) -> DataFrame:
         return clean_order_items(
             self.bronze("order_items"), orders, NEW_BATCH[0], recency=recency("order_items")
         )
 
+    @once
     def transactions(self) -> DataFrame:
         return clean_transactions(
             self.bronze("transactions"), NEW_BATCH[0], recency=recency("transactions")
         )
 
+    @once
     def dim_date(self) -> DataFrame:
         return dim_date(self.spark)
 
+    @once
     def dim_users(self) -> DataFrame:
         return dim_users_init(self.users(), AS_OF)
 
+    @once
     def dim_products(self) -> DataFrame:
         return dim_products(self.products())
 
+    @once
     def fact_orders(self) -> DataFrame:
         """The join to orders makes the items' own order check redundant."""
         return fact_orders(self.order_items(), self.orders(), self.dim_users())
 
+    @once
     def fact_transactions(self) -> DataFrame:
         return fact_transactions(self.transactions(), self.dim_users())
 
+    @once
     def user_changes(self) -> DataFrame:
         """SCD2 step: every 25th user is unknown so far, every 15th moved since the first load."""
         bronze = self.bronze("users")
@@ -121,9 +139,11 @@ class Shop:
         second_load = self.users(bronze.withColumn("city", moved))
         return scd2_changes(dim_users_init(first_load, AS_OF), second_load, AS_OF)
 
+    @once
     def dim_users_history(self) -> DataFrame:
         return self.user_changes().drop("_action")
 
+    @once
     def fact_orders_as_of(self) -> DataFrame:
         return fact_orders(self.order_items(), self.orders(), self.dim_users_history(), "as_of")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 LINEAGE = ("_bronze_id", "_ingested_at", "_source_table", "_batch_id")
 
@@ -74,10 +73,8 @@ RUN_EVENT = (
 def conform(df: DataFrame, layout: str) -> DataFrame:
     """Select the layout's columns in order, typed; columns the frame lacks become NULL."""
     present = set(df.columns)
-    fields = [field.split(" ", 1) for field in layout.split(", ")]
-    return df.select(
-        *[
-            (F.col(name) if name in present else F.lit(None)).cast(kind).alias(name)
-            for name, kind in fields
-        ]
-    )
+    columns = []
+    for field in layout.split(", "):
+        name, kind = field.split(" ", 1)
+        columns.append(f"CAST({name if name in present else 'NULL'} AS {kind}) AS {name}")
+    return df.selectExpr(*columns)

@@ -9,10 +9,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tidemark.schemas import CRM_SOURCES, conform
-from tidemark.sources.tables import read_table
 
 _DMY = "CONCAT(SUBSTR(d, 9, 2), '/', SUBSTR(d, 6, 2), '/', SUBSTR(d, 1, 4))"
 _MDY = "CONCAT(SUBSTR(d, 6, 2), '-', SUBSTR(d, 9, 2), '-', SUBSTR(d, 1, 4))"
@@ -151,14 +150,18 @@ FROM {part} WHERE p_partkey % 3 <> 0
 
 CRM_SALES = """
 SELECT CONCAT('TXN', CAST(l_orderkey * 10 + l_linenumber AS STRING)) AS transaction_id,
-  MAX(o_orderdate + INTERVAL 9131 DAY) AS transaction_date,
-  CONCAT('CUST', CAST(MAX(o_custkey) AS STRING)) AS cust_id,
-  CONCAT('PROD', CAST(MAX(l_partkey) AS STRING)) AS product_id, MAX(CAST(l_quantity AS INT)) AS quantity,
-  CAST(MAX(l_extendedprice) AS DECIMAL(18,2)) AS unit_price,
-  CAST(MAX(l_discount) * 100 AS DECIMAL(5,2)) AS discount_pct,
-  CAST(MAX(l_tax) * 100 AS DECIMAL(18,2)) AS tax_amount,
-  CAST(MAX(o_totalprice) AS DECIMAL(18,2)) AS total_amount, MAX(o_orderpriority) AS payment_method
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber
+  o_orderdate + INTERVAL 9131 DAY AS transaction_date,
+  CONCAT('CUST', CAST(o_custkey AS STRING)) AS cust_id,
+  CONCAT('PROD', CAST(l_partkey AS STRING)) AS product_id, l_quantity AS quantity,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS unit_price,
+  CAST(l_discount * 100 AS DECIMAL(5,2)) AS discount_pct,
+  CAST(l_tax * 100 AS DECIMAL(18,2)) AS tax_amount,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, o_orderpriority AS payment_method
+FROM (SELECT l_orderkey, l_linenumber, MAX(l_partkey) AS l_partkey,
+        MAX(CAST(l_quantity AS INT)) AS l_quantity, MAX(l_extendedprice) AS l_extendedprice,
+        MAX(l_discount) AS l_discount, MAX(l_tax) AS l_tax
+      FROM {lineitem} GROUP BY l_orderkey, l_linenumber) l
+JOIN {orders} ON l_orderkey = o_orderkey
 """
 
 CHANGES = """
@@ -213,13 +216,9 @@ def base_tables(view: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", VIEWS[view])))
 
 
-def bind(
-    spark: SparkSession,
-    folder: str,
-    view: str,
-    read: Callable[[SparkSession, str, str], DataFrame] = read_table,
-) -> DataFrame:
-    """The view over the tables in ``folder``; CRM views get their full column layout."""
-    tables = {name: read(spark, folder, name) for name in base_tables(view)}
+def bind(table: Callable[[str], DataFrame], view: str) -> DataFrame:
+    """The view over the tables the callable gives; CRM views get their full column layout."""
+    tables = {name: table(name) for name in base_tables(view)}
+    spark = next(iter(tables.values())).sparkSession
     df = spark.sql(VIEWS[view], **tables)
     return conform(df, CRM_SOURCES[view]) if view in CRM_SOURCES else df
