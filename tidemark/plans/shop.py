@@ -29,7 +29,15 @@ from tidemark.operators.silver_shop import (
 from tidemark.plans import once
 from tidemark.schemas import RUN_EVENT, WATERMARK
 from tidemark.sources.bindings import bind
-from tidemark.sources.bronze import drop_batch, incremental, ingest_all, land_batch, read_bronze, to_bronze
+from tidemark.sources.bronze import (
+    drop_batch,
+    incremental,
+    ingest_all,
+    land_batch,
+    read_bronze,
+    time_column,
+    to_bronze,
+)
 from tidemark.sources.tables import overwrite, read_table, stamped
 from tidemark.sources.watermarks import advance_watermarks, loaded_marks, read_watermarks
 
@@ -231,7 +239,6 @@ def run_incremental(
     lake: str,
     batch_id: str,
     run_at: datetime,
-    ts_candidates: Sequence[str] = ("updated_at", "created_at"),
 ) -> DataFrame:
     """Load what is newer than each table's watermark; returns this run's log events.
 
@@ -247,10 +254,9 @@ def run_incremental(
         entry = (first_id + number, batch_id, table)
         events.append((*entry, "RUNNING", None, None, run_at))
         try:
-            land_batch(incremental(df, marks.get(table), ts_candidates), table, path, batch_id, run_at)
+            land_batch(incremental(df, marks.get(table)), table, path, batch_id, run_at)
             landed = read_bronze(spark, path).filter(F.col("_batch_id") == batch_id)
-            ts = next((c for c in ts_candidates if c in df.columns), None)
-            loaded = loaded_marks({table: landed}, {table: ts})
+            loaded = loaded_marks({table: landed}, {table: time_column(df)})
             advanced = advance_watermarks(
                 state.filter(F.col("table_name") == table), loaded, run_at
             )

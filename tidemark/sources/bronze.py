@@ -101,16 +101,27 @@ def batch_summary(bronze: DataFrame) -> DataFrame:
     )
 
 
+# The columns that may carry a row's change time, best first.
+TIME_COLUMNS = ("updated_at", "created_at")
+
+
+def time_column(df: DataFrame, candidates: Sequence[str] = TIME_COLUMNS) -> str | None:
+    """The first candidate the source has as a date or time; text dates may be dirty."""
+    kinds = dict(df.dtypes)
+    timed = (name for name in candidates if kinds.get(name, "").startswith(("timestamp", "date")))
+    return next(timed, None)
+
+
 def incremental(
     df: DataFrame,
     watermark: datetime | Column | None,
-    ts_candidates: Sequence[str] = ("updated_at", "created_at"),
+    ts_candidates: Sequence[str] = TIME_COLUMNS,
 ) -> DataFrame:
-    """Rows newer than the watermark by the first time column present; all rows without either.
+    """Rows newer than the watermark by the source's time column; all rows without either.
 
     A row stamped exactly at the watermark was part of the earlier load.
     """
-    ts = next((name for name in ts_candidates if name in df.columns), None)
+    ts = time_column(df, ts_candidates)
     if ts is None or watermark is None:
         return df
     return df.filter(F.col(ts) > watermark)

@@ -18,9 +18,9 @@ def loaded_marks(loaded: Mapping[str, DataFrame], ts_columns: Mapping[str, str |
     result = None
     for table, df in loaded.items():
         ts = ts_columns.get(table)
-        newest = F.max(ts) if ts else F.max(F.lit(None))
+        time = F.col(ts) if ts else F.lit(None)
         row = df.agg(
-            newest.cast("timestamp_ntz").alias("last_loaded_at"),
+            F.max(time.cast("timestamp_ntz")).alias("last_loaded_at"),
             F.max("_batch_id").alias("last_batch_id"),
             F.count("*").alias("last_row_count"),
         ).select(F.lit(table).alias("table_name"), "*")
