@@ -9,6 +9,7 @@ from tidemark.sources.bronze import (
     incremental,
     ingest_all,
     land_batch,
+    newest_batch,
     read_bronze,
     rollback_batch,
     to_bronze,
@@ -36,7 +37,7 @@ def test_bronze_is_text_and_keeps_null(spark):
 def test_batches_get_distinct_growing_ids(spark, tmp_path):
     path, df = str(tmp_path / "t"), spark.range(1000).repartition(4)
     for batch in ("B1", "B2", "B2", "20240101"):
-        land_batch(df, "public.t", path, batch, datetime(2024, 1, 1))
+        assert land_batch(df, "public.t", path, batch, datetime(2024, 1, 1)) == 1000
     stored = read_bronze(spark, path)
     assert stored.count() == 3000
     assert stored.select("_bronze_id").distinct().count() == 3000
@@ -47,9 +48,11 @@ def test_batches_get_distinct_growing_ids(spark, tmp_path):
 def test_rollback_view_and_partition_drop_agree(spark, tmp_path):
     path = str(tmp_path / "t")
     for batch in ("B1", "B2"):
-        land_batch(spark.range(10), "public.t", path, batch, datetime(2024, 1, 1))
+        land_batch(spark.range(10), "public.t", path, batch, datetime(2024, 1, int(batch[1])))
     assert rollback_batch(read_bronze(spark, path), "B2").count() == 10
-    assert drop_batch(spark, path, "B2")
+    assert newest_batch(spark, path) == "B2"
+    drop_batch(spark, path, "B2")
+    assert newest_batch(spark, path) == "B1"
     spark.catalog.refreshByPath(path)
     assert {r[0] for r in read_bronze(spark, path).select("_batch_id").collect()} == {"B1"}
 

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import exact_avg, ratio_of
+from tidemark.functions.numbers import exact_avg, percentage, ratio_of
 
 
 def _cents(amount: Column) -> Column:
@@ -220,8 +220,9 @@ def quality_buckets(silver: DataFrame, with_pct: bool = False) -> DataFrame:
     )
     columns = ["quality_level", "record_count"]
     if with_pct:
-        total = silver.agg(F.count("*")).scalar()
-        share = F.col("record_count").cast("decimal(20,0)") * 100 / total.cast("decimal(20,0)")
-        buckets = buckets.withColumn("percentage", F.round(share, 2).cast("decimal(5,2)"))
+        # A window over the (at most four) levels, not a second pass over the rows.
+        total = F.sum("record_count").over(Window.partitionBy())
+        share = percentage(F.col("record_count"), total)
+        buckets = buckets.withColumn("percentage", share.cast("decimal(5,2)"))
         columns.append("percentage")
     return buckets.orderBy(F.col("_lowest").desc()).select(*columns)

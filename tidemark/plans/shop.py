@@ -34,6 +34,7 @@ from tidemark.sources.bronze import (
     incremental,
     ingest_all,
     land_batch,
+    newest_batch,
     read_bronze,
     time_column,
     to_bronze,
@@ -184,20 +185,25 @@ def refresh(
     def bronze(entity: str) -> DataFrame:
         return read_bronze(spark, f"{lake}/bronze/{entity}")
 
+    def newest(entity: str) -> str | None:
+        return batch_id or newest_batch(spark, f"{lake}/bronze/{entity}")
+
     def store(layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         marked = stamped(df, f"_{layer}_processed_at", run_at)
         return overwrite(marked, f"{lake}/{layer}/{name}", partition_by).drop(
             f"_{layer}_processed_at"
         )
 
-    users = store("silver", "users", clean_users(bronze("users"), batch_id, mode))
-    products = store("silver", "products", clean_products(bronze("products"), batch_id, mode))
-    orders = store("silver", "orders", clean_orders(bronze("orders"), batch_id, mode))
+    users = store("silver", "users", clean_users(bronze("users"), newest("users"), mode))
+    products = store("silver", "products", clean_products(bronze("products"), newest("products"), mode))
+    orders = store("silver", "orders", clean_orders(bronze("orders"), newest("orders"), mode))
     items = store(
-        "silver", "order_items", clean_order_items(bronze("order_items"), orders, batch_id, mode)
+        "silver",
+        "order_items",
+        clean_order_items(bronze("order_items"), orders, newest("order_items"), mode),
     )
     payments = store(
-        "silver", "transactions", clean_transactions(bronze("transactions"), batch_id, mode)
+        "silver", "transactions", clean_transactions(bronze("transactions"), newest("transactions"), mode)
     )
 
     store("gold", "dim_date", dim_date(spark))
@@ -254,13 +260,12 @@ def run_incremental(
         entry = (first_id + number, batch_id, table)
         events.append((*entry, "RUNNING", None, None, run_at))
         try:
-            land_batch(incremental(df, marks.get(table)), table, path, batch_id, run_at)
+            rows = land_batch(incremental(df, marks.get(table)), table, path, batch_id, run_at)
             landed = read_bronze(spark, path).filter(F.col("_batch_id") == batch_id)
             loaded = loaded_marks({table: landed}, {table: time_column(df)})
             advanced = advance_watermarks(
                 state.filter(F.col("table_name") == table), loaded, run_at
             )
-            rows = loaded.first()["last_row_count"]
             advanced.write.mode("append").parquet(f"{control}/watermarks")
             events.append((*entry, "SUCCESS", rows, None, run_at))
         except Exception as error:  # noqa: BLE001 - any failure must be logged and rolled back

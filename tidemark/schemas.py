@@ -60,6 +60,8 @@ CRM_SOURCES = {
     ),
 }
 
+# Control tables.
+BATCH = "batch_id string, ingested_at timestamp_ntz, row_count bigint, highest_id bigint"
 WATERMARK = (
     "table_name string, last_loaded_at timestamp_ntz, last_batch_id string, last_row_count bigint, "
     "updated_at timestamp_ntz"

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import dense_keys
+from tidemark.schemas import BATCH
 
 
 def to_bronze(df: DataFrame, source: str, batch_id: str, ingested_at: datetime) -> DataFrame:
@@ -52,20 +54,41 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return stored.withColumn("_batch_id", F.col("_batch_id").cast("string"))
 
 
-def highest_bronze_id(spark: SparkSession, path: str, except_batch: str) -> int:
-    """The largest id stored by other batches; 0 for a table not written yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return 0
-    others = rollback_batch(read_bronze(spark, path), except_batch)
-    return others.agg(F.coalesce(F.max("_bronze_id"), F.lit(0))).first()[0]
+def batch_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed batch: id, ingest time, rows and highest ``_bronze_id``.
 
+    Kept in a folder that readers of the table skip, so that neither the next free
+    id nor the newest batch needs a scan of Bronze.
+    """
+    try:
+        return spark.read.schema(BATCH).parquet(f"{path}/_batches/*")
+    except AnalysisException:
+        return spark.createDataFrame([], BATCH)
+
+
+def newest_batch(spark: SparkSession, path: str) -> str | None:
+    """Id of the batch ingested last."""
+    last = batch_catalog(spark, path).agg(F.max_by("batch_id", "ingested_at"))
+    return last.first()[0]
 
-def land_batch(df: DataFrame, source: str, path: str, batch_id: str, ingested_at: datetime) -> None:
-    """Write one batch of a source; running it again replaces what the first attempt wrote."""
-    start = highest_bronze_id(df.sparkSession, path, batch_id)
-    replace_batch(with_bronze_id(to_bronze(df, source, batch_id, ingested_at), start=start), path)
+
+def land_batch(df: DataFrame, source: str, path: str, batch_id: str, ingested_at: datetime) -> int:
+    """Write one batch of a source and return its row count.
+
+    Running it again replaces what the first attempt wrote. The count and the
+    highest id are observed while writing, not read back.
+    """
+    spark = df.sparkSession
+    others = batch_catalog(spark, path).filter(F.col("batch_id") != batch_id)
+    start = others.agg(F.coalesce(F.max("highest_id"), F.lit(0))).first()[0]
+    seen = Observation()
+    rows = with_bronze_id(to_bronze(df, source, batch_id, ingested_at), start=start)
+    top = F.coalesce(F.max("_bronze_id"), F.lit(start))
+    replace_batch(rows.observe(seen, F.count("*").alias("rows"), top.alias("top")), path)
+    entry = [(batch_id, ingested_at, seen.get["rows"], seen.get["top"])]
+    catalog = spark.createDataFrame(entry, BATCH).coalesce(1)
+    catalog.write.mode("overwrite").parquet(f"{path}/_batches/{batch_id}")
+    return seen.get["rows"]
 
 
 def ingest_all(
@@ -132,8 +155,9 @@ def rollback_batch(bronze: DataFrame, batch_id: str) -> DataFrame:
     return bronze.filter(F.col("_batch_id") != batch_id)
 
 
-def drop_batch(spark: SparkSession, path: str, batch_id: str) -> bool:
-    """Remove a batch's partition folder from stored Bronze; no data file is rewritten."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_batch_id={batch_id}")
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.delete(folder, True)
+def drop_batch(spark: SparkSession, path: str, batch_id: str) -> None:
+    """Remove a batch from stored Bronze: its partition folder and its catalog entry."""
+    for name in (f"_batch_id={batch_id}", f"_batches/{batch_id}"):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)

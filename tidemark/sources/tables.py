@@ -45,8 +45,12 @@ def stamped(df: DataFrame, column: str, at: datetime) -> DataFrame:
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full refresh of a stored table, safe to repeat; returns the stored rows.
 
-    ``path`` must not be among the inputs of ``df``: Spark reads lazily.
+    ``path`` must not be among the inputs of ``df``: Spark reads lazily. Rows of a
+    partitioned table are gathered per partition value first, and adaptive execution
+    splits the large ones, so that tasks do not each write a file into every folder.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
