@@ -16,17 +16,17 @@ DATE_FORMATS = (
 )
 
 
-def parse_date(raw: Column, order: str = "declared") -> Column:
-    """Text to DATE; blank, 'N/A' and unparseable text give NULL.
+def parse_date(raw: str, order: str = "declared") -> Column:
+    """Text (a column name or SQL expression) to DATE; blank, 'N/A' and junk give NULL.
 
     ``order='mdy_first'`` reads slashed dates as month/day before day/month.
     """
-    text = F.trim(raw)
+    text = f"trim({raw})"
     formats = DATE_FORMATS if order == "declared" else ("MM/dd/yyyy", *DATE_FORMATS)
-    given = (text != "") & (F.upper(text) != "N/A")
-    return F.when(given, F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats]))
+    tries = ", ".join(f"try_to_date({text}, '{fmt}')" for fmt in formats)
+    return F.expr(f"if({text} = '' OR upper({text}) = 'N/A', NULL, coalesce({tries}))")
 
 
-def date_key(day: Column) -> Column:
-    """DATE to the integer yyyymmdd."""
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+def date_key(day: str) -> Column:
+    """DATE (a column name or SQL expression) to the integer yyyymmdd."""
+    return F.expr(f"year({day}) * 10000 + month({day}) * 100 + day({day})")

@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 
 
-def money(raw: Column) -> Column:
-    return raw.try_cast(MONEY)
+def money(raw: str) -> str:
+    """SQL expression: text as money, NULL when it is not a number."""
+    return f"try_cast({raw} AS {MONEY})"
+
 
+def positive_or_null(amount: str) -> Column:
+    return F.expr(f"if({amount} > 0, {amount}, NULL)")
 
-def percent_of(amount: Column, percent: Column) -> Column:
-    """amount * percent / 100 without a division, so every digit is kept."""
-    return amount * percent * F.lit(Decimal("0.01"))
 
+def percent_of(amount: str, percent: str) -> Column:
+    """``percent`` of the amount as money, rounded half up.
 
-def positive_or_null(amount: Column) -> Column:
-    return F.when(amount > 0, amount)
+    Multiplies by 0.01 where a division would shorten the decimals.
+    """
+    return F.expr(f"CAST(round({amount} * {percent} * 0.01BD, 2) AS {MONEY})")
 
 
 def exact_avg(amount: Column) -> Column:

@@ -1,7 +1,12 @@
-"""Text cleaning expressions."""
+"""Text cleaning expressions.
+
+Arguments are column names or SQL expressions; each result is one parsed expression.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,47 +15,48 @@ from pyspark.sql import functions as F
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\z"
 
 
-def is_valid_email(email: Column) -> Column:
-    return email.rlike(EMAIL_PATTERN)
+def is_valid_email(email: str) -> str:
+    """SQL condition: the text is an e-mail address; NULL for NULL."""
+    return f"rlike({email}, r'{EMAIL_PATTERN}')"
+
+
+def valid_email(email: str) -> Column:
+    """The address itself, or NULL when malformed."""
+    return F.expr(f"if({is_valid_email(email)}, {email}, NULL)")
 
 
-def digits_only(raw: Column) -> Column:
+def digits_only(raw: str) -> Column:
     return F.regexp_replace(raw, "[^0-9]", "")
 
 
-def normalise_phone(raw: Column) -> Column:
+def normalise_phone(raw: str) -> Column:
     """National 10-digit form starting with 0, or NULL."""
-    digits = digits_only(raw)
-    national = F.when(
-        digits.startswith("84") & (F.length(digits) == 11),
-        F.concat(F.lit("0"), F.substring(digits, 3, 9)),
-    ).otherwise(digits)
-    return F.when((F.length(national) == 10) & national.startswith("0"), national)
+    digits = f"regexp_replace({raw}, '[^0-9]', '')"
+    national = f"regexp_replace({digits}, '^84(?=[0-9]{{9}}$)', '0')"
+    return F.expr(f"nullif(regexp_extract({national}, '^0[0-9]{{9}}$', 0), '')")
 
 
-def blank_to_null(raw: Column) -> Column:
-    return F.nullif(F.trim(raw), F.lit(""))
+def blank_to_null(raw: str) -> Column:
+    return F.expr(f"nullif(trim({raw}), '')")
 
 
-def blank_to(raw: Column, default: str) -> Column:
-    return F.coalesce(blank_to_null(raw), F.lit(default))
+def blank_to(raw: str, default: str) -> Column:
+    return F.expr(f"coalesce(nullif(trim({raw}), ''), '{default}')")
 
 
-def parse_bool(raw: Column) -> Column:
-    text = F.lower(raw)
-    return F.when(text.isin("true", "t", "1", "yes"), F.lit(True)).when(
-        text.isin("false", "f", "0", "no"), F.lit(False)
+def parse_bool(raw: str) -> Column:
+    return F.expr(
+        f"CASE WHEN lower({raw}) IN ('true', 't', '1', 'yes') THEN true "
+        f"WHEN lower({raw}) IN ('false', 'f', '0', 'no') THEN false END"
     )
 
 
-def replace_values(value: Column, mapping: dict[str, str]) -> Column:
+def replace_values(value: str, mapping: Mapping[str, str]) -> Column:
     """Exact-match replacement; anything not listed stays as it is."""
-    result = value
-    for wrong, right in mapping.items():
-        result = F.when(value == wrong, F.lit(right)).otherwise(result)
-    return result
+    cases = " ".join(f"WHEN '{wrong}' THEN '{right}'" for wrong, right in mapping.items())
+    return F.expr(f"CASE {value} {cases} ELSE {value} END")
 
 
-def flag(condition: Column) -> Column:
+def flag(condition: str) -> Column:
     """1 where the condition is true, 0 where it is false or unknown."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+    return F.expr(f"if({condition}, 1, 0)")

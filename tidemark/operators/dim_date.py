@@ -24,7 +24,7 @@ def dim_date(
     year = F.year("d")
     leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
     return days.select(
-        date_key(F.col("d")).alias("date_key"),
+        date_key("d").alias("date_key"),
         F.col("d").alias("full_date"),
         (F.weekday("d") + 1).cast("smallint").alias("day_of_week"),
         F.date_format("d", "EEEE").alias("day_name"),
@@ -43,7 +43,7 @@ def dim_date(
 
 def _fiscal(days: DataFrame) -> DataFrame:
     return days.select(
-        date_key(F.col("d")).alias("date_key"),
+        date_key("d").alias("date_key"),
         F.col("d").alias("full_date"),
         F.year("d").alias("year"),
         F.quarter("d").alias("quarter"),

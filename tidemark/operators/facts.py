@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key
-from tidemark.functions.numbers import percent_of
+from tidemark.functions.numbers import MONEY, percent_of
 from tidemark.sources.tables import absent_from
 
 # Demo exchange rates to VND.
@@ -44,23 +44,20 @@ def fact_orders(
         dim_users,
         day,
     )
-    gross = F.col("subtotal_calculated")
-    discount = F.coalesce("discount_pct", F.lit(0).cast("decimal(5,2)"))
+    gross, discount = "subtotal_calculated", "coalesce(discount_pct, 0)"
     return items.join(o, "order_id").select(
         F.col("item_id").alias("order_item_sk"),
         "order_id",
-        date_key(F.col("order_date")).alias("order_date_key"),
+        date_key("order_date").alias("order_date_key"),
         "user_sk",
         F.col("product_id").alias("product_sk"),
         F.col("status").alias("order_status"),
         "shipping_city",
         "quantity",
         "unit_price",
-        gross.alias("gross_amount"),
-        F.round(percent_of(gross, discount), 2).cast("decimal(18,2)").alias("discount_amount"),
-        F.round(percent_of(gross, F.lit(100) - discount), 2)
-        .cast("decimal(18,2)")
-        .alias("net_amount"),
+        F.col(gross).alias("gross_amount"),
+        percent_of(gross, discount).alias("discount_amount"),
+        percent_of(gross, f"(100 - {discount})").alias("net_amount"),
     )
 
 
@@ -78,7 +75,7 @@ def fact_transactions(
     return with_user_sk(usable, dim_users).select(
         F.col("txn_id").alias("txn_sk"),
         "order_id",
-        date_key(F.col("txn_date")).alias("txn_date_key"),
+        date_key("txn_date").alias("txn_date_key"),
         "user_sk",
         "payment_method",
         F.col("status").alias("txn_status"),
@@ -100,20 +97,18 @@ def fact_sales(
         F.col("customer_id").alias("cust_id"), "customer_key"
     )
     products = dim_products.filter("is_current").select("product_id", "product_key")
-    full_price = (F.col("unit_price") * F.col("quantity")).cast("decimal(18,2)")
+    full_price = f"CAST(unit_price * quantity AS {MONEY})"
     return (
         new.join(customers, "cust_id")
         .join(products, "product_id")
         .select(
             "transaction_id",
-            date_key(F.col("transaction_date")).alias("date_key"),
+            date_key("transaction_date").alias("date_key"),
             "customer_key",
             "product_key",
             "quantity",
             "unit_price",
-            F.round(percent_of(full_price, F.col("discount_pct")), 2)
-            .cast("decimal(18,2)")
-            .alias("discount_amount"),
+            percent_of(full_price, "discount_pct").alias("discount_amount"),
             "tax_amount",
             "total_amount",
             "payment_method",

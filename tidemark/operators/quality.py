@@ -36,7 +36,7 @@ def dirty_rows(bronze: DataFrame, kind: str, column: str, n: int | None = 10) ->
     found = {
         "bad_email": ~value.contains("@"),
         "bad_date": ~value.rlike(r"^\d{4}-\d{2}-\d{2}\z"),
-        "negative": money(value) < 0,
+        "negative": F.expr(f"{money(column)} < 0"),
     }[kind]
     rows = bronze.filter(found).select("_batch_id", column)
     return rows if n is None else rows.orderBy("_batch_id", column).limit(n)

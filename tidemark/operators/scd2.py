@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import versioned_key
@@ -29,46 +29,40 @@ def scd2_changes(
     version. A left join lets AQE split a key with very many versions, and the
     check for unseen keys compares against distinct keys only.
     """
-    incoming = source.withColumn("is_active", F.coalesce("is_active", F.lit(False)))
-    s = incoming.select(
-        F.col(key).alias("_key"),
-        *[F.col(name).alias(f"_new_{name}") for name in attributes],
-        F.col("_source_batch_id").alias("_new_batch"),
+    incoming = source.withColumn("is_active", F.expr("coalesce(is_active, false)"))
+    renamed = [f"{name} AS _new_{name}" for name in attributes]
+    s = incoming.selectExpr(f"{key} AS _key", *renamed, "_source_batch_id AS _new_batch")
+    differs = " OR ".join(f"NOT ({name} <=> _new_{name})" for name in attributes)
+    joined = dim.join(s, F.col(key) == F.col("_key"), "left").withColumn(
+        "_changed", F.expr(f"is_current AND _key IS NOT NULL AND ({differs})")
     )
-    changed = F.lit(False)
-    for name in attributes:
-        changed = changed | ~F.col(name).eqNullSafe(F.col(f"_new_{name}"))
-    changed = F.col("is_current") & F.col("_key").isNotNull() & changed
-    joined = dim.join(s, F.col(key) == F.col("_key"), "left").withColumn("_changed", changed)
 
+    today = f"DATE'{as_of.isoformat()}'"
     old = _version(
         dim,
-        effective_to=F.when(F.col("_changed"), F.date_sub(F.lit(as_of), 1)).otherwise(
-            F.col("effective_to")
-        ),
-        is_current=F.col("is_current") & ~F.col("_changed"),
-        _action=F.when(F.col("_changed"), F.lit("closed")).otherwise(F.lit("kept")),
+        effective_to=f"if(_changed, {today} - 1, effective_to)",
+        is_current="is_current AND NOT _changed",
+        _action="if(_changed, 'closed', 'kept')",
     )
     reopened = _version(
         dim,
-        **{surrogate: F.col(surrogate) + 1},
-        **{name: F.col(f"_new_{name}") for name in attributes},
-        effective_from=F.lit(as_of),
-        effective_to=F.lit(None).cast("date"),
-        is_current=F.lit(True),
-        _silver_batch=F.col("_new_batch"),
-        _action=F.lit("reopened"),
+        **{surrogate: f"{surrogate} + 1"},
+        **{name: f"_new_{name}" for name in attributes},
+        effective_from=today,
+        effective_to="CAST(NULL AS DATE)",
+        is_current="true",
+        _silver_batch="_new_batch",
+        _action="'reopened'",
     )
-    versions = F.when(F.col("_changed"), F.array(old, reopened)).otherwise(F.array(old))
-    existing = joined.select(F.inline(versions))
+    existing = joined.selectExpr(f"inline(if(_changed, array({old}, {reopened}), array({old})))")
 
     unseen = absent_from(incoming, dim, [key])
     new = unseen.select(
         versioned_key(F.col(key)).alias(surrogate),
         key,
         *attributes,
-        F.coalesce("created_date", F.lit(as_of)).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
+        F.expr(f"coalesce(created_date, {today})").alias("effective_from"),
+        F.expr("CAST(NULL AS DATE)").alias("effective_to"),
         F.lit(True).alias("is_current"),
         F.col("_source_batch_id").alias("_silver_batch"),
         F.lit("new").alias("_action"),
@@ -76,11 +70,10 @@ def scd2_changes(
     return existing.unionByName(new)
 
 
-def _version(dim: DataFrame, **replaced: Column) -> Column:
+def _version(dim: DataFrame, **replaced: str) -> str:
     """A dimension row as a struct with some columns replaced, ``_action`` last."""
-    return F.struct(
-        *[replaced.get(name, F.col(name)).alias(name) for name in (*dim.columns, "_action")]
-    )
+    columns = (*dim.columns, "_action")
+    return "struct(" + ", ".join(f"{replaced.get(c, c)} AS {c}" for c in columns) + ")"
 
 
 def scd2_upsert(dim: DataFrame, source: DataFrame, as_of: date, **options) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import parse_date
-from tidemark.functions.numbers import money, positive_or_null
+from tidemark.functions.numbers import MONEY, money, positive_or_null
 from tidemark.functions.text import (
     blank_to,
     flag,
@@ -22,6 +22,7 @@ from tidemark.functions.text import (
     normalise_phone,
     parse_bool,
     replace_values,
+    valid_email,
 )
 from tidemark.operators.dedup import keep_best, latest_batch, newest_bronze_row
 
@@ -86,27 +87,25 @@ def clean_users(
     recency: Sequence[Column] | None = None,
     keep_null_keys: bool = False,
 ) -> DataFrame:
-    email = F.lower(F.trim("email"))
-    valid = is_valid_email(email)
     rows = dedup_users(bronze, batch_id, mode, recency, keep_null_keys)
+    email = "lower(trim(email))"
     return rows.select(
-        F.col("user_id").try_cast("int").alias("user_id"),
+        F.expr("try_cast(user_id AS int)").alias("user_id"),
         F.initcap(F.trim("full_name")).alias("full_name"),
-        F.when(valid, email).alias("email"),
-        normalise_phone(F.col("phone")).alias("phone"),
-        blank_to(F.col("city"), "Unknown").alias("city"),
-        blank_to(F.col("country"), "Unknown").alias("country"),
-        parse_date(F.col("created_at")).alias("created_date"),
-        parse_bool(F.col("is_active")).alias("is_active"),
+        valid_email(email).alias("email"),
+        normalise_phone("phone").alias("phone"),
+        blank_to("city", "Unknown").alias("city"),
+        blank_to("country", "Unknown").alias("country"),
+        parse_date("created_at").alias("created_date"),
+        parse_bool("is_active").alias("is_active"),
         F.col("_batch_id").alias("_source_batch_id"),
-        flag(~valid).alias("_flag_bad_email"),
+        flag(f"NOT {is_valid_email(email)}").alias("_flag_bad_email"),
         F.col("phone").alias("_raw_phone"),
-    ).select(
-        "user_id", "full_name", "email", "phone", "city", "country", "created_date", "is_active",
-        "_source_batch_id", "_flag_bad_email",
-        flag(F.col("created_date").isNull()).alias("_flag_bad_date"),
-        flag(F.col("phone").isNull() & F.col("_raw_phone").isNotNull()).alias("_flag_bad_phone"),
-    )
+    ).selectExpr(
+        "* EXCEPT (_raw_phone)",
+        "if(created_date IS NULL, 1, 0) AS _flag_bad_date",
+        "if(phone IS NULL AND _raw_phone IS NOT NULL, 1, 0) AS _flag_bad_phone",
+    )
 
 
 def clean_products(
@@ -115,19 +114,18 @@ def clean_products(
     mode: str = "latest_batch",
     recency: Sequence[Column] | None = None,
 ) -> DataFrame:
-    price = money(F.col("unit_price"))
-    stock = F.col("stock_qty").try_cast("int")
+    price = money("unit_price")
     return _rows_per_key(bronze, "product_id", batch_id, mode, recency).select(
         "product_id",
         F.trim("product_name").alias("product_name"),
-        blank_to(F.col("category"), "Uncategorized").alias("category"),
-        blank_to(F.col("subcategory"), "Other").alias("subcategory"),
+        blank_to("category", "Uncategorized").alias("category"),
+        blank_to("subcategory", "Other").alias("subcategory"),
         positive_or_null(price).alias("unit_price"),
-        positive_or_null(money(F.col("cost_price"))).alias("cost_price"),
-        F.greatest(F.coalesce(stock, F.lit(0)), F.lit(0)).alias("stock_qty"),
-        blank_to(F.col("supplier"), "Unknown").alias("supplier"),
+        positive_or_null(money("cost_price")).alias("cost_price"),
+        F.expr("greatest(try_cast(stock_qty AS int), 0)").alias("stock_qty"),
+        blank_to("supplier", "Unknown").alias("supplier"),
         F.col("_batch_id").alias("_source_batch_id"),
-        flag(price <= 0).alias("_flag_negative_price"),
+        flag(f"{price} <= 0").alias("_flag_negative_price"),
     )
 
 
@@ -138,24 +136,25 @@ def clean_orders(
     recency: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Orders with a user; the discount is forced into 0..100 and a missing one is 0."""
-    amount = money(F.col("total_amount"))
-    discount = F.coalesce(F.col("discount").try_cast("decimal(18,6)"), F.lit(0))
-    clamped = F.round(F.least(F.greatest(discount, F.lit(0)), F.lit(100)), 2)
+    amount = money("total_amount")
+    discount = "coalesce(try_cast(discount AS decimal(18,6)), 0)"
     return (
         _rows_per_key(bronze, "order_id", batch_id, mode, recency)
-        .filter(F.col("user_id").isNotNull())
+        .filter("user_id IS NOT NULL")
         .select(
             "order_id",
-            F.col("user_id").try_cast("int").alias("user_id"),
-            parse_date(F.col("order_date")).alias("order_date"),
-            replace_values(F.lower(F.trim("status")), STATUS_TYPOS).alias("status"),
-            blank_to(F.col("shipping_city"), "Unknown").alias("shipping_city"),
+            F.expr("try_cast(user_id AS int)").alias("user_id"),
+            parse_date("order_date").alias("order_date"),
+            replace_values("lower(trim(status))", STATUS_TYPOS).alias("status"),
+            blank_to("shipping_city", "Unknown").alias("shipping_city"),
             positive_or_null(amount).alias("total_amount"),
-            clamped.cast("decimal(5,2)").alias("discount_pct"),
+            F.expr(f"CAST(round(least(greatest({discount}, 0), 100), 2) AS decimal(5,2))").alias(
+                "discount_pct"
+            ),
             F.col("_batch_id").alias("_source_batch_id"),
-            flag(amount <= 0).alias("_flag_negative_amount"),
+            flag(f"{amount} <= 0").alias("_flag_negative_amount"),
         )
-        .withColumn("_flag_bad_date", flag(F.col("order_date").isNull()))
+        .withColumn("_flag_bad_date", flag("order_date IS NULL"))
     )
 
 
@@ -173,19 +172,16 @@ def clean_order_items(
     """
     items = (
         _rows_per_key(bronze, "item_id", batch_id, mode, recency)
-        .filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+        .filter("order_id IS NOT NULL AND product_id IS NOT NULL")
         .select(
             "item_id",
-            F.col("order_id").try_cast("int").alias("order_id"),
-            F.col("product_id").try_cast("int").alias("product_id"),
-            F.greatest(F.col("quantity").try_cast("int"), F.lit(1)).alias("quantity"),
-            F.greatest(money(F.col("unit_price")), F.lit(0)).cast("decimal(18,2)").alias("unit_price"),
+            F.expr("try_cast(order_id AS int)").alias("order_id"),
+            F.expr("try_cast(product_id AS int)").alias("product_id"),
+            F.expr("greatest(try_cast(quantity AS int), 1)").alias("quantity"),
+            F.expr(f"CAST(greatest({money('unit_price')}, 0) AS {MONEY})").alias("unit_price"),
             F.col("_batch_id").alias("_source_batch_id"),
         )
-        .withColumn(
-            "subtotal_calculated",
-            (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"),
-        )
+        .withColumn("subtotal_calculated", F.expr(f"CAST(quantity * unit_price AS {MONEY})"))
     )
     if orders is None:
         return items
@@ -198,44 +194,44 @@ def clean_transactions(
     mode: str = "latest_batch",
     recency: Sequence[Column] | None = None,
 ) -> DataFrame:
-    amount = money(F.col("amount"))
+    amount = money("amount")
     return (
         _rows_per_key(bronze, "txn_id", batch_id, mode, recency)
         .select(
             "txn_id",
-            F.col("order_id").try_cast("int").alias("order_id"),
-            F.col("user_id").try_cast("int").alias("user_id"),
-            parse_date(F.col("txn_date")).alias("txn_date"),
+            F.expr("try_cast(order_id AS int)").alias("order_id"),
+            F.expr("try_cast(user_id AS int)").alias("user_id"),
+            parse_date("txn_date").alias("txn_date"),
             positive_or_null(amount).alias("amount"),
             F.lower(F.trim("payment_method")).alias("payment_method"),
             F.lower(F.trim("status")).alias("status"),
-            replace_values(F.upper(F.trim("currency")), CURRENCY_ALIASES).alias("currency"),
+            replace_values("upper(trim(currency))", CURRENCY_ALIASES).alias("currency"),
             F.col("_batch_id").alias("_source_batch_id"),
-            flag(amount <= 0).alias("_flag_negative_amount"),
+            flag(f"{amount} <= 0").alias("_flag_negative_amount"),
         )
-        .withColumn("_flag_bad_date", flag(F.col("txn_date").isNull()))
+        .withColumn("_flag_bad_date", flag("txn_date IS NULL"))
     )
 
 
 def standardise_dates(df: DataFrame, column: str, order: str = "declared") -> DataFrame:
     """Add ``<column>_parsed`` and ``<column>_bad``; blank or missing input counts as bad."""
     parsed = f"{column}_parsed"
-    return df.withColumn(parsed, parse_date(F.col(column), order)).withColumn(
-        f"{column}_bad", flag(F.col(parsed).isNull())
+    return df.withColumn(parsed, parse_date(column, order)).withColumn(
+        f"{column}_bad", flag(f"{parsed} IS NULL")
     )
 
 
 def validate_emails(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_valid`` (lower-case address or NULL) and ``<column>_bad``; NULL is not bad."""
-    email = F.lower(F.trim(column))
-    return df.withColumn(f"{column}_valid", F.when(is_valid_email(email), email)).withColumn(
-        f"{column}_bad", flag(~is_valid_email(email))
+    email = f"lower(trim({column}))"
+    return df.withColumn(f"{column}_valid", valid_email(email)).withColumn(
+        f"{column}_bad", flag(f"NOT {is_valid_email(email)}")
     )
 
 
 def normalise_phones(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_normal`` and ``<column>_bad``; NULL is not bad."""
     normal = f"{column}_normal"
-    return df.withColumn(normal, normalise_phone(F.col(column))).withColumn(
-        f"{column}_bad", flag(F.col(normal).isNull() & F.col(column).isNotNull())
+    return df.withColumn(normal, normalise_phone(column)).withColumn(
+        f"{column}_bad", flag(f"{normal} IS NULL AND {column} IS NOT NULL")
     )

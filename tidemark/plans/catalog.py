@@ -69,15 +69,15 @@ def rendered(df: DataFrame) -> DataFrame:
     """Plain result types: decimals as doubles, days and times as ISO text."""
     columns = []
     for field in df.schema.fields:
-        value = F.col(field.name)
+        value = f"`{field.name}`"
         if isinstance(field.dataType, T.DecimalType):
-            value = value.cast("double")
+            value = f"CAST({value} AS DOUBLE)"
         elif isinstance(field.dataType, T.DateType):
-            value = value.cast("string")
+            value = f"CAST({value} AS STRING)"
         elif isinstance(field.dataType, T.TimestampType | T.TimestampNTZType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            value = f"date_format({value}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+        columns.append(f"{value} AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -286,7 +286,7 @@ def _dim_date_orders(s: Shop) -> DataFrame:
     """The calendar with the orders placed on each day."""
     per_day = (
         s.source("orders")
-        .groupBy(date_key(F.to_date("created_at")).alias("date_key"))
+        .groupBy(date_key("created_at").alias("date_key"))
         .agg(F.count("*").alias("orders"))
     )
     days = s.dim_date().join(per_day, "date_key", "left")
@@ -297,7 +297,7 @@ def _dim_date_sales(c: Crm) -> DataFrame:
     """The fiscal calendar with the sales of each day."""
     per_day = (
         c.bronze("crm_sales_details")
-        .groupBy(date_key(F.to_date("transaction_date")).alias("date_key"))
+        .groupBy(date_key("transaction_date").alias("date_key"))
         .agg(F.count("*").alias("sales"))
     )
     days = c.dim_date().join(per_day, "date_key", "left")

@@ -15,11 +15,12 @@ from tidemark.schemas import BATCH
 
 def to_bronze(df: DataFrame, source: str, batch_id: str, ingested_at: datetime) -> DataFrame:
     """Every source column as text (NULL stays NULL) behind the three lineage columns."""
-    return df.select(
+    text = df.selectExpr(*[f"CAST(`{name}` AS STRING) AS `{name}`" for name in df.columns])
+    return text.select(
         F.lit(ingested_at).cast("timestamp_ntz").alias("_ingested_at"),
         F.lit(source).alias("_source_table"),
         F.lit(batch_id).alias("_batch_id"),
-        *[F.col(name).cast("string").alias(name) for name in df.columns],
+        "*",
     )
 
 
