@@ -1,15 +1,20 @@
 """The physical plans the operators are meant to get."""
 
 import re
+from datetime import datetime
 
 import pytest
 from conftest import plan_text
+from pyspark.sql import functions as F
 
 from tidemark.operators import marts
-from tidemark.operators.dedup import keep_best
+from tidemark.operators.dedup import keep_best, latest_batch
+from tidemark.operators.facts import fact_orders, with_user_sk
+from tidemark.operators.silver_shop import clean_order_items, clean_orders
 from tidemark.plans.catalog import QUERIES
 from tidemark.plans.shop import Shop, recency
-from tidemark.sources.bronze import incremental, land_batch, read_bronze
+from tidemark.sources.bronze import incremental, land_batch, read_bronze, to_bronze, with_bronze_id
+from tidemark.sources.tables import absent_from
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,10 +32,6 @@ def test_dedup_limits_each_key_before_the_shuffle(shop):
 
 
 def test_known_batch_prunes_partitions(spark, tmp_path):
-    from datetime import datetime
-
-    from tidemark.operators.dedup import latest_batch
-
     path = str(tmp_path / "t")
     for day, batch in ((1, "B1"), (2, "B2")):
         land_batch(spark.range(10), "public.t", path, batch, datetime(2024, 1, day))
@@ -39,8 +40,6 @@ def test_known_batch_prunes_partitions(spark, tmp_path):
 
 
 def test_incremental_filter_reaches_the_scan(spark, shop):
-    from datetime import datetime
-
     plan = plan_text(incremental(shop.table("events"), datetime(2024, 1, 5), ["ts"]))
     assert re.search(r"PushedFilters: \[.*GreaterThan\(ts", plan)
 
@@ -72,34 +71,72 @@ def test_no_products_of_tables(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_skewed_join_is_split(spark, tmp_path):
-    """A user with a third of all orders: adaptive execution splits that partition."""
-    from pyspark.sql import functions as F
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+}
 
-    from tidemark.operators.facts import with_user_sk
 
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
+@pytest.fixture
+def skew_settings(spark):
+    """Skew limits scaled down to test data, broadcasts off."""
+    before = {k: spark.conf.get(k, None) for k in SMALL_SKEW}
+    for k, v in SMALL_SKEW.items():
         spark.conf.set(k, v)
-    try:
-        users = spark.range(5000).select(
-            F.col("id").cast("int").alias("user_id"), (F.col("id") * 10).alias("user_sk"), F.lit(True).alias("is_current")
-        )
-        orders = spark.range(0, 300000, 1, 16).select(
-            F.col("id").alias("order_id"),
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("int").alias("user_id"),
-        )
-        joined = with_user_sk(orders, users)
-        plan = plan_text(joined)
-        assert "skewed" in plan
-        assert joined.filter("user_sk = user_id * 10").count() == 300000
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot(column: str, share_of: int = 3):
+    """A third of the rows get key 7, the others spread over 5000 keys."""
+    return F.when(F.col("id") % share_of == 0, 7).otherwise(F.col("id") % 5000).cast("int").alias(column)
+
+
+def test_hot_user_is_split_in_the_lookup(spark, skew_settings):
+    users = spark.range(5000).selectExpr(
+        "CAST(id AS INT) AS user_id", "id * 10 AS user_sk", "true AS is_current"
+    )
+    orders = spark.range(0, 300000, 1, 16).select(F.col("id").alias("order_id"), hot("user_id"))
+    joined = with_user_sk(orders, users)
+    assert "skew=true" in plan_text(joined)
+    assert joined.filter("user_sk = user_id * 10").count() == 300000
+
+
+def test_hot_order_is_split_in_the_fact(spark, skew_settings):
+    """A third of all items belong to one order, straight from Bronze through both dedups."""
+    at = datetime(2024, 1, 1)
+    items = spark.range(0, 200000, 1, 16).select(
+        F.col("id").alias("item_id"),
+        hot("order_id"),
+        F.lit(1).alias("product_id"),
+        F.lit(2).alias("quantity"),
+        F.lit("1.50").alias("unit_price"),
+    )
+    orders = spark.range(0, 5000, 1, 8).selectExpr(
+        "id AS order_id", "id % 9 AS user_id", "'2024-01-01' AS order_date", "'new' AS status",
+        "'Hue' AS shipping_city", "'5' AS total_amount", "'10' AS discount",
+    )
+    users = spark.range(9).selectExpr("CAST(id AS INT) AS user_id", "id AS user_sk", "true AS is_current")
+
+    def bronze(df):
+        return with_bronze_id(to_bronze(df, "public.t", "A", at))
+
+    fact = fact_orders(
+        clean_order_items(bronze(items), None, "A"), clean_orders(bronze(orders), "A"), users
+    )
+    assert re.search(r"SortMergeJoin\(skew=true\) \[order_id", plan_text(fact))
+    assert fact.filter("net_amount = 2.70").count() == 200000
+
+
+def test_hot_new_key_is_split_in_the_absence_check(spark, skew_settings):
+    source = spark.range(0, 300000, 1, 16).select(hot("k"), F.col("id").alias("v"))
+    target = spark.range(0, 300000, 1, 16).select((hot("k") + 1).alias("k")).filter("k <> 7")
+    absent = absent_from(source, target, ["k"])
+    assert "skew=true" in plan_text(absent)
+    left = {r[0] for r in absent.select("k").distinct().collect()}
+    assert left == {0, 7}
+    assert absent.count() == source.filter("k IN (0, 7)").count()

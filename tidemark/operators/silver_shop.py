@@ -43,17 +43,18 @@ def _rows_per_key(
     mode: str,
     recency: Sequence[Column] | None,
 ) -> DataFrame:
-    """The snapshot with its key typed and made unique.
+    """The snapshot with one row per key, the key typed afterwards.
 
-    The key is typed before the dedup so that later joins on it find the rows
-    partitioned already.
+    Typing the key last makes later joins shuffle anew. That costs a shuffle of the
+    projected columns, and lets adaptive execution split a hot key in those joins:
+    it cannot split a partition that the dedup's window was built on.
     """
     order = list(recency or newest_bronze_row())
     if mode == "latest_per_key":
         rows, order = bronze, [F.col("_ingested_at").desc(), *order]
     else:
         rows = latest_batch(bronze, batch_id)
-    return keep_best(rows.withColumn(key, F.col(key).try_cast("int")), [key], order)
+    return keep_best(rows, [key], order).withColumn(key, F.expr(f"try_cast({key} AS int)"))
 
 
 def dedup_users(

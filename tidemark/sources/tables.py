@@ -63,7 +63,11 @@ def append_new(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Data
 def absent_from(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks.
 
-    Target keys are made distinct first: it reuses the join's own partitioning and
-    shrinks a hot key to one row per map task.
+    Target keys are made distinct first, which shrinks a hot key to one row per map
+    task. The hash beside the key makes the join shuffle anew instead of riding on
+    that aggregation's partitions, which adaptive execution could not split for a
+    hot source key.
     """
-    return source.join(target.select(*key).distinct(), list(key), "left_anti").select(source.columns)
+    known = target.select(*key).distinct().withColumn("_hash", F.xxhash64(*key))
+    hashed = source.withColumn("_hash", F.xxhash64(*key))
+    return hashed.join(known, [*key, "_hash"], "left_anti").select(source.columns)
