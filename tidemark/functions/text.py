@@ -25,10 +25,6 @@ def valid_email(email: str) -> Column:
     return F.expr(f"if({is_valid_email(email)}, {email}, NULL)")
 
 
-def digits_only(raw: str) -> Column:
-    return F.regexp_replace(raw, "[^0-9]", "")
-
-
 def normalise_phone(raw: str) -> Column:
     """National 10-digit form starting with 0, or NULL."""
     digits = f"regexp_replace({raw}, '[^0-9]', '')"
@@ -36,10 +32,6 @@ def normalise_phone(raw: str) -> Column:
     return F.expr(f"nullif(regexp_extract({national}, '^0[0-9]{{9}}$', 0), '')")
 
 
-def blank_to_null(raw: str) -> Column:
-    return F.expr(f"nullif(trim({raw}), '')")
-
-
 def blank_to(raw: str, default: str) -> Column:
     return F.expr(f"coalesce(nullif(trim({raw}), ''), '{default}')")
 

@@ -4,33 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-LINEAGE = ("_bronze_id", "_ingested_at", "_source_table", "_batch_id")
-
-# Shop track, source side. Dates arrive as text because sources hold bad ones.
-SHOP_SOURCES = {
-    "users": (
-        "user_id int, full_name string, email string, phone string, city string, country string, "
-        "created_at string, updated_at timestamp_ntz, is_active string"
-    ),
-    "products": (
-        "product_id int, product_name string, category string, subcategory string, "
-        "unit_price decimal(12,2), cost_price decimal(12,2), stock_qty int, supplier string, "
-        "created_at timestamp_ntz"
-    ),
-    "orders": (
-        "order_id int, user_id int, order_date string, status string, shipping_city string, "
-        "total_amount decimal(14,2), discount decimal(5,2), created_at timestamp_ntz"
-    ),
-    "order_items": (
-        "item_id int, order_id int, product_id int, quantity int, unit_price decimal(12,2), "
-        "subtotal decimal(14,2)"
-    ),
-    "transactions": (
-        "txn_id int, order_id int, user_id int, txn_date string, amount decimal(14,2), "
-        "payment_method string, status string, currency string, created_at timestamp_ntz"
-    ),
-}
-
 # CRM + ERP track, Bronze side.
 CRM_SOURCES = {
     "crm_cust_info": (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -102,17 +103,21 @@ def ingest_all(
     """Full extract of each source into ``folder/<table>``; returns the batch summary.
 
     Each table is its own Spark job; the loop runs over tables, never over rows.
-    A rerun of the batch replaces what its first attempt wrote.
+    A rerun of the batch replaces what its first attempt wrote. The summary reads
+    the batch catalogs, not Bronze.
     """
     summaries = []
     for source, df in sources.items():
         path = f"{folder}/{source.split('.')[-1]}"
         land_batch(df, source, path, batch_id, ingested_at)
-        summaries.append(batch_summary(read_bronze(spark, path)))
-    result = summaries[0]
-    for summary in summaries[1:]:
-        result = result.unionByName(summary)
-    return result.filter(F.col("_batch_id") == batch_id)
+        batches = batch_catalog(spark, path).selectExpr(
+            f"'{source}' AS _source_table",
+            "batch_id AS _batch_id",
+            "row_count AS batch_rows",
+            "sum(row_count) OVER () AS total_rows",
+        )
+        summaries.append(batches.filter(F.col("_batch_id") == batch_id))
+    return reduce(DataFrame.unionByName, summaries)
 
 
 def batch_summary(bronze: DataFrame) -> DataFrame:
