@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,12 +35,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by the cluster.
+    """The folder all executors see, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a session without the setting (tests) falls back to a local folder.
+    Only a local session may leave it unset (tests): its one machine is the whole
+    cluster, so a local folder is shared. Anywhere else that is an error, as each
+    executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
