@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding, simhash
+from tidemark.llm import exact_dedup, sharding, simhash, substrings
 from tidemark.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -18,6 +19,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document after repeated passages are removed."""
+    cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    kept = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group and winner of every document."""
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
@@ -30,7 +38,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op6_exact_dedup, op10_simhash)
+    f.__name__: f for f in (
+        op1_sharding,
+        op4_substring_dedup,
+        op6_exact_dedup,
+        op10_simhash,
+    )
 }
 
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.SQL}
