@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding, simhash, substrings
+from tidemark.llm import exact_dedup, packing, sharding, simhash, substrings
 from tidemark.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -19,6 +19,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2,048 ids."""
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document after repeated passages are removed."""
     cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -40,6 +52,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding,
+        op2_packing,
         op4_substring_dedup,
         op6_exact_dedup,
         op10_simhash,
