@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, sharding, simhash, substrings
+from tidemark.llm import exact_dedup, packing, quality_rules, sharding, simhash, substrings
 from tidemark.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -43,6 +43,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.quality(documents(spark, sf_dir), columns=["doc_id"])
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(spark, sf_dir))
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_packing,
         op4_substring_dedup,
         op6_exact_dedup,
+        op9_quality_rules,
         op10_simhash,
     )
 }
