@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, quality_rules, sharding, simhash, substrings
+from tidemark.llm import exact_dedup, lattice, packing, quality_rules, sharding, simhash, substrings
 from tidemark.llm.common import documents
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -38,6 +38,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", kept)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document."""
+    return lattice.score_texts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group and winner of every document."""
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_sharding,
         op2_packing,
         op4_substring_dedup,
+        op5_lm_scoring,
         op6_exact_dedup,
         op9_quality_rules,
         op10_simhash,
