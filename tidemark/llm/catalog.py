@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, lattice, packing, quality_rules, sharding, simhash, substrings
+from tidemark.llm import exact_dedup, lattice, mixing, packing, quality_rules, sharding, simhash, substrings
 from tidemark.llm.common import documents
+from tidemark.sources.tables import read_table
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
+TARGETS = {"good": 0.9, "poor": 0.06, "toxic": 0.04}
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +50,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posteriors, rate and copies of every document."""
+    labels = mixing.domains_of(read_table(spark, sf_dir, "labels"))
+    return mixing.mixing_rates(documents(spark, sf_dir), labels, TARGETS)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.quality(documents(spark, sf_dir), columns=["doc_id"])
@@ -66,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_substring_dedup,
         op5_lm_scoring,
         op6_exact_dedup,
+        op7_mixing,
         op9_quality_rules,
         op10_simhash,
     )
