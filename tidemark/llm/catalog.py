@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, lattice, mixing, packing, quality_rules, sharding, simhash, substrings
+from tidemark.llm import exact_dedup, lattice, mixing, packing, pseudonyms, quality_rules, sharding, simhash, substrings
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
+# A deployment passes its own secret; this one only makes the query reproducible.
+PII_KEY = b"example key of the registered query"
 TARGETS = {"good": 0.9, "poor": 0.06, "toxic": 0.04}
 
 
@@ -56,6 +58,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(documents(spark, sf_dir), labels, TARGETS)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms for private values, and their kinds."""
+    masked = pseudonyms.mask_private(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    kinds = F.transform("pii_spans", lambda x: x["kind"])
+    return masked.select("doc_id", "text", F.size(kinds).alias("n_replaced"), kinds.alias("kinds"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.quality(documents(spark, sf_dir), columns=["doc_id"])
@@ -75,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_lm_scoring,
         op6_exact_dedup,
         op7_mixing,
+        op8_pii,
         op9_quality_rules,
         op10_simhash,
     )
