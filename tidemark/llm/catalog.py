@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, lattice, mixing, packing, pseudonyms, quality_rules, sharding, simhash, substrings
+from tidemark.llm import chat, exact_dedup, lattice, mixing, packing, pseudonyms, quality_rules, sharding, simhash, substrings
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -35,6 +35,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted windows."""
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).selectExpr(
+        "-1L AS conv_id",
+        "id AS turn",
+        "if(id = 0, 'user', 'assistant') AS role",
+        f"'{control}' AS text",
+    )
+    turns = read_table(spark, sf_dir, "conversations").unionByName(extra)
+    whole = chat.read_back(chat.format_conversations(turns))
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document after repeated passages are removed."""
     cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -80,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding,
         op2_packing,
+        op3_chat_formatting,
         op4_substring_dedup,
         op5_lm_scoring,
         op6_exact_dedup,
