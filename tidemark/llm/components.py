@@ -30,6 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         .select(F.col("a").alias("node"), F.least("a", "lowest").alias("label")),
         "labels",
     )
+    if edges.isEmpty():
+        return labels
     while True:
         offered = (
             edges.join(labels.select(F.col("node").alias("b"), "label"), "b")

@@ -306,10 +306,13 @@ class Model:
         return np.stack(rows[1:], axis=1)
 
     def _level(self, k: int, counts: np.ndarray, below: np.ndarray) -> np.ndarray:
-        if not self.tokens[k]:
-            return below + np.log10(0.5)
-        spread = below + np.log10(self.discount * self.distinct[k] / self.tokens[k])
-        own = np.maximum(counts - self.discount, 0) / self.tokens[k]
+        # The end is neither discounted nor spelled; all components together know words only.
+        words = self.distinct[k] - (self.texts[k] > 0)
+        tokens = self.tokens[k] - (0 if k else self.texts[0])
+        if not tokens or not words:
+            return below + (np.log10(0.5) if k else 0)
+        spread = below + np.log10(self.discount * words / tokens)
+        own = np.maximum(counts - self.discount, 0) / tokens
         return np.where(counts > 0, np.log10(np.maximum(own, 1e-300) + 10**spread), spread)
 
     def mixed(self, sums: np.ndarray) -> float:
@@ -401,6 +404,12 @@ def _components(source: DataFrame, language: str | None, most: int) -> list[str]
     return [row["language"] for row in rows]
 
 
+RESULT = (
+    "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+    "base_score double, score double"
+)
+
+
 def score_texts(
     docs: DataFrame,
     vocabulary_path: str,
@@ -430,6 +439,10 @@ def score_texts(
         F.xxhash64(known, f"`{text}`").alias("_hash"),
         (F.col(f"`{language}`") if language else F.lit(None)).cast("string").alias("language"),
     )
+    kind = source.schema["doc_id"].dataType.simpleString()
+    result = f"doc_id {kind}, {RESULT}"
+    if source.isEmpty():
+        return docs.sparkSession.createDataFrame([], result)
     names = _components(source, language, most_components)
     place = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("language")) if names else None
     component = F.coalesce(place, F.lit(0)).cast("int") if names else F.lit(0)
@@ -487,13 +500,8 @@ def score_texts(
     ).repartition("block")
     asked = dealt.groupBy("block").applyInArrow(_requests, "block bigint, slot int, word binary")
     answers = asked.join(scored, "word").select("block", "slot", "counts", "log10_p")
-    kind = source.schema["doc_id"].dataType.simpleString()
     return (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(
-            _texts(model),
-            f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
-            "train_tokens bigint, base_score double, score double",
-        )
+        .applyInArrow(_texts(model), result)
     )

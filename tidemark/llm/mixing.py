@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import NOT_SPACE, stored, text_of
+from tidemark.session import new_folder
 
 FEATURES = 1 << 14
 SAMPLE = 20_000  # labelled documents the classifier is fitted on, at most
@@ -85,7 +86,10 @@ def fit_classifier(
         rawPredictionCol="_raw",
         predictionCol="_best",
     )
-    return classifier.fit(training)
+    # A model read back holds no reference to the session, which tasks could not carry.
+    path = new_folder(docs.sparkSession, "classifier")
+    classifier.fit(training).write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def _posteriors(df: DataFrame, text: Column, mix: Mix) -> DataFrame:
