@@ -25,7 +25,8 @@ WINDOW = 50
 PERIOD = 31
 # A perfect difference set modulo 31.
 COVER = (1, 5, 11, 24, 25, 27)
-LAST_ID = (1 << 63) - 1  # stands for a null id
+NULL_IDS = 1 << 31  # places after all ids, for rows without one
+FIRST_NULL = (1 << 63) - NULL_IDS
 CHUNK = 1 << 20  # bytes hashed at once
 # Odd multipliers of the polynomial hashes and of the final mixing.
 BYTE_BASE, WORD_BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
@@ -111,13 +112,10 @@ def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _anchors(length: int):
-    """Rows (hash, id, place, settled): one for each hash of a batch, and shared places found there.
+    """Rows (hash, id, at, settled): one for each hash and document of a batch that has to ask.
 
-    ``place`` holds the text's mark and the word position. A hash that two documents
-    of the batch have is settled for all; its smallest and largest id still tell other
-    batches of it.
-A hash that two documents
-    of the batch have is settled for both; one row still tells other batches of it.
+    A hash that two documents of the batch have is settled for all of them; its
+    smallest and largest id still tell other batches of it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,40 +133,36 @@ A hash that two documents
             hashes, text, at = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(hashes):
                 continue
-            owner = ids[text]
-            order = np.lexsort((at, marks[text], owner, hashes))
-            hashes, owner, at = hashes[order], owner[order], at[order]
-            place = (marks[text[order]] << 32) | at
+            order = np.lexsort((at, marks[text], ids[text], hashes))
+            hashes, text, at = hashes[order], text[order], at[order].astype(np.int32)
+            owner, mark = ids[text], marks[text]
             new = np.append(True, hashes[1:] != hashes[:-1])
-            # A text's further places of a hash are found again from its first one.
-            text_of = place >> 32
-            once = new | np.append(True, (text_of[1:] != text_of[:-1]) | (owner[1:] != owner[:-1]))
+            # A text's further places of a hash are found again from its first one, and
+            # equal texts of one id are told once.
+            once = new | np.append(True, (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1]))
             starts = np.flatnonzero(new)
             low = owner[starts][runs(new)]
             high = owner[np.append(starts[1:], len(hashes)) - 1][runs(new)]
-            shared = low != high
             asks = once & ((owner == low) | (owner == high))
-            yield _rows(hashes[asks], owner[asks], place[asks], False)
-            told = once & shared
-            yield _rows(mixed(place[told].astype(np.uint64)), owner[told], place[told], True)
+            yield _rows(hashes[asks], owner[asks], False, at=at[asks])
+            told = once & (low != high)
+            yield _rows(spread(hashes[told], owner[told]), owner[told], True, at=at[told])
 
     return run
 
 
-def _rows(hashes, owner, place, settled: bool, check=None, span=None) -> pa.RecordBatch:
-    columns = {
-        "hash": hashes.view(np.int64),
-        "id": owner,
-        "place": place,
-        "settled": np.full(len(place), settled),
-    }
-    if check is not None:
-        columns |= {"check": check.view(np.int64), "span": span}
-    return pa.RecordBatch.from_pydict(columns)
+def spread(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """A key for rows that need no partner, different for each document."""
+    return mixed(hashes ^ mixed(owner.astype(np.uint64)))
+
 
+def _rows(hashes: np.ndarray, owner: np.ndarray, settled: bool, **more) -> pa.RecordBatch:
+    columns = {"hash": hashes.view(np.int64), "id": owner, "settled": np.full(len(owner), settled)}
+    return pa.RecordBatch.from_pydict(columns | more)
 
-ANCHOR_ROW = "hash bigint, id bigint, place bigint, settled boolean"
-WINDOW_ROW = f"{ANCHOR_ROW}, check bigint, span int"
+
+ANCHOR_ROW = "hash bigint, id bigint, settled boolean, at int"
+WINDOW_ROW = "hash bigint, id bigint, settled boolean, check bigint"
 RESULTS = (
     "n_words bigint, n_removed bigint, kept_text string, "
     "removed_spans array<struct<first: int, last: int>>"
@@ -177,15 +171,15 @@ RESULT_NAMES = ["n_words", "n_removed", "kept_text", "removed_spans"]
 
 
 def _windows(length: int, anchor: int):
-    """Full windows around shared anchors: one row for each hash and text that still has to ask.
+    """Full windows around shared anchors: one row for each of them that still has to ask.
 
-    A window that a smaller document of the batch has too is settled; such windows are
-    told as runs of positions.
+    A window that a smaller document of the batch has too is settled: ``check`` then
+    holds its hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = _numbers(batch, "id"), _numbers(batch, "mark")
+            ids = _numbers(batch, "id")
             places = batch.column("places")
             flat, ends = places.flatten().to_numpy(), np.cumsum(places.value_lengths().to_numpy())
             found = []
@@ -194,16 +188,17 @@ def _windows(length: int, anchor: int):
                 text, at, left = positions(first)
                 to = start + len(offsets) - 1
                 low = ends[start - 1] if start else 0
-                told = flat[low : ends[to - 1]]
-                counts = np.diff(np.append(low, ends[start:to]))
-                owner_text = np.repeat(np.arange(to - start), counts)
-                index = first[owner_text] + told
+                told_text = np.repeat(np.arange(to - start), np.diff(np.append(low, ends[start:to])))
                 short = window_hashes(words, anchor, WORD_BASE)
+                # Texts that share an id share its places, which may lie beyond a text's end.
+                index = first[told_text] + flat[low : ends[to - 1]]
+                inside = index <= first[told_text + 1] - anchor
+                told_text, index = told_text[inside], index[inside]
                 # Every place of a text whose anchor equals one that is shared.
                 cover = np.flatnonzero(in_cover(at) & (left >= anchor))
-                tag = mixed(text.astype(np.uint64) + np.uint64(1))
-                known = np.unique(short[index] ^ tag[index])
-                hit = cover[np.isin(short[cover] ^ tag[cover], known)]
+                tag = mixed(np.arange(1, to - start + 1, dtype=np.uint64))
+                known = np.unique(short[index] ^ tag[told_text])
+                hit = cover[np.isin(short[cover] ^ tag[text[cover]], known)]
                 # A window begins at most PERIOD - 1 words before an anchor it holds.
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, np.maximum(hit - (PERIOD - 1), first[text[hit]]), 1)
@@ -211,33 +206,22 @@ def _windows(length: int, anchor: int):
                 chosen = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (left >= length))
                 full = window_hashes(words, length, WORD_BASE)
                 check = window_hashes(words, length, CHECK_BASE)
-                found.append((full[chosen], check[chosen], text[chosen] + start, at[chosen]))
+                found.append((full[chosen], check[chosen], ids[text[chosen] + start]))
             if not found:
                 continue
-            full, check, text, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            owner, mark = ids[text], marks[text]
-            order = np.lexsort((at, mark, owner, check, full))
-            full, check, owner, mark, at = (x[order] for x in (full, check, owner, mark, at))
-            place = (mark << 32) | at
+            full, check, owner = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(full):
                 continue
+            order = np.lexsort((owner, check, full))
+            full, check, owner = full[order], check[order], owner[order]
             new = np.append(True, (full[1:] != full[:-1]) | (check[1:] != check[:-1]))
+            once = new | np.append(True, owner[1:] != owner[:-1])
+            yield _rows(full[new], owner[new], False, check=check[new].view(np.int64))
+            # The rows of a window are in order of id: those after its first are settled.
             smallest = owner[np.flatnonzero(new)][runs(new)]
-            mine = owner == smallest
-            once = np.append(True, new[1:] | (owner[1:] != owner[:-1]) | (mark[1:] != mark[:-1]))
-            asks = mine & once
-            ones = np.ones(int(asks.sum()), np.int32)
-            yield _rows(full[asks], owner[asks], place[asks], False, check[asks], ones)
-            owner, place = owner[~mine], place[~mine]
-            order = np.lexsort((place, owner))
-            owner, place = owner[order], place[order]
-            if len(place):
-                fresh = (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1])
-                fresh = np.flatnonzero(np.append(True, fresh))
-                span = np.diff(np.append(fresh, len(place))).astype(np.int32)
-                place, owner = place[fresh], owner[fresh]
-                spread = mixed(place.astype(np.uint64) ^ mixed(owner.astype(np.uint64)))
-                yield _rows(spread, owner, place, True, spread, span)
+            told = once & (owner != smallest)
+            full, owner = full[told], owner[told]
+            yield _rows(spread(full, owner), owner, True, check=full.view(np.int64))
 
     return run
 
@@ -245,26 +229,15 @@ def _windows(length: int, anchor: int):
 def _cut(length: int, columns: list[str]):
     """Words outside the removed windows, joined by one space."""
 
-    def kept(raw: bytes, found) -> tuple[int, int, bytes, list]:
+    def kept(raw: bytes, gone: np.ndarray) -> tuple[int, int, bytes, list]:
         words = raw.split()
-        if not found:
+        if not len(gone) or len(words) < length:
             return len(words), 0, b" ".join(words), []
+        hashed, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        at = np.flatnonzero(np.isin(window_hashes(hashed, length, WORD_BASE), gone))
         edge = np.zeros(len(words) + 1, np.int64)
-        hashed = None
-        for at, span in found:
-            edge[at] += 1
-            edge[min(at + span - 1 + length, len(words))] -= 1
-        if len(words) >= length:
-            # Windows of this text equal to a removed one are removed as well.
-            data = np.frombuffer(raw, np.uint8)
-            hashed, _ = word_hashes(data, np.array([0, len(data)]))
-            full = window_hashes(hashed, length, WORD_BASE)
-            check = window_hashes(hashed, length, CHECK_BASE)
-            both = mixed(full) ^ check
-            gone = np.unique(np.concatenate([both[at : at + span] for at, span in found]))
-            for at in np.flatnonzero(np.isin(both, gone)).tolist():
-                edge[at] += 1
-                edge[at + length] -= 1
+        edge[at] += 1
+        edge[at + length] -= 1
         stay = np.cumsum(edge[:-1]) == 0
         bounds = np.flatnonzero(np.diff(np.concatenate([[True], stay, [True]])))
         spans = [{"first": int(a), "last": int(b) - 1} for a, b in bounds.reshape(-1, 2)]
@@ -273,12 +246,12 @@ def _cut(length: int, columns: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                [(x["at"], x["span"]) for x in spans or ()]
-                for spans in batch.column("removed").to_pylist()
-            ]
+            removed = batch.column("removed")
+            flat = removed.flatten().to_numpy().view(np.uint64)
+            ends = np.cumsum(removed.value_lengths().fill_null(0).to_numpy())
+            gone = np.split(flat, ends[:-1]) if len(ends) else []
             texts = (x.as_buffer().to_pybytes() for x in batch.column("text"))
-            rows = [kept(raw, spans) for raw, spans in zip(texts, found, strict=True)]
+            rows = [kept(raw, own) for raw, own in zip(texts, gone, strict=True)]
             n_words, n_removed, text, spans = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [
@@ -301,22 +274,22 @@ def remove_repeats(
 
     A word goes if one of the ``window``-word windows over it has the same words as a
     window of a document with a smaller id. Windows are judged on the input. Spans are
-    word positions, first to last. Null texts have no words; null ids come after all
-    others and are one document, as are rows that repeat an id, so that these remove
-    nothing from each other. Ids are whole numbers. Input columns with a result's
-    name give way; empty tables give empty results.
+    word positions, first to last. Null texts have no words. Rows that repeat an id are
+    one document, so that they remove nothing from each other. Rows with a null id come
+    after all others, in the order of their texts' hashes. Ids are whole numbers below
+    2^63 - 2^31. Input columns with a result's name give way; empty tables give empty
+    results.
     """
     anchor = window - PERIOD + 1
     if anchor < 1:
         raise ValueError(f"windows need at least {PERIOD} words")
     inner = ["id", "mark", "_text"]
     known = F.col(f"`{doc_id}`").cast("bigint")
-    raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    mark = F.xxhash64(f"`{text}`").bitwiseAND(F.lit(NULL_IDS - 1))
     source = docs.select(
-        F.coalesce(known, F.lit(LAST_ID)).alias("id"),
-        # Tells apart rows that share an id.
-        F.xxhash64(f"`{text}`").bitwiseAND(F.lit(0x7FFFFFFF)).alias("mark"),
-        raw.alias("_text"),
+        F.coalesce(known, F.lit(FIRST_NULL) + mark).alias("id"),
+        mark.alias("mark"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("_text"),
         *[
             F.col(f"`{name}`")
             for name in docs.columns
@@ -325,31 +298,27 @@ def remove_repeats(
     )
     extra = source.columns[len(inner) :]
 
-    asked = source.select("id", "mark", F.col("_text").alias("text"))
     same = Window.partitionBy("hash")
     shared = (
-        asked.mapInArrow(_anchors(anchor), ANCHOR_ROW)
+        source.select("id", "mark", F.col("_text").alias("text"))
+        .mapInArrow(_anchors(anchor), ANCHOR_ROW)
         .withColumn("low", F.min("id").over(same))
         .withColumn("high", F.max("id").over(same))
         .filter("settled OR low < high")
     )
-    places = shared.groupBy("id", F.shiftright("place", 32).alias("mark")).agg(
-        F.collect_list(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("places")
-    )
-    near = source.select(*inner).join(places, ["id", "mark"])
+    places = shared.groupBy("id").agg(F.collect_list("at").alias("places"))
     same = Window.partitionBy("hash", "check")
     gone = (
-        near.select("id", "mark", F.col("_text").alias("text"), "places")
+        source.select("id", F.col("_text").alias("text"))
+        .join(places, "id")
         .mapInArrow(_windows(window, anchor), WINDOW_ROW)
         .withColumn("low", F.min("id").over(same))
         .filter("settled OR low < id")
     )
-    at = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at")
-    removed = gone.groupBy("id", F.shiftright("place", 32).alias("mark")).agg(
-        F.collect_list(F.struct(at, "span")).alias("removed")
-    )
-    joined = source.join(removed, ["id", "mark"], "left").select(
-        F.expr(f"nullif(id, {LAST_ID})").alias(doc_id),
+    hashes = F.when(F.col("settled"), F.col("check")).otherwise(F.col("hash"))
+    removed = gone.groupBy("id").agg(F.collect_list(hashes).alias("removed"))
+    joined = source.join(removed, "id", "left").select(
+        F.when(F.col("id") < FIRST_NULL, F.col("id")).alias(doc_id),
         *[F.col(f"`{name}`") for name in extra],
         F.col("_text").alias("text"),
         "removed",
