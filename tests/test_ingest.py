@@ -37,7 +37,7 @@ def test_bronze_is_text_and_keeps_null(spark):
 def test_batches_get_distinct_growing_ids(spark, tmp_path):
     path, df = str(tmp_path / "t"), spark.range(1000).repartition(4)
     for batch in ("B1", "B2", "B2", "20240101"):
-        assert land_batch(df, "public.t", path, batch, datetime(2024, 1, 1)) == 1000
+        assert land_batch(df, "public.t", path, batch, datetime(2024, 1, 1)).rows == 1000
     stored = read_bronze(spark, path)
     assert stored.count() == 3000
     assert stored.select("_bronze_id").distinct().count() == 3000

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
+def typed_key(raw: str) -> str:
+    """SQL expression: text as a whole-number key of 64 bits, NULL when it is none."""
+    return f"try_cast({raw} AS bigint)"
+
+
 def money(raw: str) -> str:
     """SQL expression: text as money, NULL when it is not a number."""
     return f"try_cast({raw} AS {MONEY})"

@@ -98,7 +98,8 @@ def dim_customers(
     those it holds as current.
     """
     crm = crm.drop("data_quality_score")
-    regions = loc.select(F.col("city").alias("_city"), "region")
+    # Distinct first: a city with many branches must not multiply its customers.
+    regions = loc.select(F.col("city").alias("_city"), "region").distinct()
     matched, alone = _with_right_only(
         crm, erp.drop("data_quality_score"), "cust_id", "customer_code"
     )

@@ -38,9 +38,9 @@ ALERT_RULES = (
 
 
 def _recent(run_log: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
-    return run_log.filter(
-        F.col("started_at") > F.lit(as_of - timedelta(hours=hours)).cast("timestamp_ntz")
-    )
+    started, until = F.col("started_at"), F.lit(as_of).cast("timestamp_ntz")
+    since = F.lit(as_of - timedelta(hours=hours)).cast("timestamp_ntz")
+    return run_log.filter((started > since) & (started <= until))
 
 
 def run_alerts(

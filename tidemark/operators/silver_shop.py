@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import parse_date
-from tidemark.functions.numbers import MONEY, money, positive_or_null
+from tidemark.functions.numbers import MONEY, money, positive_or_null, typed_key
 from tidemark.functions.text import (
     blank_to,
     flag,
@@ -42,10 +42,11 @@ def _rows_per_key(
     batch_id: str | None,
     mode: str,
     recency: Sequence[Column] | None,
+    entity: str,
 ) -> DataFrame:
-    """The snapshot with one row per key, the key typed afterwards.
+    """The snapshot with one row per key; callers type the key in their projection.
 
-    Typing the key last makes later joins shuffle anew. That costs a shuffle of the
+    Typing the key after the dedup makes later joins shuffle anew. That costs a shuffle of the
     projected columns, and lets adaptive execution split a hot key in those joins:
     it cannot split a partition that the dedup's window was built on.
     """
@@ -54,7 +55,33 @@ def _rows_per_key(
         rows, order = bronze, [F.col("_ingested_at").desc(), *order]
     else:
         rows = latest_batch(bronze, batch_id)
-    return keep_best(rows, [key], order).withColumn(key, F.expr(f"try_cast({key} AS int)"))
+    return keep_best(_readable(rows, entity), [key], order)
+
+
+# The key columns of each source, its own key first.
+ENTITY_KEYS = {
+    "users": ("user_id",),
+    "products": ("product_id",),
+    "orders": ("order_id", "user_id"),
+    "order_items": ("item_id", "order_id", "product_id"),
+    "transactions": ("txn_id", "order_id", "user_id"),
+}
+
+
+def _unreadable(entity: str) -> Column:
+    """Whether a row has a key that is there but no whole number."""
+    bad = [f"({k} IS NOT NULL AND {typed_key(k)} IS NULL)" for k in ENTITY_KEYS[entity]]
+    return F.expr(" OR ".join(bad))
+
+
+def rejected_rows(bronze: DataFrame, entity: str) -> DataFrame:
+    """The Bronze rows that Silver leaves out because one of their keys cannot be read."""
+    return bronze.filter(_unreadable(entity))
+
+
+def _readable(rows: DataFrame, entity: str) -> DataFrame:
+    """Rows fit for Silver; the rest is what ``rejected_rows`` returns."""
+    return rows.filter(~_unreadable(entity))
 
 
 def dedup_users(
@@ -70,9 +97,9 @@ def dedup_users(
     """
     order = list(recency or newest_bronze_row())
     if mode == "latest_per_key":
-        rows = _rows_per_key(bronze, "user_id", None, mode, order)
+        rows = _rows_per_key(bronze, "user_id", None, mode, order, "users")
     else:
-        rows = latest_batch(bronze, batch_id)
+        rows = _readable(latest_batch(bronze, batch_id), "users")
     email = F.lower(F.trim("email"))
     key = [email]
     if keep_null_keys:
@@ -91,7 +118,7 @@ def clean_users(
     rows = dedup_users(bronze, batch_id, mode, recency, keep_null_keys)
     email = "lower(trim(email))"
     return rows.select(
-        F.expr("try_cast(user_id AS int)").alias("user_id"),
+        F.expr(typed_key("user_id")).alias("user_id"),
         F.initcap(F.trim("full_name")).alias("full_name"),
         valid_email(email).alias("email"),
         normalise_phone("phone").alias("phone"),
@@ -116,8 +143,8 @@ def clean_products(
     recency: Sequence[Column] | None = None,
 ) -> DataFrame:
     price = money("unit_price")
-    return _rows_per_key(bronze, "product_id", batch_id, mode, recency).select(
-        "product_id",
+    return _rows_per_key(bronze, "product_id", batch_id, mode, recency, "products").select(
+        F.expr(typed_key("product_id")).alias("product_id"),
         F.trim("product_name").alias("product_name"),
         blank_to("category", "Uncategorized").alias("category"),
         blank_to("subcategory", "Other").alias("subcategory"),
@@ -140,11 +167,11 @@ def clean_orders(
     amount = money("total_amount")
     discount = "coalesce(try_cast(discount AS decimal(18,6)), 0)"
     return (
-        _rows_per_key(bronze, "order_id", batch_id, mode, recency)
+        _rows_per_key(bronze, "order_id", batch_id, mode, recency, "orders")
         .filter("user_id IS NOT NULL")
         .select(
-            "order_id",
-            F.expr("try_cast(user_id AS int)").alias("user_id"),
+            F.expr(typed_key("order_id")).alias("order_id"),
+            F.expr(typed_key("user_id")).alias("user_id"),
             parse_date("order_date").alias("order_date"),
             replace_values("lower(trim(status))", STATUS_TYPOS).alias("status"),
             blank_to("shipping_city", "Unknown").alias("shipping_city"),
@@ -172,12 +199,12 @@ def clean_order_items(
     orders anyway, which saves the semi join.
     """
     items = (
-        _rows_per_key(bronze, "item_id", batch_id, mode, recency)
+        _rows_per_key(bronze, "item_id", batch_id, mode, recency, "order_items")
         .filter("order_id IS NOT NULL AND product_id IS NOT NULL")
         .select(
-            "item_id",
-            F.expr("try_cast(order_id AS int)").alias("order_id"),
-            F.expr("try_cast(product_id AS int)").alias("product_id"),
+            F.expr(typed_key("item_id")).alias("item_id"),
+            F.expr(typed_key("order_id")).alias("order_id"),
+            F.expr(typed_key("product_id")).alias("product_id"),
             F.expr("greatest(try_cast(quantity AS int), 1)").alias("quantity"),
             F.expr(f"CAST(greatest({money('unit_price')}, 0) AS {MONEY})").alias("unit_price"),
             F.col("_batch_id").alias("_source_batch_id"),
@@ -197,11 +224,11 @@ def clean_transactions(
 ) -> DataFrame:
     amount = money("amount")
     return (
-        _rows_per_key(bronze, "txn_id", batch_id, mode, recency)
+        _rows_per_key(bronze, "txn_id", batch_id, mode, recency, "transactions")
         .select(
-            "txn_id",
-            F.expr("try_cast(order_id AS int)").alias("order_id"),
-            F.expr("try_cast(user_id AS int)").alias("user_id"),
+            F.expr(typed_key("txn_id")).alias("txn_id"),
+            F.expr(typed_key("order_id")).alias("order_id"),
+            F.expr(typed_key("user_id")).alias("user_id"),
             parse_date("txn_date").alias("txn_date"),
             positive_or_null(amount).alias("amount"),
             F.lower(F.trim("payment_method")).alias("payment_method"),

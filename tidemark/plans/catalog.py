@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,13 @@ from tidemark.operators.silver_shop import (
     clean_users,
     dedup_users,
     normalise_phones,
+    rejected_rows,
     standardise_dates,
     validate_emails,
 )
 from tidemark.plans.crm import AS_OF as CRM_AS_OF
 from tidemark.plans.crm import CLEANERS, Crm
-from tidemark.plans.shop import KEYS, RUN_AT, Shop, recency
+from tidemark.plans.shop import KEYS, RUN_AT, Shop, recency, run_incremental
 from tidemark.session import new_folder, prepare
 from tidemark.sources.bronze import (
     batch_summary,
@@ -62,6 +63,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WATERMARK = datetime(2022, 1, 1)
+WIDE = 1 << 33  # lifts the test keys beyond 32 bits
 OBSERVED_AT = datetime(2024, 1, 31)
 
 
@@ -127,6 +129,25 @@ _shop("s6_incremental_extract", lambda s: incremental(s.source("orders"), WATERM
 _shop("s6b_full_without_time", lambda s: incremental(s.source("order_items"), WATERMARK))
 
 
+@query("s6c_incremental_rerun")
+def _incremental_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """A first batch, then a second one that runs again after the source has grown."""
+    orders, lake = Shop(spark, folder).source("orders"), new_folder(spark, "rerun")
+
+    def until(days: int) -> dict[str, DataFrame]:
+        last = F.lit(WATERMARK + timedelta(days=days))
+        return {"orders": orders.filter(F.col("created_at") <= last)}
+
+    run_incremental(spark, until(0), lake, "00012345", datetime(2024, 1, 1))
+    run_incremental(spark, until(200), lake, "12E45678", datetime(2024, 1, 2))
+    run_incremental(spark, {"orders": orders}, lake, "12E45678", datetime(2024, 1, 2))
+    return (
+        read_bronze(spark, f"{lake}/bronze/orders")
+        .groupBy("_batch_id")
+        .agg(F.count("*").alias("batch_rows"), F.count_distinct("order_id").alias("orders"))
+    )
+
+
 def watermark_state(shop: Shop) -> tuple[DataFrame, DataFrame]:
     """Marks after a first load up to a date, and the marks of the load that follows it."""
     orders, payments = shop.source("orders"), shop.source("transactions")
@@ -237,6 +258,31 @@ _shop(
         recency=recency("order_items"),
     ),
 )
+
+
+def _wide_items(shop: Shop) -> DataFrame:
+    """Items whose own and order keys are beyond 32 bits; every 97th order key is no number."""
+    order = F.col("order_id").cast("bigint")
+    return shop.bronze("order_items").withColumns(
+        {
+            "item_id": (F.col("item_id").cast("bigint") + WIDE).cast("string"),
+            "order_id": F.when(order % 97 == 0, F.concat(F.lit("#"), "order_id")).otherwise(
+                (order + WIDE).cast("string")
+            ),
+        }
+    )
+
+
+_shop(
+    "c7b_wide_keys",
+    lambda s: clean_order_items(_wide_items(s), None, recency=recency("order_items")),
+)
+_shop(
+    "c7c_rejected_items",
+    lambda s: rejected_rows(latest_batch(_wide_items(s)), "order_items").select(
+        "item_id", "order_id", "product_id", "_batch_id"
+    ),
+)
 _shop(
     "c8_clean_transactions",
     lambda s: clean_transactions(s.bronze("transactions"), recency=recency("transactions")),
@@ -329,6 +375,7 @@ def _second_customer_load(c: Crm, mode: str) -> DataFrame:
 
 _crm("d9c_dim_customers_second_load", lambda c: _second_customer_load(c, "union"))
 _shop("d11_history", lambda s: history(s.dim_users_history(), "user_id"))
+_shop("d11b_history_of_one", lambda s: history(s.dim_users_history(), "user_id", 15))
 
 # --- facts ------------------------------------------------------------------------------
 
@@ -617,11 +664,14 @@ query("t5_explode_rows")(
 
 @query("t4_resume")
 def _resume(spark: SparkSession, folder: str) -> DataFrame:
-    """The stream started twice on one checkpoint: the second start adds nothing."""
-    work = new_folder(spark, "resume")
-    for _ in range(2):
-        changes = as_change_events(_events_stream(spark, folder))
-        write_changes(capture(changes), f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    """The stream started twice on one checkpoint, with a second file landed in between."""
+    work, events = new_folder(spark, "resume"), read_table(spark, folder, "events")
+    late = F.col("ts") >= F.lit(datetime(2024, 1, 5))
+    for part in (~late | F.col("ts").isNull(), late):
+        events.filter(part).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/in")
+        changes = capture(as_change_events(stream))
+        write_changes(changes, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{work}/out").drop("timestamp")
 
 

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from datetime import date
 from functools import cache, partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dim_date import dim_date
@@ -23,7 +22,7 @@ from tidemark.operators.silver_crm import (
 )
 from tidemark.plans import once
 from tidemark.sources.bindings import bind
-from tidemark.sources.tables import overwrite, read_table
+from tidemark.sources.tables import if_stored, overwrite, read_table
 
 CLEANERS = {
     "crm_cust_info": clean_crm_cust,
@@ -111,10 +110,7 @@ def run_load(spark: SparkSession, bronze: Mapping[str, DataFrame], lake: str, as
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return if_stored(lambda: spark.read.parquet(path))
 
 
 def _append(df: DataFrame, path: str) -> DataFrame:

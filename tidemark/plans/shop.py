@@ -7,11 +7,10 @@ and the next one reads it back.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +35,17 @@ from tidemark.sources.bronze import (
     land_batch,
     newest_batch,
     read_bronze,
+    snapshot_batch,
     time_column,
     to_bronze,
 )
-from tidemark.sources.tables import overwrite, read_table, stamped
-from tidemark.sources.watermarks import advance_watermarks, loaded_marks, read_watermarks
+from tidemark.sources.tables import if_stored, overwrite, read_table, stamped
+from tidemark.sources.watermarks import (
+    advance_watermarks,
+    loaded_marks,
+    logged_step,
+    read_watermarks,
+)
 
 KEYS = {
     "users": "user_id",
@@ -164,11 +169,20 @@ def run_full(
     batch_id: str,
     ingested_at: datetime,
     as_of: date,
+    clock: Callable[[], datetime] = datetime.now,
+    calendar: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """Full load of all layers under ``lake``; safe to repeat. Returns the batch summary."""
+    """Full load of all layers under ``lake``; safe to repeat. Returns the batch summary.
+
+    It also sets the watermarks that the first incremental load starts from.
+    """
     tables = {f"public.{name}": df for name, df in sources.items()}
     summary = ingest_all(spark, tables, f"{lake}/bronze", batch_id, ingested_at)
-    refresh(spark, lake, ingested_at, as_of, batch_id=batch_id)
+    for name, df in sources.items():
+        landed = read_bronze(spark, f"{lake}/bronze/{name}").filter(F.col("_batch_id") == batch_id)
+        marks = loaded_marks({f"public.{name}": landed}, {f"public.{name}": time_column(df)})
+        _set_mark(spark, lake, marks, clock())
+    refresh(spark, lake, ingested_at, as_of, clock=clock, calendar=calendar)
     return summary
 
 
@@ -177,16 +191,28 @@ def refresh(
     lake: str,
     run_at: datetime,
     as_of: date,
-    batch_id: str | None = None,
-    mode: str = "latest_batch",
+    mode: str | None = None,
+    clock: Callable[[], datetime] = datetime.now,
+    calendar: tuple[date, date] | None = None,
 ) -> None:
-    """Rebuild Silver and Gold from stored Bronze; ``latest_per_key`` after incremental loads."""
+    """Rebuild Silver and Gold from stored Bronze.
+
+    Where the newest batch with rows is a full load it is the snapshot; after
+    incremental loads each key's newest version is taken from all batches. ``mode``
+    forces one of the two. ``calendar`` sets the first and last day of the date
+    dimension. Each layer's start and end are written to the ETL log.
+    """
 
     def bronze(entity: str) -> DataFrame:
         return read_bronze(spark, f"{lake}/bronze/{entity}")
 
-    def newest(entity: str) -> str | None:
-        return batch_id or newest_batch(spark, f"{lake}/bronze/{entity}")
+    def cleaned(clean: Callable[..., DataFrame], entity: str, *more: DataFrame) -> DataFrame:
+        path = f"{lake}/bronze/{entity}"
+        batch = snapshot_batch(spark, path) if mode != "latest_per_key" else None
+        if mode == "latest_batch" and batch is None:
+            batch = newest_batch(spark, path)
+        chosen = "latest_per_key" if batch is None else "latest_batch"
+        return store("silver", entity, clean(bronze(entity), *more, batch, chosen))
 
     def store(layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         marked = stamped(df, f"_{layer}_processed_at", run_at)
@@ -194,29 +220,29 @@ def refresh(
             f"_{layer}_processed_at"
         )
 
-    users = store("silver", "users", clean_users(bronze("users"), newest("users"), mode))
-    products = store("silver", "products", clean_products(bronze("products"), newest("products"), mode))
-    orders = store("silver", "orders", clean_orders(bronze("orders"), newest("orders"), mode))
-    items = store(
-        "silver",
-        "order_items",
-        clean_order_items(bronze("order_items"), orders, newest("order_items"), mode),
-    )
-    payments = store(
-        "silver", "transactions", clean_transactions(bronze("transactions"), newest("transactions"), mode)
-    )
-
-    store("gold", "dim_date", dim_date(spark))
-    store("gold", "dim_products", dim_products(products))
-    people = refresh_dim_users(spark, f"{lake}/gold/dim_users", users, as_of)
-    month = (F.col("order_date_key") / 100).cast("int")
-    store(
-        "gold",
-        "fact_orders",
-        fact_orders(items, orders, people).withColumn("order_month", month),
-        ["order_month"],
-    )
-    store("gold", "fact_transactions", fact_transactions(payments, people))
+    control = f"{lake}/control"
+    with logged_step(spark, control, "load_silver", "SILVER", clock) as step:
+        users = cleaned(clean_users, "users")
+        products = cleaned(clean_products, "products")
+        orders = cleaned(clean_orders, "orders")
+        items = cleaned(clean_order_items, "order_items", orders)
+        payments = cleaned(clean_transactions, "transactions")
+        step.rows = sum(x.count() for x in (users, products, orders, items, payments))
+
+    with logged_step(spark, control, "load_gold", "GOLD", clock) as step:
+        days = {"start": calendar[0], "end": calendar[1]} if calendar else {}
+        store("gold", "dim_date", dim_date(spark, **days))
+        store("gold", "dim_products", dim_products(products))
+        people = refresh_dim_users(spark, f"{lake}/gold/dim_users", users, as_of)
+        month = (F.col("order_date_key") / 100).cast("int")
+        facts = store(
+            "gold",
+            "fact_orders",
+            fact_orders(items, orders, people).withColumn("order_month", month),
+            ["order_month"],
+        )
+        paid = store("gold", "fact_transactions", fact_transactions(payments, people))
+        step.rows = facts.count() + paid.count()
 
 
 def refresh_dim_users(spark: SparkSession, path: str, users: DataFrame, as_of: date) -> DataFrame:
@@ -225,12 +251,13 @@ def refresh_dim_users(spark: SparkSession, path: str, users: DataFrame, as_of: d
     Snapshots are kept per day, so a rerun on the same day starts from the same
     state and the table being read is never the one being written.
     """
-    try:
-        stored = spark.read.parquet(path).withColumn("as_of", F.col("as_of").cast("date"))
-        earlier = stored.filter(F.col("as_of") < F.lit(as_of))
+    last = None
+    stored = if_stored(lambda: spark.read.parquet(path))
+    if stored is not None:
+        earlier = stored.withColumn("as_of", F.col("as_of").cast("date")).filter(
+            F.col("as_of") < F.lit(as_of)
+        )
         last = earlier.agg(F.max("as_of")).first()[0]
-    except AnalysisException:
-        last = None
     if last is None:
         state = dim_users_init(users, as_of)
     else:
@@ -245,43 +272,64 @@ def run_incremental(
     lake: str,
     batch_id: str,
     run_at: datetime,
+    clock: Callable[[], datetime] = datetime.now,
 ) -> DataFrame:
     """Load what is newer than each table's watermark; returns this run's log events.
 
-    A table that fails is rolled back and logged and does not stop the others.
+    A batch may run again, after a crash or to catch up: each table then starts from the
+    mark it had before the batch, so the batch comes out whole. Only a table's newest
+    batch may. A table that fails is logged and does not stop the others; what its
+    batch held from an earlier, confirmed run stays.
     """
-    control = f"{lake}/control"
-    state = _control_table(spark, f"{control}/watermarks", WATERMARK)
-    marks = {row["table_name"]: row["last_loaded_at"] for row in read_watermarks(state).collect()}
-    first_id = int(run_at.timestamp() * 1000) * 1000
+    state = _control_table(spark, f"{lake}/control/watermarks", WATERMARK)
     events = []
+    first_id = int(run_at.replace(tzinfo=timezone.utc).timestamp() * 1000) * 1000
+
+    def log(*event: object) -> None:
+        events.append((*event, clock()))
+        frame = spark.createDataFrame(events[-1:], RUN_EVENT).coalesce(1)
+        frame.write.mode("append").parquet(f"{lake}/control/run_events")
+
     for number, (name, df) in enumerate(sources.items()):
         table, path = f"public.{name}", f"{lake}/bronze/{name}"
         entry = (first_id + number, batch_id, table)
-        events.append((*entry, "RUNNING", None, None, run_at))
+        own = state.filter(F.col("table_name") == table)
+        confirmed = not own.filter(F.col("last_batch_id") == batch_id).isEmpty()
+        log(*entry, "RUNNING", None, None)
         try:
-            rows = land_batch(incremental(df, marks.get(table)), table, path, batch_id, run_at)
-            landed = read_bronze(spark, path).filter(F.col("_batch_id") == batch_id)
-            loaded = loaded_marks({table: landed}, {table: time_column(df)})
-            advanced = advance_watermarks(
-                state.filter(F.col("table_name") == table), loaded, run_at
+            current = read_watermarks(own).first()
+            if confirmed and current["last_batch_id"] != batch_id:
+                raise ValueError(f"{batch_id} is not the newest batch of {table}")
+            before = read_watermarks(own.filter(F.col("last_batch_id") != batch_id)).first()
+            mark = before["last_loaded_at"] if before is not None else None
+            landed = land_batch(incremental(df, mark), table, path, batch_id, run_at)
+            marks = spark.createDataFrame(
+                [(table, landed.newest, batch_id, landed.rows)],
+                "table_name string, last_loaded_at timestamp_ntz, last_batch_id string, last_row_count bigint",
             )
-            advanced.write.mode("append").parquet(f"{control}/watermarks")
-            events.append((*entry, "SUCCESS", rows, None, run_at))
+            _set_mark(spark, lake, marks, clock(), own)
+            log(*entry, "SUCCESS", landed.rows, None)
         except Exception as error:  # noqa: BLE001 - any failure must be logged and rolled back
-            status = "ROLLED_BACK"
-            try:
-                drop_batch(spark, path, batch_id)
-            except Exception:  # noqa: BLE001
-                status = "FAILED"
-            events.append((*entry, status, 0, str(error), run_at))
-    log = spark.createDataFrame(events, RUN_EVENT)
-    log.write.mode("append").parquet(f"{control}/run_events")
-    return log
-
-
-def _control_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+            status = "FAILED"
+            if not confirmed:
+                try:
+                    drop_batch(spark, path, batch_id)
+                    status = "ROLLED_BACK"
+                except Exception:  # noqa: BLE001
+                    status = "FAILED"
+            log(*entry, status, 0, str(error))
+    return spark.createDataFrame(events, RUN_EVENT)
+
+
+def _set_mark(
+    spark: SparkSession, lake: str, marks: DataFrame, at: datetime, state: DataFrame | None = None
+) -> None:
+    """Append a table's next watermark row; a load without rows leaves the old mark."""
+    before = spark.createDataFrame([], WATERMARK) if state is None else read_watermarks(state)
+    advanced = advance_watermarks(before, marks, at)
+    advanced.coalesce(1).write.mode("append").parquet(f"{lake}/control/watermarks")
+
+
+def _control_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    found = if_stored(lambda: spark.read.schema(schema).parquet(path))
+    return spark.createDataFrame([], schema) if found is None else found

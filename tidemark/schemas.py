@@ -34,7 +34,9 @@ CRM_SOURCES = {
 }
 
 # Control tables.
-BATCH = "batch_id string, ingested_at timestamp_ntz, row_count bigint, highest_id bigint"
+BATCH = (
+    "batch_id string, ingested_at timestamp_ntz, row_count bigint, highest_id bigint, is_full boolean"
+)
 WATERMARK = (
     "table_name string, last_loaded_at timestamp_ntz, last_batch_id string, last_row_count bigint, "
     "updated_at timestamp_ntz"
@@ -44,6 +46,11 @@ RUN_EVENT = (
     "error_message string, event_at timestamp_ntz"
 )
 
+ETL_LOG = (
+    "log_id bigint, procedure_name string, layer string, status string, start_time timestamp_ntz, "
+    "end_time timestamp_ntz, rows_processed bigint, error_message string"
+)
+
 
 def conform(df: DataFrame, layout: str) -> DataFrame:
     """Select the layout's columns in order, typed; columns the frame lacks become NULL."""

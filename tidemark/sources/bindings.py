@@ -94,7 +94,8 @@ FROM (SELECT *, CAST(CAST(ts AS DATE) AS STRING) AS d FROM {{events}}) t
 """
 
 CRM_CUST = """
-SELECT CONCAT('CUST', CAST(c_custkey AS STRING), ' ') AS cust_id, c_name AS cust_name,
+SELECT CONCAT(CASE WHEN c_custkey % 10 = 0 THEN 'LEAD' ELSE 'CUST' END, CAST(c_custkey AS STRING), ' ')
+    AS cust_id, c_name AS cust_name,
   CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 23 = 0 THEN 'bad@'
     ELSE CONCAT(REPLACE(c_name, '#', '.'), '@mail.com') END AS email,
   CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CONCAT('09-', LPAD(CAST(c_custkey AS STRING), 8, '0')) END
@@ -105,18 +106,19 @@ SELECT CONCAT('CUST', CAST(c_custkey AS STRING), ' ') AS cust_id, c_name AS cust
   DATE '2020-01-01' + CAST(c_custkey % 1400 AS INT) AS registration_date,
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS customer_type,
   CASE WHEN c_custkey % 16 = 0 THEN NULL ELSE 'BLOCKED' END AS status
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 """
 
 ERP_CUST = """
-SELECT CONCAT('CUST', CAST(c_custkey AS STRING)) AS customer_code, c_name AS customer_full_name,
+SELECT CONCAT(CASE WHEN c_custkey % 3 = 0 THEN 'ACCT' ELSE 'CUST' END, CAST(c_custkey AS STRING))
+    AS customer_code, c_name AS customer_full_name,
   CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CONCAT(REPLACE(c_name, '#', '.'), '@ERP.com') END AS contact_email,
   CASE WHEN c_custkey % 10 < 6 THEN NULL ELSE CONCAT('(08) ', CAST(c_custkey AS STRING)) END
     AS contact_phone,
   CASE WHEN c_custkey % 4 = 0 THEN 'BUSINESS' ELSE 'INDIVIDUAL' END AS business_type,
   CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(18,2)) END AS credit_limit,
   CASE WHEN c_custkey % 18 = 2 THEN 'CLOSED' ELSE NULL END AS account_status
-FROM {customer} WHERE c_custkey % 3 <> 0
+FROM {customer}
 """
 
 ERP_LOC = """
@@ -129,23 +131,25 @@ FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 """
 
 CRM_PRD = """
-SELECT CONCAT('PROD', CAST(p_partkey AS STRING)) AS product_id, CONCAT(' ', p_name) AS product_name,
+SELECT CONCAT(CASE WHEN p_partkey % 10 = 0 AND p_partkey % 50 <> 0 THEN 'ITEM' ELSE 'PROD' END,
+    CAST(p_partkey AS STRING)) AS product_id, CONCAT(' ', p_name) AS product_name,
   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CONCAT(p_type, ' item') END AS description,
   LOWER(p_type) AS category, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS brand,
   CAST(CASE WHEN p_partkey % 50 = 0 THEN -p_retailprice ELSE p_retailprice END AS DECIMAL(18,2))
     AS unit_price,
   CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE 'VND' END AS currency,
   CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 'ACTIVE' END AS status
-FROM {part} WHERE p_partkey % 10 <> 0 OR p_partkey % 50 = 0
+FROM {part}
 """
 
 ERP_PX = """
-SELECT CONCAT('PROD', CAST(p_partkey AS STRING)) AS product_code, p_name AS product_desc,
+SELECT CONCAT(CASE WHEN p_partkey % 3 = 0 THEN 'SKU' ELSE 'PROD' END, CAST(p_partkey AS STRING))
+    AS product_code, p_name AS product_desc,
   CONCAT('CAT', CAST(p_size AS STRING)) AS category_code,
   CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE p_type END AS category_name, p_brand AS subcategory,
   CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST(p_retailprice * 0.6 AS DECIMAL(18,2)) END AS unit_cost,
   p_size AS stock_qty, CASE WHEN p_partkey % 4 = 1 THEN NULL ELSE p_size % 10 END AS reorder_level
-FROM {part} WHERE p_partkey % 3 <> 0
+FROM {part}
 """
 
 CRM_SALES = """

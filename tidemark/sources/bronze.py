@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.keys import dense_keys
 from tidemark.schemas import BATCH
+from tidemark.sources.tables import if_stored
 
 
 def to_bronze(df: DataFrame, source: str, batch_id: str, ingested_at: datetime) -> DataFrame:
@@ -51,9 +53,16 @@ def replace_batch(df: DataFrame, path: str) -> None:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Stored batches; the batch id is pinned to text, or '20240101' would be read as a number."""
-    stored = spark.read.parquet(path)
-    return stored.withColumn("_batch_id", F.col("_batch_id").cast("string"))
+    """Stored batches, the batch id read as the text it is.
+
+    Spark guesses the types of partition folders: ids such as 00012345, 12E45678 or
+    1234567D would become other values, so the id's type is declared before reading.
+    """
+    found = spark.read.parquet(path).schema
+    declared = StructType(
+        [StructField(f.name, StringType()) if f.name == "_batch_id" else f for f in found]
+    )
+    return spark.read.schema(declared).parquet(path)
 
 
 def batch_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -62,35 +71,69 @@ def batch_catalog(spark: SparkSession, path: str) -> DataFrame:
     Kept in a folder that readers of the table skip, so that neither the next free
     id nor the newest batch needs a scan of Bronze.
     """
-    try:
-        return spark.read.schema(BATCH).parquet(f"{path}/_batches/*")
-    except AnalysisException:
-        return spark.createDataFrame([], BATCH)
+    found = if_stored(lambda: spark.read.schema(BATCH).parquet(f"{path}/_batches/*"))
+    return spark.createDataFrame([], BATCH) if found is None else found
 
 
 def newest_batch(spark: SparkSession, path: str) -> str | None:
-    """Id of the batch ingested last."""
-    last = batch_catalog(spark, path).agg(F.max_by("batch_id", "ingested_at"))
-    return last.first()[0]
+    """Id of the batch ingested last that holds rows."""
+    filled = batch_catalog(spark, path).filter("row_count > 0")
+    return filled.agg(F.max_by("batch_id", "ingested_at")).first()[0]
+
+
+def snapshot_batch(spark: SparkSession, path: str) -> str | None:
+    """The newest batch with rows if it is a full load, so that it is a snapshot by itself."""
+    filled = batch_catalog(spark, path).filter("row_count > 0")
+    last = filled.agg(F.max_by(F.struct("batch_id", "is_full"), "ingested_at").alias("b")).first()["b"]
+    return last["batch_id"] if last is not None and last["is_full"] else None
+
 
+@dataclass(frozen=True)
+class Landed:
+    """What a batch holds: rows, and the newest time of its source column, if it has one."""
 
-def land_batch(df: DataFrame, source: str, path: str, batch_id: str, ingested_at: datetime) -> int:
-    """Write one batch of a source and return its row count.
+    rows: int
+    newest: datetime | None
+
+
+def land_batch(
+    df: DataFrame,
+    source: str,
+    path: str,
+    batch_id: str,
+    ingested_at: datetime,
+    is_full: bool = False,
+) -> Landed:
+    """Write one batch of a source.
 
-    Running it again replaces what the first attempt wrote. The count and the
-    highest id are observed while writing, not read back.
+    Running it again replaces what the first attempt wrote; a run without any rows
+    leaves a batch that is there, and its entry, as they are. Count, highest id and
+    newest time are observed while writing, not read back.
     """
     spark = df.sparkSession
-    others = batch_catalog(spark, path).filter(F.col("batch_id") != batch_id)
+    known = batch_catalog(spark, path)
+    others = known.filter(F.col("batch_id") != batch_id)
     start = others.agg(F.coalesce(F.max("highest_id"), F.lit(0))).first()[0]
     seen = Observation()
     rows = with_bronze_id(to_bronze(df, source, batch_id, ingested_at), start=start)
-    top = F.coalesce(F.max("_bronze_id"), F.lit(start))
-    replace_batch(rows.observe(seen, F.count("*").alias("rows"), top.alias("top")), path)
-    entry = [(batch_id, ingested_at, seen.get["rows"], seen.get["top"])]
+    column = time_column(df)
+    # Bronze holds the time as text; the source column's own type is read back from it.
+    time = F.col(column).cast("timestamp_ntz") if column else F.lit(None).cast("timestamp_ntz")
+    measures = {
+        "rows": F.count("*"),
+        "top": F.coalesce(F.max("_bronze_id"), F.lit(start)),
+        "newest": F.max(time),
+    }
+    replace_batch(rows.observe(seen, *[x.alias(name) for name, x in measures.items()]), path)
+    found = seen.get
+    if not found["rows"]:
+        before = known.filter(F.col("batch_id") == batch_id).first()
+        if before is not None and before["row_count"]:
+            return Landed(before["row_count"], None)
+    entry = [(batch_id, ingested_at, found["rows"], found["top"], is_full)]
     catalog = spark.createDataFrame(entry, BATCH).coalesce(1)
     catalog.write.mode("overwrite").parquet(f"{path}/_batches/{batch_id}")
-    return seen.get["rows"]
+    return Landed(found["rows"], found["newest"])
 
 
 def ingest_all(
@@ -109,7 +152,7 @@ def ingest_all(
     summaries = []
     for source, df in sources.items():
         path = f"{folder}/{source.split('.')[-1]}"
-        land_batch(df, source, path, batch_id, ingested_at)
+        land_batch(df, source, path, batch_id, ingested_at, is_full=True)
         batches = batch_catalog(spark, path).selectExpr(
             f"'{source}' AS _source_table",
             "batch_id AS _batch_id",

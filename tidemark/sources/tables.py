@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,16 @@ def read_jdbc(
     return reader.load()
 
 
+def if_stored(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist; any other failure shows."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def stamped(df: DataFrame, column: str, at: datetime) -> DataFrame:
     """Add a layer's processing time; kept out of the operators so that reruns compare equal."""
     return df.withColumn(column, F.lit(at).cast("timestamp_ntz"))
@@ -45,14 +57,48 @@ def stamped(df: DataFrame, column: str, at: datetime) -> DataFrame:
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full refresh of a stored table, safe to repeat; returns the stored rows.
 
-    ``path`` must not be among the inputs of ``df``: Spark reads lazily. Rows of a
+    The new table is written beside the old one, which stays readable until the new one
+    is complete and takes its place by renaming. A failed write changes nothing. Rows of a
     partitioned table are gathered per partition value first, and adaptive execution
     splits the large ones, so that tasks do not each write a file into every folder.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, target = df.sparkSession, path.rstrip("/")
+    parent, _, name = target.rpartition("/")
+    mark = uuid.uuid4().hex[:12]
+    # Names with a leading dot are skipped by readers of the parent folder.
+    fresh, old = f"{parent}/.{name}-{mark}", f"{parent}/.{name}-{mark}-old"
+    try:
+        df.write.partitionBy(*partition_by).parquet(fresh)
+    except Exception:
+        delete_path(spark, fresh)
+        raise
+    had = rename_path(spark, target, old)
+    rename_path(spark, fresh, target)
+    if had:
+        delete_path(spark, old)
+    return spark.read.parquet(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder; False if there is none."""
+    at, files = _file_system(spark, path)
+    if not files.exists(at):
+        return False
+    if not files.rename(at, _file_system(spark, to)[0]):
+        raise OSError(f"cannot rename {path} to {to}")
+    return True
 
 
 def append_new(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.schemas import ETL_LOG
+
 
 def loaded_marks(loaded: Mapping[str, DataFrame], ts_columns: Mapping[str, str | None]) -> DataFrame:
     """One row per table just loaded: newest source time, batch and row count.
@@ -88,6 +93,35 @@ def run_log(events: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Step:
+    """A running step of a load; its caller sets how many rows it processed."""
+
+    rows: int | None = None
+
+
+@contextmanager
+def logged_step(
+    spark: SparkSession, control: str, procedure: str, layer: str, clock: Callable[[], datetime]
+) -> Iterator[Step]:
+    """Write a step to the ETL log: STARTED before it, then COMPLETED, or FAILED and why."""
+    started, step = clock(), Step()
+    log_id = uuid.uuid4().int >> 65
+
+    def write(status: str, ended: datetime | None, error: str | None) -> None:
+        row = (log_id, procedure, layer, status, started, ended, step.rows, error)
+        frame = spark.createDataFrame([row], ETL_LOG).coalesce(1)
+        frame.write.mode("append").parquet(f"{control}/etl_log")
+
+    write("STARTED", None, None)
+    try:
+        yield step
+    except Exception as error:
+        write("FAILED", clock(), str(error))
+        raise
+    write("COMPLETED", clock(), None)
+
+
 def etl_log_report(log: DataFrame) -> DataFrame:
     """Procedure log with whole-second durations, newest first."""
     return log.select(
