@@ -64,11 +64,9 @@ def tokenizer_ids(path: str) -> Callable[[str], bytes]:
         return np.array(ids, "<u4").tobytes()
 
     def learn(words: set[str]) -> None:
-        if len(plain) + len(words) > CACHED:
-            plain.clear()
-            parts.clear()
         pieces = {word: split(word) for word in words}
-        new = list({part for found in pieces.values() for part in found} - parts.keys())
+        # Not a set difference: that would walk through all known parts.
+        new = list({part for found in pieces.values() for part in found if part not in parts})
         if new:
             found = model.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids, word_of = np.array(found.ids, "<u4"), np.array(found.word_ids)
@@ -83,12 +81,14 @@ def tokenizer_ids(path: str) -> Callable[[str], bytes]:
             return encoded(whole.encode(text, add_special_tokens=False).ids)
         if not PLAIN.search(text):
             words = text.lower().split()
+            if len(plain) > CACHED:
+                plain.clear()
+                parts.clear()
             try:
                 return b"".join([plain[word] for word in words])
             except KeyError:
-                learn(set(words) - plain.keys())
-                if not words or all(word in plain for word in words):
-                    return b"".join([plain[word] for word in words])
+                learn({word for word in words if word not in plain})
+                return b"".join([plain[word] for word in words])
         words = re.split(r"[\t-\r ]+", text)
         if len(other) > CACHED:
             other.clear()
