@@ -35,7 +35,7 @@ SPACE = b" "  # the same in this module: no word holds it
 ROUNDS = 2  # of expectation maximisation
 PRIOR = 0.01  # added to each piece's expected count
 COMPONENTS = 16  # most languages told apart; the rest share one more component
-BLOCK_BYTES = 2 << 20  # text of documents scored together
+BLOCK_BYTES = 8 << 20  # text of documents scored together
 CELLS = 1 << 20  # lattice edges handled at once
 HASH_BASE = 0x9E3779B97F4A7C15  # odd
 
