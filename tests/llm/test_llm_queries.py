@@ -46,7 +46,11 @@ def test_scoring_query(spark, rows):
 
 def test_exact_query_against_its_sql_and_by_hand(spark, rows):
     check_exact(rows, corpus.collected(run(spark, "op6_exact_dedup")))
-    assert check.compare(spark, check.database(SF), SF, "op6_exact_dedup") is None
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
+def test_queries_against_their_sql(spark, name):
+    assert check.compare(spark, check.database(SF), SF, name) is None
 
 
 def test_quality_query(spark, rows):

@@ -112,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL = {"op6_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL = {
+    "op1_sharding": sharding.checking_sql(SHARDS),
+    "op6_exact_dedup": exact_dedup.SQL,
+}

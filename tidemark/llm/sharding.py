@@ -89,3 +89,16 @@ def assign_shards(
     return keyed.join(F.broadcast(table), "slot").select(
         *[f"`{name}`" for name in keyed.columns], "shard"
     )
+
+
+def checking_sql(shards: Sequence[str], slots: int = SLOTS) -> str:
+    """The placement of ``documents`` as DuckDB SQL; the table goes in as a list.
+
+    Filling the table takes one step per slot, which tests compare with its definition.
+    """
+    owners = ", ".join(f"'{shards[i]}'" for i in lookup_table(shards, slots))
+    return f"""
+    WITH slots AS (
+      SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {HEX_DIGITS})
+        AS BIGINT) % {slots} AS slot FROM documents)
+    SELECT doc_id, slot, (SELECT [{owners}])[slot + 1] AS shard FROM slots"""
