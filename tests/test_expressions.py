@@ -23,6 +23,14 @@ def test_parse_date(spark, order, slashed):
     assert evaluate(spark, texts, parse_date("v", order)) == [good] * 6 + [slashed] + [None] * 7
 
 
+def test_parse_times_and_single_digits(spark):
+    texts = [
+        "2024-03-05 10:00:00", "2024-03-05T23:59:59.123", "2024-3-5", "5/3/2024", "5 Mar 2024",
+        "2024-03-05 junk", "2024-03", "2024", "2024-03-05 10:00:00 and more",
+    ]
+    assert evaluate(spark, texts, parse_date("v")) == [date(2024, 3, 5)] * 5 + [None] * 4
+
+
 def test_date_key(spark):
     assert evaluate(spark, [date(2024, 3, 5), None], date_key("v"), "date") == [20240305, None]
 

@@ -291,6 +291,18 @@ _shop(
     "c9_standardise_dates",
     lambda s: standardise_dates(s.source("orders").select("order_id", "order_date"), "order_date"),
 )
+
+
+def _timed_dates(shop: Shop) -> DataFrame:
+    """Every order's creation time in one of five shapes with a time or single digits."""
+    made, shapes = F.col("created_at"), ("yyyy-MM-dd HH:mm:ss", "yyyy-M-d", "d/M/yyyy", "d MMM yyyy")
+    texts = [F.date_format(made, shape) for shape in shapes]
+    texts.append(F.concat(F.date_format(made, "yyyy-MM-dd"), F.lit("T10:30")))
+    chosen = F.get(F.array(*texts), (F.col("order_id") % len(texts)).cast("int"))
+    return shop.source("orders").select("order_id", chosen.alias("made"))
+
+
+_shop("c9b_timed_dates", lambda s: standardise_dates(_timed_dates(s), "made"))
 _shop(
     "c10_validate_emails",
     lambda s: validate_emails(s.source("users").select("user_id", "email"), "email"),
