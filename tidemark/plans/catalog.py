@@ -566,6 +566,43 @@ def _constraints(s: Shop) -> DataFrame:
 _shop("x7_constraints", _constraints)
 
 
+def _crm_constraints(c: Crm) -> DataFrame:
+    """The CRM track's declared constraints, as counts of violating rows."""
+    keys = {
+        "crm_cust_info": "cust_id",
+        "crm_prd_info": "product_id",
+        "crm_sales_details": "transaction_id",
+        "erp_cust_az12": "customer_code",
+        "erp_loc_a101": "location_id",
+        "erp_px_cat_g1v2": "product_code",
+    }
+    parts = []
+    for name, key in keys.items():
+        rules = [quality.Unique(f"{name} key", (key,)), quality.NotNull(f"{name} {key}", key)]
+        if name == "crm_sales_details":
+            rules.append(quality.Check(f"{name} quantity", "quantity > 0"))
+        parts.append(quality.check_constraints(c.silver(name), rules))
+    customers, products = c.dim_customers(), c.dim_products()
+    once_a_day = quality.Unique("dim_customers customer and start", ("customer_id", "effective_date"))
+    parts.append(quality.check_constraints(customers, [once_a_day]))
+    # Stored once: each key below is a pass of its own over the fact.
+    sales = overwrite(c.fact_sales(), new_folder(c.spark, "constraint-sales"))
+    parents = {
+        "date_key": c.dim_date(),
+        "customer_key": customers,
+        "product_key": products,
+    }
+    rules = [quality.Unique("fact_sales transaction", ("transaction_id",))]
+    for key, parent in parents.items():
+        rules.append(quality.NotNull(f"fact_sales {key}", key))
+        rules.append(quality.ForeignKey(f"fact_sales parent of {key}", key, parent, key))
+    parts.append(quality.check_constraints(sales, rules))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_crm("x7b_crm_constraints", _crm_constraints)
+
+
 def _inventory(s: Shop) -> DataFrame:
     tables = {f"bronze.{name}": s.bronze(name) for name in KEYS}
     orders = s.orders()
