@@ -247,9 +247,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The row of each component with the smallest id, with all its columns.
 
-    Rows with the same id and text count as one and stay as one. Of rows that share
-    an id but not the text, each stands for its own fingerprint; a null id stays only
-    when its component has no other, and then stands for the component.
+    Rows with the same id and text count as one and stay as one. Rows that share an id
+    with one that stays, but not its text, stay as well. A null id stays only when some
+    component has no other.
     """
     columns = docs.columns
     keyed = replacing(docs, _known=F.col(f"`{doc_id}`"), _text=F.xxhash64(f"`{text}`"))
