@@ -105,7 +105,10 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words")
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks"]
-    return base.select("_row", F.struct(*counts, failed.alias("base_failed")).alias("_stats"))
+    stats = base.select("_row", F.struct(*counts, failed.alias("base_failed")).alias("_stats"))
+    # Counting the rows keeps filters on the verdict above this point: pushed further down
+    # they would repeat the nested array expressions once for every use.
+    return stats.observe("quality-counts", F.count("*").alias("rows"))
 
 
 def vector(stats: Column) -> dict[str, Column]:
