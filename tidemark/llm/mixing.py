@@ -5,9 +5,8 @@ domains. Nonnegative document rates are then chosen whose expected domain token
 the sum of rate x tokens x posterior, match the targets in the least-squares sense.
 
 The rates start at one and follow projected gradient steps. In the metric of the
-documents' tokens, and with the residual weighted by the inverse of the domains' token
-overlap, a step moves a document by the product of its posterior and one vector with
-an entry per domain, and all directions converge alike. So the state of the descent is
+documents' tokens a step moves a document by the product of its posterior and one
+vector with an entry per domain. So the state of the descent is
 that short list of vectors: any task can recompute a document's rate from its posterior,
 and each step is one aggregate over the posteriors.
 """
@@ -29,8 +28,9 @@ from tidemark.session import new_folder
 FEATURES = 1 << 14
 SAMPLE = 20_000  # labelled documents the classifier is fitted on, at most
 FIT_STEPS = 40
-MOST_STEPS = 50
+MOST_STEPS = 40
 CLOSE = 1e-4  # residual, as a share of all tokens, at which the descent ends
+LEAST_OVERLAP = 1e-3  # share of tokens below which a domain is not weighed up further
 SEED = 7
 
 
@@ -105,17 +105,26 @@ def _posteriors(df: DataFrame, text: Column, mix: Mix) -> DataFrame:
 
 def rate(steps: list[list[float]], p: Column, most: float | None) -> Column:
     """The rate after these steps from one, projected onto the bounds after each."""
-    value = F.lit(1.0)
-    for step in steps:
-        moved = value - sum((F.get(p, i) * v for i, v in enumerate(step)), F.lit(0.0))
-        value = F.greatest(moved, F.lit(0.0))
-        if most is not None:
-            value = F.least(value, F.lit(most))
-    return value
+    if not steps:
+        return F.lit(1.0) if most is None else F.lit(min(1.0, most))
+    moves = F.array(*[F.array(*[F.lit(v) for v in step]) for step in steps])
+
+    def move(value: Column, step: Column) -> Column:
+        down = sum((F.get(p, i) * F.get(step, i) for i in range(len(steps[0]))), F.lit(0.0))
+        bounded = F.greatest(value - down, F.lit(0.0))
+        return bounded if most is None else F.least(bounded, F.lit(most))
+
+    # A fold, not one nested expression: many steps would outgrow a compiled method.
+    return F.aggregate(moves, F.lit(1.0), move)
 
 
 def descend(rows: DataFrame, weights: np.ndarray, budget: float, most: float | None) -> list[list[float]]:
-    """Steps that bring expected domain totals of (tokens, p) rows to the targets."""
+    """Steps that bring expected domain totals of (tokens, p) rows to the targets.
+
+    A domain's residual is weighed by its own overlap, so that rare domains converge as
+    fast as common ones; a target out of reach leaves the other domains alone. The
+    descent ends when the residuals are close to zero or no longer move.
+    """
     k = len(weights)
     share = [F.get("p", i) for i in range(k)]
     tokens = F.col("tokens").cast("double")
@@ -129,21 +138,21 @@ def descend(rows: DataFrame, weights: np.ndarray, budget: float, most: float | N
     overlap = np.zeros((k, k))
     for (i, j), value in zip(pairs, sums[1:], strict=True):
         overlap[i, j] = overlap[j, i] = value / total
-    weighting = np.linalg.pinv(overlap, rcond=1e-9, hermitian=True)
+    scale = 1 / np.sqrt(np.maximum(np.diag(overlap), LEAST_OVERLAP))
+    length = 1 / np.linalg.eigvalsh(overlap * np.outer(scale, scale)).max()
     target = budget * weights / weights.sum()
     steps: list[list[float]] = []
+    before = np.full(k, np.inf)
     for _ in range(MOST_STEPS):
         now = rate(steps, F.col("p"), most)
         held = rows.select("p", (tokens * now).alias("held")).agg(
             *[F.sum(F.col("held") * share[i]) for i in range(k)]
         )
         residual = np.array(held.first(), float) / total - target
-        if np.abs(residual).max() < CLOSE:
-            break
-        step = weighting @ residual
-        if steps and np.allclose(step, 0, atol=1e-9):
+        if np.abs(residual).max() < CLOSE or np.abs(residual - before).max() < CLOSE / 10:
             break
-        steps.append([float(x) for x in step])
+        steps.append([float(x) for x in length * scale**2 * residual])
+        before = residual
     return steps
 
 
@@ -223,12 +232,16 @@ def mix_documents(
         F.col(f"`{text}`").alias("_text"),
         F.xxhash64(F.lit(SEED), f"`{doc_id}`", f"`{text}`").alias("_hash"),
     )
-    rated = _posteriors(held, F.col("_text"), mix).select(
+    # Counting rows keeps what follows above each point: merged into one expression, the
+    # classifier would run again for every step of the descent.
+    judged = _posteriors(held, F.col("_text"), mix).select("_row", "_hash", "_p")
+    rated = judged.observe("posteriors", F.count("*").alias("rows")).select(
         "_row", "_hash", rate(mix.steps, F.col("_p"), mix.most).alias("rate")
     )
     copies = _copies(F.col("rate"), F.col("_hash"))
     return (
         rated.select("_row", copies.alias("_copies"))
+        .observe("mixed", F.count("*").alias("rows"))
         .filter("_copies > 0")
         .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select("_row.*")
