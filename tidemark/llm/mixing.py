@@ -4,16 +4,22 @@ A classifier fitted on a labelled table gives each document its posterior over t
 domains. Nonnegative document rates are then chosen whose expected domain token totals,
 the sum of rate x tokens x posterior, match the targets in the least-squares sense.
 
-The rates start at one and follow projected gradient steps. In the metric of the
-documents' tokens a step moves a document by the product of its posterior and one
-vector with an entry per domain. So the state of the descent is
-that short list of vectors: any task can recompute a document's rate from its posterior,
-and each step is one aggregate over the posteriors.
+Of all such rates those nearest to one are taken. They are the projection of one gradient
+step from rates of one: a document's rate is 1 - p . v within the bounds, ``p`` being its
+posterior and ``v`` one vector with an entry per domain. So the state of the descent is
+that vector: any task can compute a document's rate from its posterior, and each step is
+one aggregate over the posteriors. Steps are taken in the full metric of the documents
+that lie within the bounds, until the optimality condition holds.
+
+Without a given budget the largest one is fitted with the rates at which a bound on them
+still allows the targets' shares.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -28,20 +34,40 @@ from tidemark.session import new_folder
 FEATURES = 1 << 14
 SAMPLE = 20_000  # labelled documents the classifier is fitted on, at most
 FIT_STEPS = 40
-MOST_STEPS = 40
-CLOSE = 1e-4  # residual, as a share of all tokens, at which the descent ends
-LEAST_OVERLAP = 1e-3  # share of tokens below which a domain is not weighed up further
+MOST_STEPS = 400  # aggregates after which a descent has failed
+CLOSE = 1e-4  # residual, as a share of all tokens, at which a target counts as met
+OPTIMAL = 1e-6  # norm of the gradient, as a share of all tokens, at which the descent ends
+# Weights of the rates' distance from one beside the residual: each fit starts from the last.
+RIDGES = (1e-2, 1e-4, 1e-6)
+# Weights of the budget, where it is fitted, beside the rates' distance from one.
+GAINS = (1.0, 10.0, 100.0)
+LEAST_BUDGET = 0.01  # a fitted budget below shows targets out of reach
 SEED = 7
+LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Mix:
-    """A fitted mix: the classifier, and the descent's steps."""
+    """A fitted mix: the classifier, the rates' vector, and what it reaches.
+
+    ``target`` and ``reached`` are expected token totals per domain as shares of all
+    tokens; their difference is the ``residual``.
+    """
 
     domains: list[str]
     model: LogisticRegressionModel | None
-    steps: list[list[float]]
+    vector: list[float]
     most: float | None
+    target: list[float] = field(default_factory=list)
+    reached: list[float] = field(default_factory=list)
+
+    @property
+    def residual(self) -> list[float]:
+        return [got - wanted for got, wanted in zip(self.reached, self.target, strict=True)]
+
+    @property
+    def met(self) -> bool:
+        return all(abs(x) <= CLOSE for x in self.residual)
 
 
 def _features(df: DataFrame, text: Column) -> DataFrame:
@@ -103,57 +129,106 @@ def _posteriors(df: DataFrame, text: Column, mix: Mix) -> DataFrame:
     return out.withColumn("_p", padded).drop("_features", "_raw", "_posterior", "_best")
 
 
-def rate(steps: list[list[float]], p: Column, most: float | None) -> Column:
-    """The rate after these steps from one, projected onto the bounds after each."""
-    if not steps:
-        return F.lit(1.0) if most is None else F.lit(min(1.0, most))
-    moves = F.array(*[F.array(*[F.lit(v) for v in step]) for step in steps])
+def rate(vector: list[float], p: Column, most: float | None) -> Column:
+    """The rate 1 - p . vector, projected onto the bounds."""
+    down = sum((F.get(p, i) * F.lit(float(v)) for i, v in enumerate(vector)), F.lit(0.0))
+    bounded = F.greatest(F.lit(1.0) - down, F.lit(0.0))
+    return bounded if most is None else F.least(bounded, F.lit(float(most)))
 
-    def move(value: Column, step: Column) -> Column:
-        down = sum((F.get(p, i) * F.get(step, i) for i in range(len(steps[0]))), F.lit(0.0))
-        bounded = F.greatest(value - down, F.lit(0.0))
-        return bounded if most is None else F.least(bounded, F.lit(most))
 
-    # A fold, not one nested expression: many steps would outgrow a compiled method.
-    return F.aggregate(moves, F.lit(1.0), move)
+# At a vector: the least value of half the rates' squared distance from one plus rate x
+# (p . vector), the domain totals of its rates, and the overlap of documents within the bounds.
+Evaluate = Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]]
 
 
-def descend(rows: DataFrame, weights: np.ndarray, budget: float, most: float | None) -> list[list[float]]:
-    """Steps that bring expected domain totals of (tokens, p) rows to the targets.
+def evaluator(rows: DataFrame, k: int, most: float | None) -> Evaluate | None:
+    """Means over the tokens of (tokens, p) rows; None without tokens."""
+    tokens = F.col("tokens").cast("double")
+    share = [F.get("p", i) for i in range(k)]
+    total = rows.agg(F.sum(tokens)).first()[0]
+    if not total:
+        return None
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+
+    def evaluate(vector: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        now = F.col("now")
+        down = sum((share[i] * F.lit(float(v)) for i, v in enumerate(vector)), F.lit(0.0))
+        free = (now > 0) if most is None else (now > 0) & (now < most)
+        rated = rows.select("p", tokens.alias("t"), rate(list(vector), F.col("p"), most).alias("now"))
+        sums = rated.agg(
+            F.sum(F.col("t") * ((now - 1) * (now - 1) / 2 + now * down)),
+            *[F.sum(F.col("t") * now * share[i]) for i in range(k)],
+            *[F.sum(F.when(free, F.col("t") * share[i] * share[j]).otherwise(0.0)) for i, j in pairs],
+        ).first()
+        values = np.array(sums, float) / total
+        overlap = np.zeros((k, k))
+        for (i, j), value in zip(pairs, values[k + 1 :], strict=True):
+            overlap[i, j] = overlap[j, i] = value
+        return values[0], values[1 : k + 1], overlap
+
+    return evaluate
+
+
+def ascend(
+    evaluate: Evaluate, start: np.ndarray, basis: np.ndarray, target: np.ndarray, ridge: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """The vector at which residual = ridge x vector along ``basis``, and its domain totals.
+
+    That is where the rates are optimal. Damped Newton steps with a line search on the
+    concave dual; running out of steps is an error, not a result.
+    """
 
-    A domain's residual is weighed by its own overlap, so that rare domains converge as
-    fast as common ones; a target out of reach leaves the other domains alone. The
-    descent ends when the residuals are close to zero or no longer move.
+    def judged(vector):
+        value, totals, overlap = evaluate(vector)
+        height = value - target @ vector - ridge / 2 * vector @ vector
+        return height, basis.T @ (totals - target - ridge * vector), totals, overlap
+
+    vector = start
+    height, slope, totals, overlap = judged(vector)
+    size, used = 1.0, 1
+    while np.abs(slope).max(initial=0.0) > OPTIMAL:
+        damping = ridge + 0.1 * np.linalg.norm(slope) / (1 + np.linalg.norm(vector))
+        inner = basis.T @ overlap @ basis + damping * np.eye(basis.shape[1])
+        step, size = np.linalg.solve(inner, slope), 1.0
+        while True:
+            if used >= MOST_STEPS:
+                raise RuntimeError(f"the mix did not converge: gradient {slope} after {used} steps")
+            there = judged(vector + size * (basis @ step))
+            used += 1
+            # What rounding leaves of the last digits counts as no loss.
+            if there[0] >= height + 1e-4 * size * (slope @ step) - 1e-13 * (1 + abs(height)):
+                break
+            size /= 2
+        vector = vector + size * (basis @ step)
+        height, slope, totals, overlap = there
+    return vector, totals
+
+
+def descend(
+    evaluate: Evaluate, weights: np.ndarray, budget: float | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rates' vector, and the target and reached totals, as shares of all tokens.
+
+    Without a budget the largest feasible one is fitted. If no part of the tokens can have
+    the targets' shares (a domain is nowhere, or posteriors are even), a budget of one
+    is fitted in the least-squares sense.
     """
+    weights = weights / weights.sum()
     k = len(weights)
-    share = [F.get("p", i) for i in range(k)]
-    tokens = F.col("tokens").cast("double")
-    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
-    sums = rows.agg(
-        F.sum(tokens), *[F.sum(tokens * share[i] * share[j]) for i, j in pairs]
-    ).first()
-    total = sums[0] or 0.0
-    if not total:
-        return []
-    overlap = np.zeros((k, k))
-    for (i, j), value in zip(pairs, sums[1:], strict=True):
-        overlap[i, j] = overlap[j, i] = value / total
-    scale = 1 / np.sqrt(np.maximum(np.diag(overlap), LEAST_OVERLAP))
-    length = 1 / np.linalg.eigvalsh(overlap * np.outer(scale, scale)).max()
-    target = budget * weights / weights.sum()
-    steps: list[list[float]] = []
-    before = np.full(k, np.inf)
-    for _ in range(MOST_STEPS):
-        now = rate(steps, F.col("p"), most)
-        held = rows.select("p", (tokens * now).alias("held")).agg(
-            *[F.sum(F.col("held") * share[i]) for i in range(k)]
-        )
-        residual = np.array(held.first(), float) / total - target
-        if np.abs(residual).max() < CLOSE or np.abs(residual - before).max() < CLOSE / 10:
-            break
-        steps.append([float(x) for x in length * scale**2 * residual])
-        before = residual
-    return steps
+    if budget is None:
+        # The budget's own optimality fixes weights . vector; the rest moves along the basis.
+        basis = np.linalg.svd(weights[None, :])[2][1:].T
+        vector = -weights / (weights @ weights)
+        for before, gain in zip((1.0, *GAINS), GAINS, strict=False):
+            vector, totals = ascend(evaluate, vector * gain / before, basis, np.zeros(k), 1e-6 / gain)
+        budget = float(weights @ totals / (weights @ weights))
+        if budget >= LEAST_BUDGET:
+            return vector, budget * weights, totals
+        budget = 1.0
+    vector = np.zeros(k)
+    for ridge in RIDGES:
+        vector, totals = ascend(evaluate, vector, np.eye(k), budget * weights, ridge)
+    return vector, budget * weights, totals
 
 
 def fit_mix(
@@ -162,20 +237,23 @@ def fit_mix(
     targets: dict[str, float],
     doc_id: str = "doc_id",
     text: str = "text",
-    budget: float = 1.0,
+    budget: float | None = 1.0,
     most: float | None = None,
     sample: int = SAMPLE,
 ) -> tuple[Mix, DataFrame]:
     """The mix, and the stored rows (doc_id, _hash, tokens, p) it was fitted on.
 
     ``labels`` holds (doc_id, domain); ``targets`` weighs the domains; ``budget`` is the
-    expected total of tokens as a share of all; ``most`` bounds the rates.
+    expected total of tokens as a share of all, or None for the largest that the bound
+    allows; ``most`` bounds the rates. Targets that are not met are logged as a warning.
     """
     if not targets or min(targets.values()) < 0 or not sum(targets.values()) > 0:
         raise ValueError("targets must be nonnegative weights, not all zero")
+    if budget is None and most is None:
+        raise ValueError("without a bound on the rates there is no largest budget")
     domains = list(targets)
     model = fit_classifier(docs, labels, domains, doc_id, text, sample)
-    start = Mix(domains, model, [], most)
+    start = Mix(domains, model, [0.0] * len(domains), most)
     source = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{text}`").alias("_text"),
@@ -187,8 +265,14 @@ def fit_mix(
         ),
         "posteriors",
     )
-    steps = descend(rows, np.array([targets[x] for x in domains], float), budget, most)
-    return Mix(domains, model, steps, most), rows
+    evaluate = evaluator(rows, len(domains), most)
+    if evaluate is None:
+        return start, rows
+    found = descend(evaluate, np.array([targets[x] for x in domains], float), budget)
+    mix = Mix(domains, model, found[0].tolist(), most, found[1].tolist(), found[2].tolist())
+    if not mix.met:
+        LOG.warning("mix %s: target %s, reached %s, residual %s", domains, mix.target, mix.reached, mix.residual)
+    return mix, rows
 
 
 def _copies(rate: Column, hash_value: Column) -> Column:
@@ -208,7 +292,7 @@ def mixing_rates(
     first. An empty table gives no rows.
     """
     mix, rows = fit_mix(docs, labels, targets, **settings)
-    value = rate(mix.steps, F.col("p"), mix.most)
+    value = rate(mix.vector, F.col("p"), mix.most)
     posteriors = [F.get("p", i).alias(f"p_{x}") for i, x in enumerate(mix.domains)]
     rated = rows.select("doc_id", F.col("tokens").alias("n_tokens"), *posteriors, "_hash", value.alias("rate"))
     return rated.withColumn("copies", _copies(F.col("rate"), F.col("_hash"))).drop("_hash")
@@ -233,10 +317,10 @@ def mix_documents(
         F.xxhash64(F.lit(SEED), f"`{doc_id}`", f"`{text}`").alias("_hash"),
     )
     # Counting rows keeps what follows above each point: merged into one expression, the
-    # classifier would run again for every step of the descent.
+    # classifier would run again for every use of the rate.
     judged = _posteriors(held, F.col("_text"), mix).select("_row", "_hash", "_p")
     rated = judged.observe("posteriors", F.count("*").alias("rows")).select(
-        "_row", "_hash", rate(mix.steps, F.col("_p"), mix.most).alias("rate")
+        "_row", "_hash", rate(mix.vector, F.col("_p"), mix.most).alias("rate")
     )
     copies = _copies(F.col("rate"), F.col("_hash"))
     return (
