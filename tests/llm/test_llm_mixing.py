@@ -1,6 +1,7 @@
 """Rates of overlapping posteriors, and the largest budget under a bound."""
 
 import logging
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -107,3 +108,17 @@ def test_delivered_tokens_have_the_targets_shares(spark):
     assert np.abs(held / held.sum() - WEIGHTS).max() < 0.02
     # Before, a budget of all tokens was out of reach and left the shares elsewhere.
     assert 0.1 < held.sum() / sum(r.n_tokens for r in rows) < 1
+
+
+def test_the_pipelines_stage_delivers_its_weights(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs, labels = labelled(spark, 1500)
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda *_: None)
+    monkeypatch.setattr(mixing, "domains_of", lambda _: labels)
+    kept = corpus_pipeline.mix(spark, docs, "")
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert set(ids.values()) == {1}
+    rows = mixing.mixing_rates(docs, labels, corpus_pipeline.TARGETS, budget=None, most=1.0).collect()
+    held = np.array([sum(r.n_tokens * ids[r.doc_id] * r[f"p_{d}"] for r in rows) for d in corpus_pipeline.TARGETS])
+    assert np.abs(held / held.sum() - WEIGHTS).max() < 0.02
