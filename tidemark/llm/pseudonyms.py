@@ -32,30 +32,48 @@ ALPHABETS = (
     "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
 )
 HEX = ("0123456789abcdef", "0123456789ABCDEF")
-# Length of an IBAN by country.
+# Length of an IBAN by country, as registered.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18,
-    "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28,
-    "PT": 25, "SE": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27,
+    "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23,
+    "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21,
+    "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22,
+    "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
+
+def _iban_account(length: int) -> str:
+    """The account of an IBAN of this length, with or without a blank before each four."""
+    whole, rest = divmod(length - 4, 4)
+    return f"(?:[ ]?[0-9A-Z]{{4}}){{{whole}}}" + (f"[ ]?[0-9A-Z]{{{rest}}}" if rest else "")
+
+
+IBAN_SHAPES = "|".join(
+    f"(?:{'|'.join(c for c in IBAN_LENGTHS if IBAN_LENGTHS[c] == n)})[0-9]{{2}}{_iban_account(n)}"
+    for n in sorted(set(IBAN_LENGTHS.values()))
+)
+
 SHAPES = re.compile(
     r"""
     (?P<email>(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
   | (?P<secret>(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z]))
-  | (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]{4}){2,7}(?:[ ]?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))
+  | (?P<iban>(?<![0-9A-Za-z])(?=[A-Z]{2}[0-9]{2})(?:IBAN_SHAPES)(?![0-9A-Za-z]))
   | (?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9]))
   | (?P<date>(?<![\w./-])(?:
         [0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}
       | [0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?!\w|[./-][0-9]))
   | (?P<phone>(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])
-      | (?<![\w(+.-])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}(?!\w|-[0-9]))
+      | (?<![\w(+.-])(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w|-[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!\w|-[0-9]))
   | (?P<card>(?<![0-9A-Za-z])(?:
         [0-9]{13,19}
       | [0-9]{4}(?P<s3>[ -])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{4}
       | [0-9]{4}(?P<s4>[ -])[0-9]{6}(?P=s4)[0-9]{5})(?![0-9A-Za-z]))
-    """,
+    """.replace("IBAN_SHAPES", IBAN_SHAPES),
     re.VERBOSE,
 )
 TRACE = re.compile("[0-9@]")
@@ -227,10 +245,13 @@ def pseudonymise(text: str, f: Feistel, undo: bool = False) -> tuple[str, list[t
     if not TRACE.search(text):
         return text, []
     out, spans, end, size = [], [], 0, 0
-    for match in SHAPES.finditer(text):
+    match = SHAPES.search(text)
+    while match:
         kind = match.lastgroup if match.lastgroup in KINDS else next(k for k in KINDS if match[k])
         value = KINDS[kind](match[0], f, undo)
         if value is None:
+            # What begins inside a shape that is not valid may be.
+            match = SHAPES.search(text, match.start() + 1)
             continue
         out.append(text[end : match.start()])
         size += len(out[-1])
@@ -238,6 +259,7 @@ def pseudonymise(text: str, f: Feistel, undo: bool = False) -> tuple[str, list[t
         out.append(value)
         size += len(value)
         end = match.end()
+        match = SHAPES.search(text, end)
     return "".join([*out, text[end:]]), spans
 
 
