@@ -5,7 +5,8 @@ whole windows of it; what is left, like any shorter document, is routed to the
 shortest tier that holds it. Windows are filled from the longest tier down: each takes
 a document of its own tier and then documents of shorter tiers that fit its gap, and
 the last gap is closed by a cut piece of a shorter document, whose rest goes back to
-its tier. So every window is exactly as long as its tier and nothing is padded. What
+its tier. Where shorter tiers are empty, a document of the same tier is cut instead, so
+that at most one document of each tier waits on. So every window is exactly as long as its tier and nothing is padded. What
 the end of a partition leaves is cut into windows of ever smaller powers of two.
 
 Windows of one pool and tier are dealt to step groups of equal token count, in an
@@ -121,14 +122,17 @@ class Packer:
             insort(self.waiting[tier], (length, doc, start))
         return windows
 
-    def _filler(self, gap: int, below: int) -> tuple[int, int, int] | None:
-        """The longest waiting piece that fits the gap, from tiers under ``below``; else one to cut."""
+    def _filler(self, gap: int, below: int, own: int) -> tuple[int, int, int] | None:
+        """The longest waiting piece that fits the gap, from tiers under ``below``; else one to cut.
+
+        Pieces of the window's own tier are cut only when all shorter ones are gone.
+        """
         for tier in reversed(self.tiers):
             line = self.waiting[tier]
             if tier < below and line and line[0][0] <= gap:
                 return line.pop(bisect_right(line, (gap, 1 << 62, 0)) - 1)
         for tier in self.tiers:
-            if tier < below and self.waiting[tier]:
+            if tier <= own and self.waiting[tier]:
                 return self.waiting[tier].pop()
         return None
 
@@ -143,7 +147,7 @@ class Packer:
                 length, doc, start = line.pop()
                 window, gap = [(doc, start, length)], tier - length
                 while gap:
-                    more = self._filler(gap, below)
+                    more = self._filler(gap, below, tier)
                     if more is None:
                         break
                     size, doc, start = more
