@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, lattice, mixing, packing, pseudonyms, quality_rules, sharding, simhash, substrings
+from tidemark.llm import (
+    chat,
+    exact_dedup,
+    lattice,
+    mixing,
+    negatives,
+    packing,
+    pseudonyms,
+    quality_rules,
+    sharding,
+    simhash,
+    subspaces,
+    substrings,
+)
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -97,6 +110,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return subspaces.linked_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding,
@@ -109,10 +134,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_quality_rules,
         op10_simhash,
+        op11_hard_negatives,
+        op13_embedding_dedup,
     )
 }
 
 ORACLE_SQL = {
     "op1_sharding": sharding.checking_sql(SHARDS),
     "op6_exact_dedup": exact_dedup.SQL,
+    "op11_hard_negatives": negatives.SQL,
+    "op13_embedding_dedup": subspaces.SQL,
 }

@@ -27,7 +27,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and that nothing will read again."""
+    for df in frames:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(column: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round a node takes the smallest label among its own and its neighbours', and
     then its label's label (pointer jumping), so long chains shrink by doubling. Sums
     over a hub's links combine map-side, joins on a hub can be split by adaptive
-    execution, and each round's labels are stored. Only the number of changed labels
+    execution, and each round's labels are stored in place of the last round's. Only the number of changed labels
     comes to the driver. Self links and repeated links are harmless.
     """
     forth = links.select("a", "b")
@@ -39,7 +39,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             .agg(F.min("label").alias("offer"))
         )
         hooked = stored(
-            labels.join(offered.withColumnRenamed("a", "node"), "node").select(
+            labels.select("node", "label").join(offered.withColumnRenamed("a", "node"), "node").select(
                 "node", F.col("label").alias("before"), F.least("label", "offer").alias("label")
             ),
             "hooked",
@@ -49,6 +49,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         jumped = hooked.join(above, "label").select(
             "node", F.col("top").alias("label"), (F.col("top") != F.col("before")).alias("moved")
         ).observe(seen, F.sum(F.col("moved").cast("bigint")).alias("moved"))
-        labels = stored(jumped, "labels").select("node", "label")
+        before, labels = labels, stored(jumped, "labels")
+        discard(before, hooked)
         if not seen.get["moved"]:
-            return labels
+            discard(edges)
+            return labels.select("node", "label")
