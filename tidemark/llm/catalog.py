@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat,
+    dualtree,
     exact_dedup,
     lattice,
     mixing,
@@ -117,6 +118,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    return dualtree.rank_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return subspaces.linked_vectors(read_table(spark, sf_dir, "embeddings"))
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_simhash,
         op11_hard_negatives,
+        op12_lexical_search,
         op13_embedding_dedup,
     )
 }
@@ -143,5 +150,6 @@ ORACLE_SQL = {
     "op1_sharding": sharding.checking_sql(SHARDS),
     "op6_exact_dedup": exact_dedup.SQL,
     "op11_hard_negatives": negatives.SQL,
+    "op12_lexical_search": dualtree.SQL,
     "op13_embedding_dedup": subspaces.SQL,
 }
