@@ -1,12 +1,17 @@
 """The CRM track on the sample with its golden results."""
 
+from collections import Counter
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from sample import frames
 
 from tidemark.operators import sales
+from tidemark.operators.scd2 import history
 from tidemark.plans.crm import AS_OF, CLEANERS, Crm, run_load
+from tidemark.schemas import ETL_LOG
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +122,35 @@ def test_stored_load_is_idempotent(spark, tmp_path):
         run_load(spark, data, str(tmp_path), AS_OF)
     for name, expected in {"dim_customers": 5, "dim_products": 5, "dim_date": 4018, "fact_sales": 10}.items():
         assert spark.read.parquet(f"{tmp_path}/gold/{name}").count() == expected
+
+
+def test_a_changed_customer_gets_a_second_version(spark, tmp_path):
+    """Two records after a reload, the calendar's own days, and both procedures in the log."""
+    data, lake = frames(spark), str(tmp_path)
+    days = (date(2019, 1, 1), date(2019, 12, 31))
+    run_load(spark, data, lake, AS_OF, calendar=days)
+    first = data["crm_cust_info"]
+    moved = F.when(F.trim("cust_id") == "CUST001", "newemail@example.com").otherwise(F.col("email"))
+    later = {**data, "crm_cust_info": first.withColumn("email", moved)}
+    run_load(spark, later, lake, AS_OF + timedelta(days=3), calendar=days)
+    run_load(spark, later, lake, AS_OF + timedelta(days=3), calendar=days)
+    dim = spark.read.parquet(f"{lake}/gold/dim_customers")
+    found = history(dim, "customer_id", "CUST001").collect()
+    assert [(r.email == "newemail@example.com", r.is_current) for r in found] == [(False, False), (True, True)]
+    assert found[0].end_date == AS_OF + timedelta(days=2) and dim.count() == 6
+    assert spark.read.parquet(f"{lake}/gold/fact_sales").count() == 10
+    assert spark.read.parquet(f"{lake}/gold/dim_date").count() == 365
+    log = spark.read.schema(ETL_LOG).parquet(f"{lake}/control/etl_log").collect()
+    assert Counter((r.procedure_name, r.status) for r in log) == {
+        (name, status): 3 for name in ("sp_load_silver", "sp_load_gold") for status in ("STARTED", "COMPLETED")
+    }
+    with pytest.raises(ValueError):
+        run_load(spark, data, lake, AS_OF, changes="other")
+
+
+def test_a_failing_load_is_logged(spark, tmp_path):
+    broken = {**frames(spark), "crm_sales_details": spark.range(1)}
+    with pytest.raises(Exception):  # noqa: B017
+        run_load(spark, broken, str(tmp_path), AS_OF)
+    log = spark.read.schema(ETL_LOG).parquet(f"{tmp_path}/control/etl_log")
+    assert {r.status for r in log.collect()} == {"STARTED", "FAILED"}

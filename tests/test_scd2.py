@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dims import dim_users_init
 from tidemark.operators.facts import with_user_sk
-from tidemark.operators.scd2 import history, scd2_changes, scd2_stats, scd2_upsert
+from tidemark.operators.scd2 import CUSTOMERS, empty_dimension, history, scd2_changes, scd2_stats, scd2_upsert
 
 USER = (
     "user_id int, full_name string, email string, phone string, city string, country string, "
@@ -15,7 +16,7 @@ USER = (
 
 def users(spark, *cities, active=True):
     rows = [
-        (i, f"U{i}", f"u{i}@x.com", None, city, "VN", date(2023, 1, i), active, "B")
+        (i, f"U{i}", f"u{i}@x.com", None, city, "VN", date(2023, 1, i or 1), active, "B")
         for i, city in cities
     ]
     return spark.createDataFrame(rows, USER)
@@ -105,3 +106,75 @@ def test_hot_key_versions(spark, first):
     after = scd2_upsert(dim, users(spark, (1, "Vinh"), (2, "Hue")), date(2024, 2, 1))
     assert after.count() == 1004
     assert after.filter("user_id = 1 AND is_current").first().city == "Vinh"
+
+
+WIDE = 1 << 44
+
+
+def test_keys_of_any_size_never_share_a_surrogate(spark):
+    """Natural keys 2^44 apart, also in the versions that follow."""
+    keys = [0, 5, WIDE, WIDE + 5, (1 << 63) - 1, -(1 << 63), -1]
+
+    def people(city):
+        rows = [(k, "n", None, None, city, None, None, True, "B") for k in keys]
+        return spark.createDataFrame(rows, USER.replace("user_id int", "user_id bigint"))
+
+    dim = dim_users_init(people("A"), date(2024, 1, 1))
+    for month, city in ((2, "B"), (3, "C")):
+        dim = scd2_upsert(dim, people(city), date(2024, month, 1)).checkpoint()
+    assert dim.count() == 3 * len(keys)
+    check_invariants(dim)
+    assert sorted(r.user_sk for r in dim.collect()) == list(range(1, 3 * len(keys) + 1))
+
+
+def test_repeated_source_keys_are_reduced_or_refused(spark, first):
+    source = users(spark, (1, "Vinh"), (1, "Hanoi"), (1, "Hanoi"), (None, "X"), (9, "A"), (9, "B"))
+    changes = scd2_changes(first, source, date(2024, 2, 1)).checkpoint()
+    assert Counter(r._action for r in changes.collect()) == {"kept": 2, "closed": 1, "reopened": 1, "new": 1}
+    check_invariants(changes.drop("_action"))
+    # The greatest row of a key stays, whatever the order of arrival.
+    assert {r.city for r in changes.filter("user_id IN (1, 9) AND is_current").collect()} == {"Vinh", "B"}
+    latest = scd2_changes(first, source, date(2024, 2, 1), best_first=[F.col("city")])
+    assert {r.city for r in latest.filter("user_id IN (1, 9) AND is_current").collect()} == {"Hanoi", "A"}
+    with pytest.raises(ValueError, match="stands in"):
+        scd2_changes(first, source, date(2024, 2, 1), repeated="refuse")
+    assert dim_users_init(source, date(2024, 1, 1)).count() == 2
+
+
+CUSTOMER = "customer_id string, " + ", ".join(
+    f"{name} {'date' if name == 'registration_date' else 'decimal(18,2)' if name == 'credit_limit' else 'string'}"
+    for name in CUSTOMERS.attributes
+)
+
+
+def customers(spark, **emails):
+    rows = [(k, k.lower(), e, *[None] * (len(CUSTOMERS.attributes) - 2)) for k, e in emails.items()]
+    return spark.createDataFrame(rows, CUSTOMER)
+
+
+def test_customers_get_versions(spark):
+    start = customers(spark, C1="old", C2="x")
+    dim = scd2_upsert(empty_dimension(start, CUSTOMERS), start, date(2024, 1, 1), kind=CUSTOMERS)
+    after = scd2_changes(dim, customers(spark, C1="new", C3="z"), date(2024, 2, 1), kind=CUSTOMERS)
+    found = history(after, "customer_id", "C1").collect()
+    assert [(r.email, r.effective_date, r.end_date, r.is_current) for r in found] == [
+        ("old", date(2024, 1, 1), date(2024, 1, 31), False),
+        ("new", date(2024, 2, 1), None, True),
+    ]
+    assert Counter(r._action for r in after.collect()) == {"kept": 1, "closed": 1, "reopened": 1, "new": 1}
+    # A change on the day a version began changes it in place, under its key.
+    again = scd2_changes(
+        after.drop("_action"), customers(spark, C1="newer"), date(2024, 2, 1), kind=CUSTOMERS
+    )
+    current = again.filter("customer_id = 'C1' AND is_current").first()
+    assert (current.email, current._action) == ("newer", "replaced")
+    assert current.customer_key == found[1].customer_key and again.count() == after.count()
+
+
+def test_closed_keys_are_left_alone_or_opened_again(spark):
+    start = customers(spark, C1="a", C2="b")
+    dim = scd2_upsert(empty_dimension(start, CUSTOMERS), start, date(2024, 1, 1), kind=CUSTOMERS)
+    gone = dim.withColumn("is_current", F.col("customer_id") != "C1")
+    assert scd2_upsert(gone, start, date(2024, 2, 1), kind=CUSTOMERS).count() == 2
+    back = scd2_changes(gone, start, date(2024, 2, 1), kind=CUSTOMERS, revive=True)
+    assert back.count() == 3 and back.filter("customer_id = 'C1' AND is_current").count() == 1

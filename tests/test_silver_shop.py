@@ -1,20 +1,23 @@
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import Context, Decimal
 
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import keep_best, latest_batch
+from tidemark.operators.facts import fact_orders, fact_transactions
 from tidemark.operators.silver_shop import (
     clean_order_items,
     clean_orders,
     clean_products,
     clean_transactions,
     clean_users,
+    rejected_rows,
 )
 from tidemark.plans.shop import Shop
 from tidemark.sources.bronze import to_bronze, with_bronze_id
 
 AT = datetime(2024, 1, 1)
+EXACT = Context(prec=60)
 
 
 def bronze(spark, columns, rows, batch="A", at=AT):
@@ -133,3 +136,63 @@ def test_bronze_keeps_every_row_and_flags_add_up(spark):
     for entity in ("users", "orders", "order_items"):
         source = shop.source(entity).count()
         assert shop.bronze(entity).filter("_batch_id = 'B'").count() == source
+
+
+def test_numbers_keep_their_value_or_are_rejected(spark):
+    rows = [
+        ("1", "1", "5", "3000000000", "2.50"),
+        ("2", "1", "5", "2.0", "3"),
+        ("3", "1", "5", "1", "12345678901234567.00"),
+        ("4", "1", "5", "100", "1000000000000000"),
+        ("5", "1", "5", "100", "10000000000000000"),
+        ("6", "1", "5", "2.5", "1"),
+        ("7", "1", "5", "1", "0.004"),
+        ("8", "1", "5", "9" * 18, "9" * 26),
+        ("9", "1", "5", "x", "1"),
+        ("10", "1", "5", "9" * 30, "1"),
+        ("11", "1", "5", "1", "9" * 60),
+        ("12", "1", "5", "0", "0.00"),
+        ("13", "1", "5", None, None),
+    ]
+    items = bronze(spark, "item_id order_id product_id quantity unit_price", rows)
+    got = {r.item_id: (r.quantity, r.unit_price, r.subtotal_calculated) for r in clean_order_items(items, None).collect()}
+    assert got[1] == (3_000_000_000, Decimal("2.50"), Decimal("7500000000.00"))
+    assert got[2] == (2, Decimal("3.00"), Decimal("6.00"))
+    assert got[3][1] == Decimal("12345678901234567.00")
+    assert (got[4][2], got[5][2]) == (Decimal("1e17"), Decimal("1e18"))
+    assert got[12] == got[13] == (1, Decimal(0), Decimal(0))
+    rejected = {int(r.item_id) for r in rejected_rows(items, "order_items").collect()}
+    assert rejected == {6, 7, 8, 9, 10, 11} and rejected.isdisjoint(got)
+
+    orders = [
+        ("1", "7", "2024-01-01", "new", "Hue", "0.004", "1e30"),
+        ("2", "7", "2024-01-01", "new", "Hue", "12345678901234567890.12", "-1e30"),
+        ("3", "7", "2024-01-01", "new", "Hue", "5", "NaN"),
+        ("4", "7", "2024-01-01", "new", "Hue", "5", "1e30"),
+    ]
+    table = bronze(spark, ORDER, orders)
+    kept = {r.order_id: r for r in clean_orders(table).collect()}
+    assert sorted(kept) == [2, 4] and {r.order_id for r in rejected_rows(table, "orders").collect()} == {"1", "3"}
+    assert kept[2].total_amount == Decimal("12345678901234567890.12")
+    assert [float(kept[i].discount_pct) for i in (2, 4)] == [0, 100]
+    assert [kept[i]._flag_negative_amount for i in (2, 4)] == [0, 0]
+
+
+def test_facts_of_large_amounts(spark):
+    """The largest amounts that Silver keeps pass through the facts without an overflow."""
+    price, count = "9" * 20, "9" * 6
+    items = bronze(spark, "item_id order_id product_id quantity unit_price", [("1", "1", "5", count, price)])
+    order = [("1", "7", "2024-01-01", "new", "Hue", "1", "33.33")]
+    people = spark.createDataFrame([(7, 1, True)], "user_id bigint, user_sk bigint, is_current boolean")
+    fact = fact_orders(clean_order_items(items, None), clean_orders(bronze(spark, ORDER, order)), people).first()
+    gross = int(price) * int(count)
+    assert fact.gross_amount == gross
+    # In hundredths, as whole numbers: more digits than a decimal context keeps.
+    assert int(fact.discount_amount.scaleb(2, EXACT)) == (gross * 3333 + 50) // 100
+    assert int(fact.net_amount.scaleb(2, EXACT)) == (gross * 6667 + 50) // 100
+    paid = bronze(
+        spark,
+        "txn_id order_id user_id txn_date amount payment_method status currency",
+        [("1", "1", "7", "2024-01-01", "9" * 26, "x", "y", "usd")],
+    )
+    assert fact_transactions(clean_transactions(paid), people).first().amount_vnd == int("9" * 26) * 24500

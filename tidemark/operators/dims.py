@@ -4,38 +4,26 @@ Spark broadcasts a side below its measured threshold and shuffles (splitting ske
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import dense_keys, versioned_key
+from tidemark.functions.keys import dense_keys
+from tidemark.operators.scd2 import USERS, scd2_init
 from tidemark.sources.tables import absent_from
 
-USER_ATTRIBUTES = ("full_name", "email", "phone", "city", "country", "is_active")
-
 
 def dim_users_init(users: DataFrame, as_of: date) -> DataFrame:
     """First load: every clean user is current since its creation (or the load) date."""
-    return users.select(
-        versioned_key(F.col("user_id")).alias("user_sk"),
-        "user_id",
-        "full_name",
-        "email",
-        "phone",
-        "city",
-        "country",
-        F.coalesce("is_active", F.lit(False)).alias("is_active"),
-        F.coalesce("created_date", F.lit(as_of)).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-        F.col("_source_batch_id").alias("_silver_batch"),
-    )
+    return scd2_init(users, as_of, USERS)
 
 
 def dim_products(products: DataFrame) -> DataFrame:
     """Shop products; the natural key serves as surrogate."""
     price, cost = F.col("unit_price"), F.col("cost_price")
-    margin = F.round((price - cost) / price * 100, 2).cast("decimal(18,2)")
+    # Scaled before the division, which keeps six digits behind the point only.
+    margin = (F.round((price - cost) * 10_000 / price, 0) * F.lit(Decimal("0.01"))).cast("decimal(38,2)")
     return products.select(
         F.col("product_id").alias("product_sk"),
         "product_id",
@@ -83,20 +71,8 @@ def _with_right_only(
     return matched, alone
 
 
-def dim_customers(
-    crm: DataFrame,
-    erp: DataFrame,
-    loc: DataFrame,
-    as_of: date,
-    existing: DataFrame | None = None,
-    mode: str = "union",
-) -> DataFrame:
-    """New customer rows to insert: CRM rows with their ERP match and the city's region, then
-    ERP customers unknown to CRM.
-
-    ``mode='union'`` skips keys the dimension holds in any version, ``'full_outer'``
-    those it holds as current.
-    """
+def customer_rows(crm: DataFrame, erp: DataFrame, loc: DataFrame) -> DataFrame:
+    """CRM customers with their ERP match and the city's region, then ERP customers unknown to CRM."""
     crm = crm.drop("data_quality_score")
     # Distinct first: a city with many branches must not multiply its customers.
     regions = loc.select(F.col("city").alias("_city"), "region").distinct()
@@ -128,18 +104,29 @@ def dim_customers(
         "credit_limit",
         "account_status AS status",
     )
-    rows = both.unionByName(erp_only, allowMissingColumns=True)
-    return _insert_new(rows, existing, mode, "customer_key", "customer_id", as_of)
+    return both.unionByName(erp_only, allowMissingColumns=True)
 
 
-def dim_products_crm(
+def dim_customers(
     crm: DataFrame,
     erp: DataFrame,
+    loc: DataFrame,
     as_of: date,
     existing: DataFrame | None = None,
     mode: str = "union",
 ) -> DataFrame:
-    """New product rows to insert; modes as in ``dim_customers``.
+    """New customer rows to insert.
+
+    ``mode='union'`` skips keys the dimension holds in any version, ``'full_outer'``
+    those it holds as current. Changed customers are left as they are; ``scd2_changes`` over
+    ``customer_rows`` versions them.
+    """
+    rows = customer_rows(crm, erp, loc)
+    return _insert_new(rows, existing, mode, "customer_key", "customer_id", as_of)
+
+
+def product_rows(crm: DataFrame, erp: DataFrame, mode: str = "union") -> DataFrame:
+    """CRM products with their ERP match, then ERP products unknown to CRM.
 
     ``'union'`` fills currency 'VND' and status 'ACTIVE', ``'full_outer'`` leaves NULL.
     """
@@ -171,5 +158,16 @@ def dim_products_crm(
         f"CAST({currency} AS STRING) AS currency",
         f"CAST({status} AS STRING) AS status",
     )
-    rows = both.unionByName(erp_only, allowMissingColumns=True)
+    return both.unionByName(erp_only, allowMissingColumns=True)
+
+
+def dim_products_crm(
+    crm: DataFrame,
+    erp: DataFrame,
+    as_of: date,
+    existing: DataFrame | None = None,
+    mode: str = "union",
+) -> DataFrame:
+    """New product rows to insert; modes as in ``dim_customers`` and ``product_rows``."""
+    rows = product_rows(crm, erp, mode)
     return _insert_new(rows, existing, mode, "product_key", "product_id", as_of)

@@ -70,7 +70,7 @@ def fact_transactions(
     for currency, rate in rates.items():
         amount_vnd = F.when(
             F.col("currency") == currency,
-            F.round(F.col("amount") * F.lit(rate), 0).cast("decimal(18,2)"),
+            F.round(F.col("amount") * F.lit(rate), 0).cast("decimal(38,2)"),
         ).otherwise(amount_vnd)
     return with_user_sk(usable, dim_users).select(
         F.col("txn_id").alias("txn_sk"),

@@ -14,7 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import parse_date
-from tidemark.functions.numbers import MONEY, money, positive_or_null, typed_key
+from tidemark.functions.numbers import (
+    MONEY,
+    lost_as_money,
+    lost_as_number,
+    lost_as_whole,
+    money,
+    positive_or_null,
+    product,
+    typed_key,
+    whole,
+)
 from tidemark.functions.text import (
     blank_to,
     flag,
@@ -68,14 +78,33 @@ ENTITY_KEYS = {
 }
 
 
+# Numbers of each source that Silver would have to change to store them.
+LOST_NUMBERS = {
+    "users": (),
+    "products": (lost_as_money("unit_price"), lost_as_money("cost_price"), lost_as_whole("stock_qty")),
+    "orders": (lost_as_money("total_amount"), lost_as_number("discount")),
+    "order_items": (
+        lost_as_whole("quantity"),
+        lost_as_money("unit_price"),
+        f"{product(whole('quantity'), money('unit_price'))} IS NULL "
+        "AND quantity IS NOT NULL AND unit_price IS NOT NULL",
+    ),
+    "transactions": (lost_as_money("amount"),),
+}
+
+
 def _unreadable(entity: str) -> Column:
-    """Whether a row has a key that is there but no whole number."""
+    """Whether a row has a key that is there but no whole number, or a number that Silver cannot keep."""
     bad = [f"({k} IS NOT NULL AND {typed_key(k)} IS NULL)" for k in ENTITY_KEYS[entity]]
-    return F.expr(" OR ".join(bad))
+    return F.expr(" OR ".join(f"coalesce({x}, false)" for x in (*bad, *LOST_NUMBERS[entity])))
 
 
 def rejected_rows(bronze: DataFrame, entity: str) -> DataFrame:
-    """The Bronze rows that Silver leaves out because one of their keys cannot be read."""
+    """The Bronze rows that Silver leaves out because a key or number cannot be read or kept.
+
+    Silver never replaces such a number by another value. An older row of the same key
+    that can be kept stays in Silver.
+    """
     return bronze.filter(_unreadable(entity))
 
 
@@ -84,6 +113,13 @@ def _readable(rows: DataFrame, entity: str) -> DataFrame:
     return rows.filter(~_unreadable(entity))
 
 
+def batch_keys(bronze: DataFrame, entity: str, batch_id: str) -> DataFrame:
+    """The distinct typed keys of a batch's readable rows, also of those that Silver leaves out."""
+    key = ENTITY_KEYS[entity][0]
+    rows = _readable(latest_batch(bronze, batch_id), entity)
+    return rows.select(F.expr(typed_key(key)).alias(key)).filter(f"{key} IS NOT NULL").distinct()
+
+
 def dedup_users(
     bronze: DataFrame,
     batch_id: str | None = None,
@@ -150,7 +186,7 @@ def clean_products(
         blank_to("subcategory", "Other").alias("subcategory"),
         positive_or_null(price).alias("unit_price"),
         positive_or_null(money("cost_price")).alias("cost_price"),
-        F.expr("greatest(try_cast(stock_qty AS int), 0)").alias("stock_qty"),
+        F.expr(f"greatest({whole('stock_qty')}, 0)").alias("stock_qty"),
         blank_to("supplier", "Unknown").alias("supplier"),
         F.col("_batch_id").alias("_source_batch_id"),
         flag(f"{price} <= 0").alias("_flag_negative_price"),
@@ -165,7 +201,9 @@ def clean_orders(
 ) -> DataFrame:
     """Orders with a user; the discount is forced into 0..100 and a missing one is 0."""
     amount = money("total_amount")
-    discount = "coalesce(try_cast(discount AS decimal(18,6)), 0)"
+    # A discount too large for the decimal is still more than 100, or less than 0.
+    far = "if(try_cast(discount AS double) > 0, 100, 0)"
+    discount = f"coalesce(try_cast(discount AS decimal(18,6)), {far})"
     return (
         _rows_per_key(bronze, "order_id", batch_id, mode, recency, "orders")
         .filter("user_id IS NOT NULL")
@@ -205,11 +243,11 @@ def clean_order_items(
             F.expr(typed_key("item_id")).alias("item_id"),
             F.expr(typed_key("order_id")).alias("order_id"),
             F.expr(typed_key("product_id")).alias("product_id"),
-            F.expr("greatest(try_cast(quantity AS int), 1)").alias("quantity"),
+            F.expr(f"greatest({whole('quantity')}, 1)").alias("quantity"),
             F.expr(f"CAST(greatest({money('unit_price')}, 0) AS {MONEY})").alias("unit_price"),
             F.col("_batch_id").alias("_source_batch_id"),
         )
-        .withColumn("subtotal_calculated", F.expr(f"CAST(quantity * unit_price AS {MONEY})"))
+        .withColumn("subtotal_calculated", F.expr(product("quantity", "unit_price")))
     )
     if orders is None:
         return items

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,16 +31,19 @@ from tidemark.operators.silver_shop import (
 )
 from tidemark.plans.crm import AS_OF as CRM_AS_OF
 from tidemark.plans.crm import CLEANERS, Crm
-from tidemark.plans.shop import KEYS, RUN_AT, Shop, recency, run_incremental
+from tidemark.plans.shop import KEYS, RUN_AT, Shop, merge_silver, recency, run_incremental, undo_silver
 from tidemark.session import new_folder, prepare
 from tidemark.sources.bronze import (
     batch_summary,
+    drop_batch,
     incremental,
     ingest_all,
+    land_batch,
     read_bronze,
     rollback_batch,
     with_bronze_id,
 )
+from tidemark.sources.keyed import read_keyed
 from tidemark.sources.tables import append_new, overwrite, read_table
 from tidemark.sources.watermarks import (
     advance_watermarks,
@@ -49,6 +52,7 @@ from tidemark.sources.watermarks import (
     read_watermarks,
     run_log,
 )
+from tidemark.streaming.apply import apply_changes
 from tidemark.streaming.changes import (
     capture,
     envelope,
@@ -148,6 +152,24 @@ def _incremental_rerun(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("s6d_overlap")
+def _overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """Every eleventh order of the days before the first load's end is committed after that load."""
+    orders, lake = Shop(spark, folder).source("orders"), new_folder(spark, "overlap")
+    made, first = F.col("created_at"), F.lit(WATERMARK)
+    late = (F.col("order_id") % 11 == 0) & (made > F.lit(WATERMARK - timedelta(days=20)))
+    loads = (orders.filter((made <= first) & ~late), orders.filter(made <= F.lit(WATERMARK + timedelta(days=200))), orders)
+    for number, (source, batch_id) in enumerate(zip(loads, ("A", "B", "C"), strict=True), 1):
+        run_incremental(
+            spark, {"orders": source}, lake, batch_id, datetime(2024, 1, number), overlap=timedelta(days=30)
+        )
+    return (
+        read_bronze(spark, f"{lake}/bronze/orders")
+        .groupBy("_batch_id")
+        .agg(F.count("*").alias("batch_rows"), F.count_distinct("order_id").alias("orders"))
+    )
+
+
 def watermark_state(shop: Shop) -> tuple[DataFrame, DataFrame]:
     """Marks after a first load up to a date, and the marks of the load that follows it."""
     orders, payments = shop.source("orders"), shop.source("transactions")
@@ -244,6 +266,37 @@ _shop(
         s.bronze("order_items"), None, mode="latest_per_key", recency=recency("order_items")
     ),
 )
+
+
+def _three_batches(spark: SparkSession, folder: str) -> str:
+    """Items landed in three batches and merged into Silver one after another; the lake's folder.
+
+    The second batch changes every seventh item's quantity, the third brings every fifth item.
+    """
+    shop, lake = Shop(spark, folder), new_folder(spark, "delta")
+    items, item = shop.source("order_items"), F.col("item_id")
+    more = items.filter(item % 7 == 0).withColumn("quantity", F.col("quantity") + 1)
+    batches = {"A": items.filter(item % 5 != 0), "B": more, "C": items.filter(item % 5 == 0)}
+    for number, (batch_id, rows) in enumerate(batches.items(), 1):
+        land_batch(rows, "public.order_items", f"{lake}/bronze/order_items", batch_id, datetime(2024, 1, number))
+        merge_silver(spark, lake, "order_items", batch_id, recency("order_items"))
+    return lake
+
+
+@query("c3c_merge_delta")
+def _merge_delta(spark: SparkSession, folder: str) -> DataFrame:
+    return read_keyed(spark, f"{_three_batches(spark, folder)}/silver_by_key/order_items")
+
+
+@query("s9b_rollback_silver")
+def _rollback_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """The second batch taken out of Bronze, and out of Silver by its own keys only."""
+    lake = _three_batches(spark, folder)
+    drop_batch(spark, f"{lake}/bronze/order_items", "B")
+    undo_silver(spark, lake, "order_items", "B", recency("order_items"))
+    return read_keyed(spark, f"{lake}/silver_by_key/order_items")
+
+
 _shop("c4_clean_users", lambda s: clean_users(s.bronze("users"), recency=recency("users")))
 _shop(
     "c5_clean_products",
@@ -283,6 +336,39 @@ _shop(
         "item_id", "order_id", "product_id", "_batch_id"
     ),
 )
+
+
+def _wide_amounts(shop: Shop) -> DataFrame:
+    """Items with large, fractional and tiny numbers, by the remainder of their key."""
+    item = F.col("item_id").cast("bigint")
+
+    def chosen(column: str, values: dict[int, str]) -> Column:
+        cases = F.col(column)
+        for remainder, value in values.items():
+            cases = F.when(item % 11 == remainder, F.lit(value)).otherwise(cases)
+        return cases
+
+    return latest_batch(shop.bronze("order_items")).withColumns(
+        {
+            "quantity": chosen("quantity", {0: "3000000000", 1: "2.0", 5: "2.5", 6: "9" * 18, 7: "9" * 20}),
+            "unit_price": chosen(
+                "unit_price",
+                {2: "10000000000000000.00", 3: "1000000000000000", 4: "0.004", 6: "9" * 20, 8: "9" * 40},
+            ),
+        }
+    )
+
+
+_shop(
+    "c7d_wide_amounts",
+    lambda s: clean_order_items(_wide_amounts(s), None, recency=recency("order_items")),
+)
+_shop(
+    "c7e_rejected_amounts",
+    lambda s: rejected_rows(_wide_amounts(s), "order_items").select(
+        "item_id", "quantity", "unit_price", "_batch_id"
+    ),
+)
 _shop(
     "c8_clean_transactions",
     lambda s: clean_transactions(s.bronze("transactions"), recency=recency("transactions")),
@@ -386,6 +472,7 @@ def _second_customer_load(c: Crm, mode: str) -> DataFrame:
 
 
 _crm("d9c_dim_customers_second_load", lambda c: _second_customer_load(c, "union"))
+_crm("d9d_dim_customers_scd2", lambda c: c.customer_changes())
 _shop("d11_history", lambda s: history(s.dim_users_history(), "user_id"))
 _shop("d11b_history_of_one", lambda s: history(s.dim_users_history(), "user_id", 15))
 
@@ -724,6 +811,19 @@ def _resume(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out").drop("timestamp")
 
 
+@query("t7_apply_changes")
+def _apply_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """One table's events merged into its state; the later ones are delivered first."""
+    work, events = new_folder(spark, "apply"), read_table(spark, folder, "events")
+    late = F.col("ts") >= F.lit(datetime(2024, 1, 5))
+    for part in (late, ~late | F.col("ts").isNull()):
+        events.filter(part).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/in")
+        rows = explode_rows(route(as_change_events(stream), {"bronze": ["cdc_test"]}))
+        apply_changes(rows, f"{work}/state", f"{work}/checkpoint", ["row_id"]).awaitTermination()
+    return read_keyed(spark, f"{work}/state")
+
+
 @query("t6_stream_to_bronze")
 def _stream_to_bronze(spark: SparkSession, folder: str) -> DataFrame:
     work = new_folder(spark, "stream-bronze")

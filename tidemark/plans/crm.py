@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.dim_date import dim_date
-from tidemark.operators.dims import dim_customers, dim_products_crm
+from tidemark.operators.dims import customer_rows, dim_customers, dim_products_crm, product_rows
 from tidemark.operators.facts import fact_sales
+from tidemark.operators.scd2 import CUSTOMERS, PRODUCTS, Dimension, empty_dimension, scd2_changes, scd2_upsert
 from tidemark.operators.silver_crm import (
     clean_crm_cust,
     clean_crm_prd,
@@ -23,6 +25,7 @@ from tidemark.operators.silver_crm import (
 from tidemark.plans import once
 from tidemark.sources.bindings import bind
 from tidemark.sources.tables import if_stored, overwrite, read_table
+from tidemark.sources.watermarks import logged_step
 
 CLEANERS = {
     "crm_cust_info": clean_crm_cust,
@@ -72,6 +75,18 @@ class Crm:
             self.silver("crm_prd_info"), self.silver("erp_px_cat_g1v2"), AS_OF, existing, mode
         )
 
+    @once
+    def customer_changes(self) -> DataFrame:
+        """SCD2 step: every seventh customer is unknown so far, every ninth got a new e-mail address."""
+        rows = customer_rows(
+            self.silver("crm_cust_info"), self.silver("erp_cust_az12"), self.silver("erp_loc_a101")
+        )
+        number = F.regexp_extract("customer_id", "[0-9]+", 0).cast("bigint")
+        first = scd2_upsert(empty_dimension(rows, CUSTOMERS), rows.filter(number % 7 != 0), AS_OF, kind=CUSTOMERS)
+        moved = F.when(number % 9 == 0, F.concat(F.lit("new"), number, F.lit("@example.com")))
+        second = rows.withColumn("email", F.coalesce(moved, "email"))
+        return scd2_changes(first, second, AS_OF + timedelta(days=1), kind=CUSTOMERS)
+
     @once
     def fact_sales(self, existing: DataFrame | None = None) -> DataFrame:
         return fact_sales(
@@ -79,38 +94,61 @@ class Crm:
         )
 
 
-def run_load(spark: SparkSession, bronze: Mapping[str, DataFrame], lake: str, as_of: date) -> None:
-    """Rebuild Silver and insert what Gold lacks; each step reads back what the last one stored.
-
-    Gold only takes rows whose key it does not hold, so a repeated load adds nothing.
+def run_load(
+    spark: SparkSession,
+    bronze: Mapping[str, DataFrame],
+    lake: str,
+    as_of: date,
+    clock: Callable[[], datetime] = datetime.now,
+    calendar: tuple[date, date] | None = None,
+    changes: str = "version",
+) -> None:
+    """Rebuild Silver and bring Gold up to it; each step reads back what the last one stored.
+
+    A customer or product that changed gets a new version from ``as_of`` on;
+    ``changes='insert'`` only adds keys Gold does not hold. Sales are added once, under the
+    versions current then. A repeated load adds nothing. ``calendar`` sets the
+    first and last day of the date dimension; both procedures write their start and end to
+    the ETL log.
     """
-    silver = {
-        name: overwrite(clean(bronze[name]), f"{lake}/silver/clean_{name}")
-        for name, clean in CLEANERS.items()
-    }
-    overwrite(dim_date(spark, style="fiscal"), f"{lake}/gold/dim_date")
-    customers, products, sales = (
-        _stored(spark, f"{lake}/gold/{name}")
-        for name in ("dim_customers", "dim_products", "fact_sales")
-    )
-    new_customers = dim_customers(
-        silver["crm_cust_info"],
-        silver["erp_cust_az12"],
-        silver["erp_loc_a101"],
-        as_of,
-        customers,
-    )
-    customers = _append(new_customers, f"{lake}/gold/dim_customers")
-    new_products = dim_products_crm(
-        silver["crm_prd_info"], silver["erp_px_cat_g1v2"], as_of, products
-    )
-    products = _append(new_products, f"{lake}/gold/dim_products")
-    new_sales = fact_sales(silver["crm_sales_details"], customers, products, sales)
-    _append(new_sales, f"{lake}/gold/fact_sales")
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    return if_stored(lambda: spark.read.parquet(path))
+    if changes not in ("version", "insert"):
+        raise ValueError(f"unknown way with changes: {changes}")
+    control = f"{lake}/control"
+    with logged_step(spark, control, "sp_load_silver", "SILVER", clock) as step:
+        silver = {
+            name: overwrite(clean(bronze[name]), f"{lake}/silver/clean_{name}")
+            for name, clean in CLEANERS.items()
+        }
+        step.rows = sum(df.count() for df in silver.values())
+
+    with logged_step(spark, control, "sp_load_gold", "GOLD", clock) as step:
+        gold = f"{lake}/gold"
+        days = {"start": calendar[0], "end": calendar[1]} if calendar else {}
+        overwrite(dim_date(spark, style="fiscal", **days), f"{gold}/dim_date")
+        customers, products, sales = (
+            if_stored(lambda name=name: spark.read.parquet(f"{gold}/{name}"))
+            for name in ("dim_customers", "dim_products", "fact_sales")
+        )
+        parts = (silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"])
+        items = (silver["crm_prd_info"], silver["erp_px_cat_g1v2"])
+        if changes == "version":
+            customers = _next_state(customer_rows(*parts), customers, CUSTOMERS, f"{gold}/dim_customers", as_of)
+            products = _next_state(product_rows(*items), products, PRODUCTS, f"{gold}/dim_products", as_of)
+        else:
+            customers = _append(dim_customers(*parts, as_of, customers), f"{gold}/dim_customers")
+            products = _append(dim_products_crm(*items, as_of, products), f"{gold}/dim_products")
+        facts = _append(
+            fact_sales(silver["crm_sales_details"], customers, products, sales), f"{gold}/fact_sales"
+        )
+        step.rows = sum(df.count() for df in (customers, products, facts))
+
+
+def _next_state(
+    rows: DataFrame, stored: DataFrame | None, kind: Dimension, path: str, as_of: date
+) -> DataFrame:
+    """The dimension after this load, stored in place of the one before."""
+    before = empty_dimension(rows, kind) if stored is None else stored
+    return overwrite(scd2_upsert(before, rows, as_of, kind=kind), path)
 
 
 def _append(df: DataFrame, path: str) -> DataFrame:

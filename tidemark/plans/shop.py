@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import typed_key
 from tidemark.operators.dim_date import dim_date
 from tidemark.operators.dims import dim_products, dim_users_init
 from tidemark.operators.facts import fact_orders, fact_transactions
 from tidemark.operators.scd2 import scd2_changes, scd2_upsert
 from tidemark.operators.silver_shop import (
+    batch_keys,
     clean_order_items,
     clean_orders,
     clean_products,
@@ -31,6 +33,7 @@ from tidemark.sources.bindings import bind
 from tidemark.sources.bronze import (
     drop_batch,
     incremental,
+    incremental_overlap,
     ingest_all,
     land_batch,
     newest_batch,
@@ -39,7 +42,8 @@ from tidemark.sources.bronze import (
     time_column,
     to_bronze,
 )
-from tidemark.sources.tables import if_stored, overwrite, read_table, stamped
+from tidemark.sources.keyed import BUCKETS, DELETED, SEQUENCE, merge_keyed, read_keyed
+from tidemark.sources.tables import absent_from, if_stored, overwrite, read_table, stamped
 from tidemark.sources.watermarks import (
     advance_watermarks,
     loaded_marks,
@@ -70,7 +74,7 @@ def recency(entity: str) -> list[Column]:
             ("tie_shipdate", "date"),
         ]
     }.get(entity, [(KEYS[entity], "bigint")])
-    return [F.col(name).cast(kind).desc_nulls_last() for name, kind in columns]
+    return [F.col(name).try_cast(kind).desc_nulls_last() for name, kind in columns]
 
 
 @dataclass(frozen=True)
@@ -266,6 +270,81 @@ def refresh_dim_users(spark: SparkSession, path: str, users: DataFrame, as_of: d
     return overwrite(state, snapshot)
 
 
+# How Silver tables of one row per key come from Bronze. Users are not among them: their row
+# is chosen per address, and addresses move between users.
+BY_KEY: dict[str, Callable[..., DataFrame]] = {
+    "products": clean_products,
+    "orders": clean_orders,
+    "order_items": lambda bronze, *more, **options: clean_order_items(bronze, None, *more, **options),
+    "transactions": clean_transactions,
+}
+
+
+def _with_sequence(rows: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Cleaned rows with the ingest time and id of the batch they come from."""
+    batches = bronze.select(F.col("_batch_id").alias("_source_batch_id"), "_ingested_at").distinct()
+    sequence = F.struct("_ingested_at", "_source_batch_id").alias(SEQUENCE)
+    return rows.join(F.broadcast(batches), "_source_batch_id").select(*rows.columns, sequence)
+
+
+def merge_silver(
+    spark: SparkSession,
+    lake: str,
+    entity: str,
+    batch_id: str,
+    order: Sequence[Column] | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Bring ``silver_by_key/<entity>`` up to one landed batch, touching the buckets of its keys only.
+
+    After all batches in order the table equals a rebuild that takes each key's newest
+    version (``latest_per_key``). A key whose newest row Silver leaves out, such as an order
+    without a user, goes, as in the rebuild. Items are not checked against orders here;
+    the fact's join does that. Calling it again for a batch changes nothing.
+    """
+    bronze = read_bronze(spark, f"{lake}/bronze/{entity}")
+    key = KEYS[entity]
+    rows = BY_KEY[entity](bronze, batch_id, recency=order)
+    left_out = absent_from(batch_keys(bronze, entity, batch_id), rows, [key]).withColumns(
+        {"_source_batch_id": F.lit(batch_id), DELETED: F.lit(True)}
+    )
+    kept = rows.withColumn(DELETED, F.lit(False))
+    both = kept.unionByName(left_out, allowMissingColumns=True)
+    incoming = _with_sequence(both, bronze.filter(F.col("_batch_id") == batch_id))
+    merge_keyed(incoming, f"{lake}/silver_by_key/{entity}", [key], f"batch-{batch_id}", buckets)
+
+
+def undo_silver(
+    spark: SparkSession,
+    lake: str,
+    entity: str,
+    batch_id: str,
+    order: Sequence[Column] | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """After a batch was rolled back from Bronze: rebuild the keys whose Silver row came from it.
+
+    Other keys, and buckets without such keys, are not touched. Afterwards the table is as
+    if the batch had never been landed.
+    """
+    key, path = KEYS[entity], f"{lake}/silver_by_key/{entity}"
+    stored = read_keyed(spark, path, deleted=True)
+    if stored is None:
+        return
+    own = stored.filter(F.col("_source_batch_id") == batch_id).select(key)
+    bronze = read_bronze(spark, f"{lake}/bronze/{entity}").filter(F.col("_batch_id") != batch_id)
+    raw = bronze.withColumn("_typed", F.expr(typed_key(key)))
+    affected = raw.join(own.withColumnRenamed(key, "_typed"), "_typed", "left_semi").drop("_typed")
+    rows = BY_KEY[entity](affected, mode="latest_per_key", recency=order).withColumn(DELETED, F.lit(False))
+    rebuilt = _with_sequence(rows, bronze)
+    first = F.struct(
+        F.lit(datetime(1, 1, 1)).cast("timestamp_ntz").alias("_ingested_at"), F.lit("").alias("_source_batch_id")
+    )
+    unknown = absent_from(own, rows, [key]).withColumns({DELETED: F.lit(True), SEQUENCE: first})
+    incoming = rebuilt.unionByName(unknown, allowMissingColumns=True)
+    merge_keyed(incoming, path, [key], f"undo-{batch_id}", buckets, replaced=own)
+
+
 def run_incremental(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -273,9 +352,13 @@ def run_incremental(
     batch_id: str,
     run_at: datetime,
     clock: Callable[[], datetime] = datetime.now,
+    overlap: timedelta | None = None,
 ) -> DataFrame:
     """Load what is newer than each table's watermark; returns this run's log events.
 
+    With ``overlap`` rows up to so long below the mark are read again, and those
+    that landed before are left out (``incremental_overlap``).
+
     A batch may run again, after a crash or to catch up: each table then starts from the
     mark it had before the batch, so the batch comes out whole. Only a table's newest
     batch may. A table that fails is logged and does not stop the others; what its
@@ -302,7 +385,13 @@ def run_incremental(
                 raise ValueError(f"{batch_id} is not the newest batch of {table}")
             before = read_watermarks(own.filter(F.col("last_batch_id") != batch_id)).first()
             mark = before["last_loaded_at"] if before is not None else None
-            landed = land_batch(incremental(df, mark), table, path, batch_id, run_at)
+            if overlap is None:
+                new = incremental(df, mark)
+            else:
+                stored = if_stored(lambda path=path: read_bronze(spark, path))
+                others = stored.filter(F.col("_batch_id") != batch_id) if stored is not None else None
+                new = incremental_overlap(df, mark, others, overlap)
+            landed = land_batch(new, table, path, batch_id, run_at)
             marks = spark.createDataFrame(
                 [(table, landed.newest, batch_id, landed.rows)],
                 "table_name string, last_loaded_at timestamp_ntz, last_batch_id string, last_row_count bigint",

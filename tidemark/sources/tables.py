@@ -65,6 +65,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     spark, target = df.sparkSession, path.rstrip("/")
+    recover(spark, target)
     parent, _, name = target.rpartition("/")
     mark = uuid.uuid4().hex[:12]
     # Names with a leading dot are skipped by readers of the parent folder.
@@ -81,11 +82,32 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.parquet(target)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put a table back whose replacement stopped between the two renames of ``overwrite``.
+
+    Then the old table lies beside the missing one, and takes its place again; the load that
+    failed is run anew. True if there was something to put back.
+    """
+    target = path.rstrip("/")
+    parent, _, name = target.rpartition("/")
+    if path_exists(spark, target):
+        return False
+    at, files = _file_system(spark, f"{parent}/.{name}-*-old")
+    left = sorted(files.globStatus(at) or (), key=lambda found: found.getModificationTime())
+    return bool(left) and rename_path(spark, left[-1].getPath().toString(), target)
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path of a pattern, exists."""
+    at, files = _file_system(spark, pattern)
+    return bool(files.globStatus(at))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     at, files = _file_system(spark, path)
     files.delete(at, True)

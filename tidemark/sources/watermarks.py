@@ -36,7 +36,9 @@ def loaded_marks(loaded: Mapping[str, DataFrame], ts_columns: Mapping[str, str |
 def read_watermarks(state: DataFrame) -> DataFrame:
     """Latest state row per table from the append-only control table."""
     newest = F.max_by(
-        F.struct("last_loaded_at", "last_batch_id", "last_row_count", "updated_at"), "updated_at"
+        F.struct("last_loaded_at", "last_batch_id", "last_row_count", "updated_at"),
+        # Of rows written in one instant, the one with the later mark, then the later batch.
+        F.struct("updated_at", "last_loaded_at", "last_batch_id", "last_row_count"),
     )
     return state.groupBy("table_name").agg(newest.alias("s")).select("table_name", "s.*")
 
