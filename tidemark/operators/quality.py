@@ -207,40 +207,66 @@ class ForeignKey:
 def check_constraints(
     df: DataFrame, constraints: Sequence[Unique | NotNull | Check | ForeignKey]
 ) -> DataFrame:
-    """Violating rows per constraint (for Unique: rows beyond the first of each key)."""
-    parts = []
-    row_checks = [c for c in constraints if isinstance(c, NotNull | Check)]
-    if row_checks:
-        counts = df.agg(*[F.count_if(_violates(c)).alias(c.name) for c in row_checks])
-        lines = [
-            F.struct(F.lit(c.name).alias("constraint"), F.col(c.name).alias("violations"))
-            for c in row_checks
-        ]
-        parts.append(counts.select(F.inline(F.array(*lines))))
-    for c in constraints:
+    """Violating rows per constraint (for Unique: rows beyond the first of each key).
+
+    All constraints are checked in one pass: each row becomes one tagged entry (rule, key,
+    count) per constraint, the parents' keys come beside them, and entries are counted
+    map-side before the only shuffle. So the table and each parent are read once.
+    """
+    entries, parents = [], []
+    for rule, c in enumerate(constraints):
+        key, n = F.lit(None).cast("string"), F.lit(1).cast("bigint")
         if isinstance(c, Unique):
-            counted = df.groupBy(*c.columns).agg(F.count("*").alias("n")).agg(F.sum(F.col("n") - 1))
+            key = _text_of(c.columns)
         elif isinstance(c, ForeignKey):
-            counted = _orphans(df, c)
+            key = F.col(c.column).cast("string")
+            n = F.col(c.column).isNotNull().cast("bigint")
+            parent = F.col(c.parent_column).cast("string").alias("key")
+            parents.append(c.parent.select(F.lit(rule).alias("rule"), parent, _count(0), _count(1, "parents")))
         else:
-            continue
-        total = F.coalesce(F.col(counted.columns[0]), F.lit(0)).cast("bigint")
-        parts.append(counted.select(F.lit(c.name).alias("constraint"), total.alias("violations")))
-    return reduce(DataFrame.unionByName, parts)
+            n = F.coalesce(_violates(c).cast("bigint"), F.lit(0).cast("bigint"))
+        entries.append(F.struct(F.lit(rule).alias("rule"), key.alias("key"), n.alias("n")))
+    rows = df.select(F.inline(F.array(*entries))).withColumn("parents", F.lit(0).cast("bigint"))
+    # One entry of each rule, so that an empty table has its zeros.
+    seeds = df.sparkSession.range(len(constraints)).select(
+        F.col("id").cast("int").alias("rule"), F.lit(None).cast("string").alias("key"), _count(0), _count(0, "parents")
+    )
+    counted = (
+        reduce(DataFrame.unionByName, [rows, seeds, *parents])
+        .groupBy("rule", "key")
+        .agg(F.sum("n").alias("n"), F.sum("parents").alias("parents"))
+    )
+
+    def of_kind(kind: type) -> Column:
+        numbers = [i for i, c in enumerate(constraints) if isinstance(c, kind)]
+        return F.col("rule").isin(numbers) if numbers else F.lit(False)
+
+    zero = F.lit(0).cast("bigint")
+    broken = (
+        F.when(of_kind(Unique), F.greatest(F.col("n") - 1, zero))
+        .when(of_kind(ForeignKey), F.when(F.col("parents") == 0, F.col("n")).otherwise(zero))
+        .otherwise(F.col("n"))
+    )
+    names = F.array(*[F.lit(c.name) for c in constraints])
+    return (
+        counted.groupBy("rule")
+        .agg(F.sum(broken).alias("violations"))
+        .select(F.get(names, F.col("rule")).alias("constraint"), "violations")
+    )
+
+
+def _count(value: int, name: str = "n") -> Column:
+    return F.lit(value).cast("bigint").alias(name)
+
+
+def _text_of(columns: Sequence[str]) -> Column:
+    """A text that two rows share exactly if they agree in the columns, nulls included."""
+    texts = [F.col(name).cast("string") for name in columns]
+    parts = [F.coalesce(F.concat(F.length(x), F.lit(":"), x), F.lit("-")) for x in texts]
+    return F.concat(*parts)
 
 
 def _violates(constraint: NotNull | Check) -> Column:
     if isinstance(constraint, NotNull):
         return F.col(constraint.column).isNull()
     return ~F.expr(constraint.condition)
-
-
-def _orphans(df: DataFrame, key: ForeignKey) -> DataFrame:
-    """Child rows without a parent, counted per key value before the anti join."""
-    children = (
-        df.filter(F.col(key.column).isNotNull())
-        .groupBy(F.col(key.column).alias("_key"))
-        .agg(F.count("*").alias("n"))
-    )
-    parents = key.parent.select(F.col(key.parent_column).alias("_key")).distinct()
-    return children.join(parents, "_key", "left_anti").agg(F.sum("n"))
