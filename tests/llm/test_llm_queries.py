@@ -6,8 +6,9 @@ import check
 import corpus
 import corpus_pipeline
 import pytest
-from test_llm_dedup import check_exact, check_near, digest, fingerprint
+from test_llm_dedup import check_exact, check_near, digest
 from test_llm_models import check_packing, check_scores
+from test_llm_similar import check_similar
 from test_llm_texts import COUNTS, base_counts, cut
 
 from tidemark.llm import catalog, packing
@@ -87,12 +88,8 @@ def test_pipeline_stages_do_what_they_say(spark, rows):
     for i in sorted(kept[names[0]]):
         first.setdefault(digest(texts[i]), i)
     assert kept[names[1]] == Counter(first.values())
-    marks = {i: fingerprint(texts[i]) for i in kept[names[2]]}
-    lost = set(kept[names[1]]) - set(marks)
-    assert all(
-        (a ^ b).bit_count() > 2 for i, a in marks.items() for j, b in marks.items() if i < j
-    )
-    assert all(any((fingerprint(texts[i]) ^ b).bit_count() <= 2 for b in marks.values()) for i in lost)
+    before, after = ([(i, texts[i]) for i in kept[name]] for name in (names[1], names[2]))
+    check_similar(before, after)
     assert set(kept[names[3]]) <= set(kept[names[2]]) and set(kept[names[3]].values()) == {1}
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     check_packing([(i, texts[i]) for i in kept[names[3]]], pieces, packing.TIERS)
