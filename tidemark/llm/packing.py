@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 
@@ -32,29 +33,43 @@ from pyspark.sql import functions as F
 
 TIERS = (256, 512, 1024, 2048)
 END = 1  # the id that ends a document
+END_BYTES = END.to_bytes(4, "little")
 POOL = 1 << 19  # ids of the documents packed together
 STEP = 1 << 16  # ids of a step group: 32 windows of 2,048 or 256 of 256
+CHUNK = 1 << 19  # characters of the texts that are looked up together, unless one text is longer
 CACHED = 400_000  # words whose ids a task remembers
 
 # Text whose lower case and composition do not depend on context or Unicode version.
-PLAIN = re.compile("[^\t-\r\x20-\x7e\xa1-įı-ɏ]")
+NOT_PLAIN = re.compile("[^\t-\r\x20-\x7e\xa1-įı-ɏ]")
+SPACES = re.compile(r"[\t-\r ]+")
 # The tokenizer's own split of lower-cased text.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def tokenizer_ids(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids (little-endian, four bytes each), without the end.
+class _Letters(dict):
+    """How the model writes a character's bytes, asked from its own pre-tokenizer once each."""
+
+    def __init__(self, by_bytes):
+        self.by_bytes = by_bytes
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.by_bytes.pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
+def tokenizer_ids(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids (little-endian, four bytes each), without the end.
 
     The tokenizer drops white space and treats what stands between independently, so
-    ids are looked up word by word; words not met before go through its model. Texts
-    with its special tokens go through it whole, and words outside Latin script whole.
+    ids are looked up word by word; the words of the texts that were not met before go
+    through its model together. Texts with its special tokens go through it whole, and
+    words outside Latin script whole.
     """
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
 
     whole = Tokenizer.from_file(path)
-    model = Tokenizer.from_file(path)
-    model.normalizer = normalizers.Sequence([])
-    model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenize = whole.model.tokenize
+    letters = _Letters(pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))
     split = regex.compile(PARTS).findall
     special = [token.content for token in whole.get_added_tokens_decoder().values()]
     plain: dict[str, bytes] = {}
@@ -62,35 +77,29 @@ def tokenizer_ids(path: str) -> Callable[[str], bytes]:
     other: dict[str, bytes] = {}
 
     def encoded(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()
+
+    def ids_of_part(part: str) -> bytes:
+        found = parts.get(part)
+        if found is None:
+            # For ASCII the model's letters for bytes are the characters themselves.
+            written = part if part.isascii() else part.translate(letters)
+            found = parts[part] = encoded([token.id for token in tokenize(written)])
+        return found
 
     def learn(words: set[str]) -> None:
-        pieces = {word: split(word) for word in words}
-        # Not a set difference: that would walk through all known parts.
-        new = list({part for found in pieces.values() for part in found if part not in parts})
-        if new:
-            found = model.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids, word_of = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            bounds = np.searchsorted(word_of, np.arange(len(new) + 1))
-            for part, a, b in zip(new, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                parts[part] = ids[a:b].tobytes()
-        for word, found in pieces.items():
-            plain[word] = parts[found[0]] if len(found) == 1 else b"".join([parts[x] for x in found])
-
-    def ids(text: str) -> bytes:
-        if "<" in text and any(token in text for token in special):
-            return encoded(whole.encode(text, add_special_tokens=False).ids)
-        if not PLAIN.search(text):
-            words = text.lower().split()
-            if len(plain) > CACHED:
-                plain.clear()
-                parts.clear()
-            try:
-                return b"".join([plain[word] for word in words])
-            except KeyError:
-                learn({word for word in words if word not in plain})
-                return b"".join([plain[word] for word in words])
-        words = re.split(r"[\t-\r ]+", text)
+        if len(plain) > CACHED:
+            plain.clear()
+            parts.clear()
+        for word in words:
+            # A word of letters alone is one part.
+            if word.isalpha():
+                plain[word] = ids_of_part(word)
+            else:
+                plain[word] = b"".join([ids_of_part(part) for part in split(word)])
+
+    def others(text: str) -> bytes:
+        words = SPACES.split(text)
         if len(other) > CACHED:
             other.clear()
         for word in words:
@@ -99,6 +108,26 @@ def tokenizer_ids(path: str) -> Callable[[str], bytes]:
                 other[word] = encoded(found)
         return b"".join([other[word] for word in words])
 
+    def ids(texts: list[str]) -> list[bytes]:
+        done: list[bytes | None] = []
+        split_up: list[list[str]] = []
+        for text in texts:
+            if "<" in text and any(token in text for token in special):
+                done.append(encoded(whole.encode(text, add_special_tokens=False).ids))
+            elif NOT_PLAIN.search(text):
+                done.append(others(text))
+            else:
+                done.append(None)
+                split_up.append(text.lower().split())
+        new = set().union(*split_up).difference(plain)
+        if new:
+            known = len(plain)
+            learn(new)
+            if len(plain) < known + len(new):  # the memory was cleared: learn what went with it
+                learn(set().union(*split_up).difference(plain))
+        looked_up = iter([b"".join(map(plain.__getitem__, words)) for words in split_up])
+        return [next(looked_up) if x is None else x for x in done]
+
     return ids
 
 
@@ -206,6 +235,18 @@ COLUMNS = (
 )
 
 
+def _in_chunks(ids_of: Callable[[list[str]], list[bytes]], texts: pa.Array) -> Iterator[bytes]:
+    """The texts' ids in order; a bounded number of texts is held at a time."""
+    waiting, size = [], 0
+    for text in texts:
+        waiting.append(text.as_py())
+        size += len(waiting[-1])
+        if size >= CHUNK:
+            yield from ids_of(waiting)
+            waiting, size = [], 0
+    yield from ids_of(waiting)
+
+
 def _pack(path: str, tiers: tuple[int, ...], pool: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = tokenizer_ids(path)
@@ -221,7 +262,7 @@ def _pack(path: str, tiers: tuple[int, ...], pool: int, step: int):
                 offset = 0
                 for doc, start, length in pieces:
                     name, data = docs[doc]
-                    crc = zlib.crc32(data[4 * start : 4 * (start + length)])
+                    crc = zlib.crc32(memoryview(data)[4 * start : 4 * (start + length)])
                     names.append(name)
                     rows.append(
                         (start, length, crc, len(data) // 4, sequence, offset, size, group + mine)
@@ -237,9 +278,9 @@ def _pack(path: str, tiers: tuple[int, ...], pool: int, step: int):
         windows, kind = [], pa.int64()
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            texts = zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
-            for name, text in texts:
-                data = ids_of(text.as_py()) + END.to_bytes(4, "little")
+            names = batch.column("doc_id").to_pylist()
+            for name, data in zip(names, _in_chunks(ids_of, batch.column("text")), strict=True):
+                data += END_BYTES
                 docs[number] = (name, data)
                 windows += packer.route(number, 0, len(data) // 4)
                 number += 1
