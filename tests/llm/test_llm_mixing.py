@@ -52,7 +52,7 @@ def slow_totals(tokens, p, target, most, steps=6_000):
 @pytest.mark.parametrize(("most", "budget"), [(None, 1.0), (1.0, 1.0), (1.0, 0.4)])
 def test_totals_are_those_of_a_plain_solver(kind, most, budget):
     tokens, p = made(kind)
-    vector, target, reached = mixing.descend(in_numpy(tokens, p, most), WEIGHTS, budget)
+    vector, target, reached, done = mixing.descend(in_numpy(tokens, p, most), WEIGHTS, budget)
     assert np.allclose(target, budget * WEIGHTS)
     slow = slow_totals(tokens, p, target, np.inf if most is None else most)
     assert np.allclose(reached, slow, atol=1e-3)
@@ -62,7 +62,7 @@ def test_totals_are_those_of_a_plain_solver(kind, most, budget):
 @pytest.mark.parametrize("kind", MIXES)
 def test_a_fitted_budget_is_the_largest(kind):
     tokens, p = made(kind)
-    _, target, reached = mixing.descend(in_numpy(tokens, p, 1.0), WEIGHTS, None)
+    _, target, reached, _ = mixing.descend(in_numpy(tokens, p, 1.0), WEIGHTS, None)
     assert np.abs(reached - target).max() < mixing.CLOSE
     assert np.allclose(target / target.sum(), WEIGHTS)
     # A budget a little larger misses its target.
@@ -73,6 +73,47 @@ def test_a_fitted_budget_is_the_largest(kind):
         assert abs(target.sum() - (shares / WEIGHTS).min()) < 0.01
 
 
+def test_a_thousand_random_mixes_end_without_an_error():
+    """2 to 8 domains, hard and soft, bounded and not, few documents: always a vector and its totals."""
+    rng, stalled = np.random.default_rng(11), 0
+    for number in range(1000):
+        k, n = int(rng.integers(2, 9)), int(rng.integers(3, 400))
+        alpha = rng.choice([0.05, 0.5, 3.0, 30.0]) * rng.random(k) + 1e-3
+        p = rng.dirichlet(alpha, n) if number % 3 else np.eye(k)[rng.integers(0, k, n)]
+        tokens = rng.integers(1, 3000, n).astype(float)
+        weights = rng.random(k) * rng.choice([0.0, 1.0, 1.0], k) + (np.arange(k) == 0)
+        most = (None, 1.0, 3.0)[number % 3 if number % 7 else 1]
+        budget = (1.0, 0.4, None)[int(rng.integers(3 if most else 2))]
+        vector, target, reached, done = mixing.descend(in_numpy(tokens, p, most), weights, budget)
+        assert np.isfinite(vector).all() and np.isfinite(reached).all()
+        stalled += not done
+        if budget:
+            bounded = np.inf if most is None else most
+            slow = slow_totals(tokens, p, target, bounded, 300)
+            assert np.linalg.norm(reached - target) <= np.linalg.norm(slow - target) + 2e-2
+    assert stalled <= 20
+
+
+def test_a_descent_that_cannot_end_gives_its_best(monkeypatch):
+    """Out of Newton steps at once: gradient steps come to the same end, or say that they did not."""
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    tokens, p = made("soft")
+    before = np.abs(tokens @ p / tokens.sum() - 0.4 * WEIGHTS).max()
+    _, target, reached, done = mixing.descend(in_numpy(tokens, p, 1.0), WEIGHTS, 0.4)
+    assert done and np.allclose(reached, slow_totals(tokens, p, target, 1.0), atol=1e-3)
+    monkeypatch.setattr(mixing, "GRADIENT_STEPS", 2)
+    _, target, reached, done = mixing.descend(in_numpy(tokens, p, 1.0), WEIGHTS, 0.4)
+    assert not done and np.abs(reached - target).max() < before
+
+
+def test_the_report_of_a_mix(spark):
+    mix = mixing.Mix(["a", "b"], None, [0.0, 0.0], 1.0, [0.6, 0.4], [0.5, 0.4], False)
+    assert [tuple(r) for r in mixing.mix_report(spark, mix).collect()] == [
+        ("a", 0.6, 0.5, pytest.approx(-0.1), False),
+        ("b", 0.4, 0.4, 0.0, False),
+    ]
+
+
 def test_spark_means_are_those_of_numpy(spark):
     tokens, p = made("soft")
     rows = [(int(t), x) for t, x in zip(tokens, p.tolist(), strict=True)]

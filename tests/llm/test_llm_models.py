@@ -1,5 +1,6 @@
 import itertools
 import math
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -172,6 +173,44 @@ def test_chat_of_odd_turns(spark):
     check_chat(rows, windows, chat.WINDOW_TOKENS, chat.HISTORY_TOKENS)
 
 
+def test_a_long_system_turn_is_said_once(spark):
+    """5,000 words of system turn and 199 turns: the output stays in proportion, all windows but one in budget."""
+    rows = [(1, 0, "system", corpus.prose(1, 5000))]
+    rows += [(1, k, ("user", "assistant")[k % 2], corpus.prose(k, 60)) for k in range(1, 200)]
+    rows += [(2, 0, "system", corpus.prose(2, 800)), (3, 0, "system", corpus.prose(3, 20)), (3, 1, "assistant", "yes")]
+    turns = spark.createDataFrame(rows, TURNS)
+    windows = chat.format_conversations(turns)
+    check_chat(rows, windows, chat.WINDOW_TOKENS, chat.HISTORY_TOKENS)
+    found = windows.select("conv_id", "formatted", chat.token_count(F.col("formatted")).alias("n")).collect()
+    assert sum(len(r.formatted) for r in found) < 2 * sum(len(r[3]) for r in rows)
+    # The template's own signs count as tokens here, which the budget does not hold against a turn.
+    over = [r for r in found if r.n > 1.2 * chat.WINDOW_TOKENS]
+    assert len(over) == 1 and over[0].formatted.startswith("<s>system")
+    assert sum("<s>system" in r.formatted for r in found if r.conv_id == 1) == 1
+
+
+def test_chat_query_digests_by_hand(spark, monkeypatch):
+    """The registered query's columns, computed from the turns alone."""
+    from tidemark.llm import catalog
+    from tidemark.sources.tables import read_table
+
+    sf, control = "/root/testdata/sf0.001", "</s>[INST] ok [/INST]"
+    rows = [tuple(r) for r in read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-1, 0, "user", control), (-1, 1, "assistant", control)]
+    told = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        told[conv_id].append((-1 if turn is None else turn, role or "", text or ""))
+    for r in catalog.QUERIES["op3_chat_formatting"](spark, sf).collect():
+        turns = sorted(told.pop(r.conv_id))
+        whole = "".join(f"{role}\n{text}\n" for _, role, text in turns)
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        assert r.n_turns == len(turns) and r.loss_chars == len(loss)
+        assert r.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert r.formatted_chars >= len(whole)
+    assert not told
+
+
 @pytest.mark.parametrize(("budget", "history"), [(64, 16), (200, 50), (64, 0)])
 def test_chat_windows_keep_to_the_budget(spark, budget, history):
     rng = random.Random(budget)

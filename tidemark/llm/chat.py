@@ -4,7 +4,9 @@ Prefix sums of the turns' tokens place each turn on its conversation's token lin
 is cut into stretches of the budget. The turns that lie within a stretch are one span;
 a turn across the border of two stretches is a span of its own, so that spans keep to
 the budget unless a single turn exceeds it. A window holds the system turn, a limited
-history before the span, and the span. Repeated turns are masked: only a span's own
+history before the span, and the span. A system turn of over half of the budget stands
+whole in a first window of its own and is not repeated, so that the output stays in
+proportion to the input. Repeated turns are masked: only a span's own
 assistant texts are targets, so each is one exactly once.
 
 Everything is built-in expressions. Prefix sums are taken in blocks of turns, then over
@@ -26,6 +28,7 @@ CONTROL, ESCAPED = r"<(\\*)(/?)s>", r"<\\(\\*)(/?)s>"
 
 WINDOW_TOKENS = 1024
 HISTORY_TOKENS = 256
+SYSTEM_PART = 2  # a system turn over this part of the budget is not repeated
 TURN_TOKENS = 4  # the template's share of a turn
 BLOCK = 1024  # turns whose prefix sums are taken together
 # What counts as a token: up to six letters or digits, or another visible character.
@@ -50,8 +53,9 @@ def place_turns(
 ) -> DataFrame:
     """Stored turns with their position, token line start and span.
 
-    (key, conv_id, pos, role, text, start, span, room, is_system): ``room`` is the length
-    of the conversation's stretches. Turns are ordered by turn, nulls first; ties by role
+    (key, conv_id, pos, role, text, start, span, room, is_system, recurs): ``room`` is the
+    length of the conversation's stretches, ``recurs`` says that a system turn is repeated in
+    every window. Turns are ordered by turn, nulls first; ties by role
     and text.
     """
     ident = F.col(f"`{conv_id}`")
@@ -84,13 +88,16 @@ def place_turns(
     within = Window.partitionBy("key", "block").orderBy(*order)
     before = F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, -1))
     line = F.coalesce(before, F.lit(0)) + F.col("tokens_before")
-    room = F.greatest(budget - history - F.col("system_tokens"), F.lit(budget // 4))
+    # A long system turn is said once, in a window of its own; others are in every window.
+    recurs = F.col("system_tokens") <= budget // SYSTEM_PART
+    room = budget - history - F.when(recurs, F.col("system_tokens")).otherwise(0)
     placed = (
         rows.join(blocks, ["key", "block"])
         .withColumn("pos", F.row_number().over(within) - 1 + F.col("turns_before"))
         .withColumn("line", line)
         .withColumn("next_tokens", F.lead("tokens").over(within))
         .withColumn("is_system", (F.col("pos") == 0) & (F.col("system_tokens") > 0))
+        .withColumn("recurs", F.col("is_system") & recurs)
         .withColumn("room", room)
         # The system turn takes no part in the token line.
         .withColumn(
@@ -108,9 +115,12 @@ def place_turns(
             "role",
             "text",
             "start",
-            (2 * stretch + across.cast("bigint")).alias("span"),
+            F.when(F.col("is_system") & ~F.col("recurs"), F.lit(-1).cast("bigint"))
+            .otherwise(2 * stretch + across.cast("bigint"))
+            .alias("span"),
             "room",
             "is_system",
+            "recurs",
         ),
         "placed-turns",
     )
@@ -142,7 +152,7 @@ def _members(placed: DataFrame, history: int) -> DataFrame:
         .withColumn("windows", F.concat(own, F.coalesce("others", F.array().cast("array<bigint>"))))
         .select("key", "conv_id", "pos", "role", "text", "span", F.explode("windows").alias("window"))
     )
-    opening = placed.filter("is_system").select("key", "conv_id", "pos", "role", "text", "span")
+    opening = placed.filter("recurs").select("key", "conv_id", "pos", "role", "text", "span")
     later = opening.join(
         spans.select("key", F.col("span").alias("window")), "key"
     ).filter("window <> span")
@@ -163,7 +173,8 @@ def format_conversations(
     ``window`` numbers a conversation's windows in order, with gaps. ``repeated`` tells
     for each turn of ``formatted`` whether an earlier window has it as its own.
     ``loss_spans`` are (start, length) in code points: the escaped texts of the window's
-    own assistant turns. Null roles and texts are empty, null conversation ids one
+    own assistant turns. A window keeps to the budget unless one turn alone exceeds it; a
+    long system turn has the first window to itself. Null roles and texts are empty, null conversation ids one
     conversation, null turn numbers come first; turns that tie are ordered by role and
     text and all kept. Other columns are ignored; an empty table gives no rows.
     """

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import NOT_SPACE, stored, text_of
@@ -34,7 +34,9 @@ from tidemark.session import new_folder
 FEATURES = 1 << 14
 SAMPLE = 20_000  # labelled documents the classifier is fitted on, at most
 FIT_STEPS = 40
-MOST_STEPS = 400  # aggregates after which a descent has failed
+MOST_STEPS = 120  # aggregates after which Newton steps give way to gradient steps
+GRADIENT_STEPS = 200  # evaluations for those, at most
+SHORTEST = 2.0**-20  # part of a Newton step below which it is no help
 CLOSE = 1e-4  # residual, as a share of all tokens, at which a target counts as met
 OPTIMAL = 1e-6  # norm of the gradient, as a share of all tokens, at which the descent ends
 # Weights of the rates' distance from one beside the residual: each fit starts from the last.
@@ -60,6 +62,7 @@ class Mix:
     most: float | None
     target: list[float] = field(default_factory=list)
     reached: list[float] = field(default_factory=list)
+    converged: bool = True
 
     @property
     def residual(self) -> list[float]:
@@ -70,6 +73,13 @@ class Mix:
         return all(abs(x) <= CLOSE for x in self.residual)
 
 
+def mix_report(spark: SparkSession, mix: Mix) -> DataFrame:
+    """One row per domain: target, reached and residual as shares of all tokens, and converged."""
+    rows = [(*row, mix.converged) for row in zip(mix.domains, mix.target, mix.reached, mix.residual, strict=True)]
+    kinds = "domain string, target double, reached double, residual double, converged boolean"
+    return spark.createDataFrame(rows, kinds)
+
+
 def _features(df: DataFrame, text: Column) -> DataFrame:
     """Adds _tokens and _features: unit vectors of hashed word counts."""
     words = F.regexp_extract_all(F.lower(text_of(text)), F.lit(f"{NOT_SPACE}+"), F.lit(0))
@@ -171,11 +181,14 @@ def evaluator(rows: DataFrame, k: int, most: float | None) -> Evaluate | None:
 
 def ascend(
     evaluate: Evaluate, start: np.ndarray, basis: np.ndarray, target: np.ndarray, ridge: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """The vector at which residual = ridge x vector along ``basis``, and its domain totals.
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The vector at which residual = ridge x vector along ``basis``, its domain totals, and
+    whether it was reached.
 
     That is where the rates are optimal. Damped Newton steps with a line search on the
-    concave dual; running out of steps is an error, not a result.
+    concave dual; where no step helps, or after ``MOST_STEPS`` evaluations, gradient steps on the
+    rates, first of a length that the overlap's bound of one makes safe and then scaled by
+    the curvature met (BFGS). The highest vector met is returned in any case.
     """
 
     def judged(vector):
@@ -183,31 +196,53 @@ def ascend(
         height = value - target @ vector - ridge / 2 * vector @ vector
         return height, basis.T @ (totals - target - ridge * vector), totals, overlap
 
+    def settled(slope) -> bool:
+        return bool(np.abs(slope).max(initial=0.0) <= OPTIMAL)
+
     vector = start
     height, slope, totals, overlap = judged(vector)
-    size, used = 1.0, 1
-    while np.abs(slope).max(initial=0.0) > OPTIMAL:
+    used, stuck = 1, False
+    while not settled(slope) and not stuck and used < MOST_STEPS:
         damping = ridge + 0.1 * np.linalg.norm(slope) / (1 + np.linalg.norm(vector))
         inner = basis.T @ overlap @ basis + damping * np.eye(basis.shape[1])
-        step, size = np.linalg.solve(inner, slope), 1.0
-        while True:
-            if used >= MOST_STEPS:
-                raise RuntimeError(f"the mix did not converge: gradient {slope} after {used} steps")
+        step, size, stuck = np.linalg.solve(inner, slope), 1.0, True
+        while size > SHORTEST and used < MOST_STEPS:
             there = judged(vector + size * (basis @ step))
             used += 1
             # What rounding leaves of the last digits counts as no loss.
             if there[0] >= height + 1e-4 * size * (slope @ step) - 1e-13 * (1 + abs(height)):
+                vector, stuck = vector + size * (basis @ step), False
+                height, slope, totals, overlap = there
                 break
             size /= 2
-        vector = vector + size * (basis @ step)
+    # Posteriors add up to one at most, so the overlap's largest eigenvalue is at most one.
+    inverse, used = np.eye(basis.shape[1]) / (1 + ridge), 0
+    while not settled(slope) and used < GRADIENT_STEPS:
+        step, size = inverse @ slope, 1.0
+        there = judged(vector + basis @ step)
+        used += 1
+        while there[0] < height + 1e-4 * size * (slope @ step) and size > SHORTEST and used < GRADIENT_STEPS:
+            size /= 4
+            there = judged(vector + size * (basis @ step))
+            used += 1
+        if there[0] < height:
+            break
+        moved, turned = size * step, slope - there[1]
+        vector = vector + basis @ moved
         height, slope, totals, overlap = there
-    return vector, totals
+        along = moved @ turned
+        if along > 1e-18:
+            # The change of the gradient tells the curvature along the step.
+            left = np.eye(len(moved)) - np.outer(moved, turned) / along
+            inverse = left @ inverse @ left.T + np.outer(moved, moved) / along
+    return vector, totals, settled(slope)
 
 
 def descend(
     evaluate: Evaluate, weights: np.ndarray, budget: float | None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rates' vector, and the target and reached totals, as shares of all tokens.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """The rates' vector, the target and reached totals as shares of all tokens, and whether
+    the descent ended at an optimum (else at the best vector it met).
 
     Without a budget the largest feasible one is fitted. If no part of the tokens can have
     the targets' shares (a domain is nowhere, or posteriors are even), a budget of one
@@ -220,15 +255,15 @@ def descend(
         basis = np.linalg.svd(weights[None, :])[2][1:].T
         vector = -weights / (weights @ weights)
         for before, gain in zip((1.0, *GAINS), GAINS, strict=False):
-            vector, totals = ascend(evaluate, vector * gain / before, basis, np.zeros(k), 1e-6 / gain)
+            vector, totals, done = ascend(evaluate, vector * gain / before, basis, np.zeros(k), 1e-6 / gain)
         budget = float(weights @ totals / (weights @ weights))
         if budget >= LEAST_BUDGET:
-            return vector, budget * weights, totals
+            return vector, budget * weights, totals, done
         budget = 1.0
     vector = np.zeros(k)
     for ridge in RIDGES:
-        vector, totals = ascend(evaluate, vector, np.eye(k), budget * weights, ridge)
-    return vector, budget * weights, totals
+        vector, totals, done = ascend(evaluate, vector, np.eye(k), budget * weights, ridge)
+    return vector, budget * weights, totals, done
 
 
 def fit_mix(
@@ -245,7 +280,8 @@ def fit_mix(
 
     ``labels`` holds (doc_id, domain); ``targets`` weighs the domains; ``budget`` is the
     expected total of tokens as a share of all, or None for the largest that the bound
-    allows; ``most`` bounds the rates. Targets that are not met are logged as a warning.
+    allows; ``most`` bounds the rates. A mix is always returned: ``mix_report`` tells how far
+    it is from its targets, which are also logged if not met, and whether it is optimal.
     """
     if not targets or min(targets.values()) < 0 or not sum(targets.values()) > 0:
         raise ValueError("targets must be nonnegative weights, not all zero")
@@ -269,9 +305,12 @@ def fit_mix(
     if evaluate is None:
         return start, rows
     found = descend(evaluate, np.array([targets[x] for x in domains], float), budget)
-    mix = Mix(domains, model, found[0].tolist(), most, found[1].tolist(), found[2].tolist())
+    mix = Mix(domains, model, found[0].tolist(), most, found[1].tolist(), found[2].tolist(), found[3])
     if not mix.met:
-        LOG.warning("mix %s: target %s, reached %s, residual %s", domains, mix.target, mix.reached, mix.residual)
+        LOG.warning(
+            "mix %s: target %s, reached %s, residual %s, converged %s",
+            domains, mix.target, mix.reached, mix.residual, mix.converged,
+        )
     return mix, rows
 
 
@@ -289,7 +328,8 @@ def mixing_rates(
     Null and empty texts have no tokens and only their posterior. Repeated rows get
     equal rates and copies. Without labelled documents posteriors are even. Labels of
     unknown domains or null ids are ignored; an id labelled twice takes the domain named
-    first. An empty table gives no rows.
+    first. An empty table gives no rows. Nothing is raised if targets are out of reach:
+    the rates are then the best found.
     """
     mix, rows = fit_mix(docs, labels, targets, **settings)
     value = rate(mix.vector, F.col("p"), mix.most)

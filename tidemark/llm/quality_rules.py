@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_SPACE, SPACE, replacing, stored
+from tidemark.llm.common import NOT_SPACE, SPACE, discard, replacing, stored
 
 FEWEST_WORDS = 20
 REPEATED_PERCENT = 30
@@ -29,6 +29,8 @@ MARKS = r"[!-/:-@\[-`{-~]"  # ASCII punctuation
 KEEP = 0.75  # share of a group that the covariance is fitted on
 C_STEPS = 4
 SMALLEST_GROUP = 50
+MOST_GROUPS = 20_000  # groups whose fits, some 40 numbers each, are still broadcast
+SALTS = 32  # places in which a group's rows meet its fit beyond that
 # Quantiles of the chi-square distribution with five degrees of freedom.
 MEDIAN_5, CUTOFF_5 = 4.351, 30.86  # 0.5 and 0.99999
 # Spread that each statistic has at least, so that one that is nearly always zero
@@ -196,9 +198,31 @@ def _distance(values: Callable[[str], Column]) -> Column:
     return total
 
 
+def _beside(rows: DataFrame, groups: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """Each row with its group's values; no row moves if the groups are few.
+
+    Beyond ``MOST_GROUPS`` the groups' rows stand under ``SALTS`` salts each, so that the
+    rows of one large group meet them in as many places.
+    """
+    if few:
+        return rows.join(F.broadcast(groups), keys)
+    salt = F.pmod(F.xxhash64(*NAMES), F.lit(SALTS)).cast("int").alias("_salt")
+    spread = groups.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return rows.select("*", salt).join(spread, [*keys, "_salt"]).drop("_salt")
+
+
 def estimates(rows: DataFrame) -> DataFrame:
-    """One estimate per group (KEY, m*, w*, n) from rows of (KEY, statistics)."""
-    rows = stored(rows.select(*KEY, *NAMES), "quality-vectors")
+    """One estimate per group (KEY, m*, w*, n) of at least ``SMALLEST_GROUP`` rows of (KEY, statistics).
+
+    Groups' fits and bounds are broadcast to the rows after their number was checked, so that
+    only partial aggregates move: the group of all rows is not gathered anywhere.
+    """
+    every = stored(rows.select(*KEY, *NAMES), "quality-vectors")
+    large = stored(
+        every.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") >= SMALLEST_GROUP), "quality-groups"
+    )
+    few = large.count() <= MOST_GROUPS
+    rows = _beside(every, large, KEY, few)
     # Starts: coordinate-wise medians and quartile ranges; plain mean and covariance.
     quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(x) for x in NAMES]
     medians = rows.groupBy(*KEY).agg(*quartiles)
@@ -213,23 +237,25 @@ def estimates(rows: DataFrame) -> DataFrame:
     )
     plain = _moments(rows, KEY).withColumn("start", F.lit(1))
     fit = stored(_whitened(middle.unionByName(plain), F.lit(1.0)), "quality-fit")
+    fits = [fit]
     for _ in range(C_STEPS):
-        placed = rows.join(fit, KEY).withColumn("d", _distance(F.col))
+        placed = _beside(every, fit, KEY, few).withColumn("d", _distance(F.col))
         bounds = placed.groupBy(*KEY, "start").agg(
             F.percentile_approx("d", KEEP, 1000).alias("bound")
         )
-        nearest = placed.select(*KEY, "start", *NAMES, "d").join(bounds, [*KEY, "start"])
+        nearest = _beside(placed.select(*KEY, "start", *NAMES, "d"), bounds, [*KEY, "start"], few)
         fit = stored(
             _whitened(_moments(nearest.filter("d <= bound"), [*KEY, "start"]), F.lit(1.0)),
             "quality-fit",
         )
+        fits.append(fit)
     order = F.struct("log_det", "start")
     moments = [f"m{i}" for i in range(SIZE)] + [f"c{i}{j}" for i, j in _pairs()]
     everything = F.struct(*moments, *[f"w{i}{j}" for i, j in _pairs()])
     best = fit.groupBy(*KEY).agg(F.min_by(everything, order).alias("fit")).select(*KEY, "fit.*")
     # The subset's covariance is too small by a factor that the median distance shows.
     scale = (
-        rows.join(best, KEY)
+        _beside(every, best, KEY, few)
         .withColumn("d", _distance(F.col))
         .groupBy(*KEY)
         .agg(
@@ -238,7 +264,9 @@ def estimates(rows: DataFrame) -> DataFrame:
         )
     )
     scaled = best.select(*KEY, *moments).join(scale, KEY)
-    return stored(_whitened(scaled, F.greatest("scale", F.lit(1.0))), "quality-estimates")
+    result = stored(_whitened(scaled, F.greatest("scale", F.lit(1.0))), "quality-estimates")
+    discard(every, large, *fits)
+    return result
 
 
 def _fitted(stats: DataFrame) -> DataFrame:
@@ -252,7 +280,6 @@ def _fitted(stats: DataFrame) -> DataFrame:
 
 def _judged(rows: DataFrame, fits: DataFrame, cutoff: float) -> DataFrame:
     """Adds ``kept``: base rules, then the distance under the finest group with a fit."""
-    fits = fits.filter(F.col("n") >= SMALLEST_GROUP)
     values = vector(F.col("_stats"))
     out = rows
     for level, (lang, source) in enumerate(
