@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, one_per, replacing, stored, text_of
 
+LEAST_SHARE = 1e-5  # at most 100,000 winners are broadcast
 SHARE = 1e-3  # a group above this share of all rows is heavy: at most 1,000 groups
 
 
@@ -28,8 +29,11 @@ def heavy_winners(rows: DataFrame, share: float = SHARE) -> DataFrame:
 
     ``freqItems`` is the Misra-Gries summary: every digest above ``share`` is among
     its items. Chance items are harmless, as counts and winners are exact. At most
-    ``1 / share`` rows for each map task's counter, and as many after merging.
+    ``1 / share`` rows for each map task's counter, and as many after merging: ``share`` may not be
+    so small that they are no longer fit to be broadcast.
     """
+    if not LEAST_SHARE <= share < 1:
+        raise ValueError(f"share must be at least {LEAST_SHARE} and below 1")
     candidates = rows.stat.freqItems(["text_sha256"], share).select(
         F.explode("text_sha256_freqItems").alias("text_sha256")
     )
@@ -105,7 +109,9 @@ def drop_exact_duplicates(
         F.broadcast(winners.withColumn("_heavy", F.lit(True))), "_digest", "left"
     )
     left = marked.filter(F.col("_heavy").isNull() | known.eqNullSafe(F.col("_winner_id")))
-    best = one_per(left, [F.col("_digest")], [known.asc_nulls_last()])
+    # Of rows equal in id, and in text but for white space, always the same one stays.
+    order = [known.asc_nulls_last(), F.xxhash64(f"`{text}`"), F.xxhash64(*[f"`{name}`" for name in columns])]
+    best = one_per(left, [F.col("_digest")], order)
     return best.select(*[f"`{name}`" for name in columns])
 
 
