@@ -1,11 +1,12 @@
+import random
 from collections import Counter
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.dims import dim_users_init
-from tidemark.operators.facts import with_user_sk
+from tidemark.operators.facts import with_user_sk, with_user_sk_by_time
 from tidemark.operators.scd2 import CUSTOMERS, empty_dimension, history, scd2_changes, scd2_stats, scd2_upsert
 
 USER = (
@@ -178,3 +179,40 @@ def test_closed_keys_are_left_alone_or_opened_again(spark):
     assert scd2_upsert(gone, start, date(2024, 2, 1), kind=CUSTOMERS).count() == 2
     back = scd2_changes(gone, start, date(2024, 2, 1), kind=CUSTOMERS, revive=True)
     assert back.count() == 3 and back.filter("customer_id = 'C1' AND is_current").count() == 1
+
+
+def test_as_of_by_time_equals_the_join(spark):
+    """Random versions and days, nulls, gaps, a version that ends before it starts; spans of any length."""
+    rng, versions, number = random.Random(4), [], 0
+    start = date(2020, 1, 1)
+    for user in range(12):
+        at = start + timedelta(days=rng.randint(0, 300))
+        for _ in range(rng.randint(0, 9)):
+            until = at + timedelta(days=rng.randint(-1, 90))
+            number += 1
+            versions.append((user, number, at, until if rng.random() < 0.9 else None))
+            if versions[-1][3] is None:
+                break
+            at = max(at, until + timedelta(days=rng.choice([1, 1, 40])))
+    dim = spark.createDataFrame(versions, "user_id bigint, user_sk bigint, effective_from date, effective_to date")
+    rows = [(i, rng.randint(0, 14), start + timedelta(days=rng.randint(-20, 900)), "x") for i in range(800)]
+    rows += [(900, None, start, "y"), (901, 3, None, "z"), (902, None, None, None), (5, *rows[5][1:])]
+    facts = spark.createDataFrame(rows, "order_id bigint, user_id int, day date, version string")
+    wanted = Counter(map(tuple, with_user_sk(facts, dim, "day").collect()))
+    for span in (1, 32, 5000):
+        assert Counter(map(tuple, with_user_sk_by_time(facts, dim, "day", span).collect())) == wanted
+    assert sum(r[-1] is not None for r in wanted) > 200
+
+
+def test_as_of_by_time_with_very_many_versions(spark):
+    """One user with 100,000 versions and 20,000 orders: as many rows as orders leave each step."""
+    versions = spark.range(100_000).selectExpr(
+        "1L AS user_id", "id AS user_sk", "date_add(DATE'1800-01-01', CAST(id AS INT)) AS effective_from",
+        "date_add(DATE'1800-01-01', CAST(id AS INT)) AS effective_to",
+    )
+    facts = spark.range(20_000).selectExpr("id AS order_id", "1L AS user_id", "date_add(DATE'1900-01-01', CAST(id * 3 AS INT)) AS day")
+    found = with_user_sk_by_time(facts, versions, "day")
+    days = (date(1900, 1, 1) - date(1800, 1, 1)).days
+    bad = found.filter((F.col("user_sk") != F.col("order_id") * 3 + days) | F.col("user_sk").isNull())
+    assert found.count() == 20_000
+    assert bad.filter(F.col("order_id") * 3 + days < 100_000).isEmpty()

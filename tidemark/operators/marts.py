@@ -39,15 +39,19 @@ def revenue_by_month_category(
             F.sum("net_amount").alias("net"),
         )
     )
+    return by_month(per_order.withColumn("orders", F.lit(1)), dim_date)
+
+
+def by_month(sums: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Sums of (category, day, orders, qty, gross, discount, net) per month and category."""
     months = dim_date.select(
         F.col("date_key").alias("order_date_key"), "year", "quarter_name", "month_num", "month_name"
     )
-    group = ["year", "quarter_name", "month_num", "month_name", "category"]
     return (
-        per_order.join(F.broadcast(months), "order_date_key")
-        .groupBy(*group)
+        sums.join(F.broadcast(months), "order_date_key")
+        .groupBy("year", "quarter_name", "month_num", "month_name", "category")
         .agg(
-            F.count("order_id").alias("total_orders"),
+            F.sum("orders").alias("total_orders"),
             F.sum("qty").alias("total_qty"),
             whole(F.sum("gross")).alias("gross_revenue"),
             whole(F.sum("discount")).alias("total_discount"),

@@ -31,6 +31,7 @@ from tidemark.operators.silver_shop import (
 )
 from tidemark.plans.crm import AS_OF as CRM_AS_OF
 from tidemark.plans.crm import CLEANERS, Crm
+from tidemark.plans.revenue import add_batch, revenue
 from tidemark.plans.shop import KEYS, RUN_AT, Shop, merge_silver, recency, run_incremental, undo_silver
 from tidemark.session import new_folder, prepare
 from tidemark.sources.bronze import (
@@ -480,6 +481,7 @@ _shop("d11b_history_of_one", lambda s: history(s.dim_users_history(), "user_id",
 
 _shop("f1_fact_orders", lambda s: s.fact_orders())
 _shop("f1b_fact_orders_as_of", lambda s: s.fact_orders_as_of())
+_shop("f1c_as_of_merge", lambda s: s.fact_orders_as_of("as_of_merge"))
 _shop("f2_fact_transactions", lambda s: s.fact_transactions())
 _crm("f3_fact_sales", lambda c: c.fact_sales())
 
@@ -517,6 +519,26 @@ def _best_months(s: Shop) -> DataFrame:
 
 
 _shop("v1_revenue_by_month_category", _revenue)
+
+
+@query("v1b_revenue_by_batches")
+def _revenue_by_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart of three batches of the fact; the first one held some of the orders as cancelled."""
+    shop, path = Shop(spark, folder), new_folder(spark, "revenue")
+    category = shop.dim_products().select("product_sk", "category")
+    facts = overwrite(shop.fact_orders().join(category, "product_sk"), new_folder(spark, "revenue-facts"))
+    item = F.col("order_item_sk")
+    wrong = F.when(item % 9 == 0, "cancelled").otherwise(F.col("order_status"))
+    batches = (
+        facts.filter(item % 3 != 0).withColumn("order_status", wrong),
+        facts.filter(item % 3 == 0).withColumn("order_status", wrong),
+        facts.filter(item % 9 == 0),
+    )
+    for number, batch in enumerate(batches, 1):
+        add_batch(spark, path, batch, f"B{number}", number)
+    return revenue(spark, path, shop.dim_date())
+
+
 _shop("v2_user_orders_by_city", lambda s: marts.user_orders_by_city(s.fact_orders(), s.dim_users()))
 _shop("v3_payment_summary", lambda s: marts.payment_summary(s.fact_transactions()))
 _shop("v4_top_products", lambda s: marts.top_products(s.fact_orders(), s.dim_products()))

@@ -162,8 +162,8 @@ class Shop:
         return self.user_changes().drop("_action")
 
     @once
-    def fact_orders_as_of(self) -> DataFrame:
-        return fact_orders(self.order_items(), self.orders(), self.dim_users_history(), "as_of")
+    def fact_orders_as_of(self, lookup: str = "as_of") -> DataFrame:
+        return fact_orders(self.order_items(), self.orders(), self.dim_users_history(), lookup)
 
 
 def run_full(

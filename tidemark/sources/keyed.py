@@ -38,6 +38,14 @@ def rows_of_buckets(stored: DataFrame, touched: Sequence[int]) -> DataFrame:
     return stored.filter(F.col(BUCKET).isin(list(touched))) if touched else stored.limit(0)
 
 
+def newest_rows(incoming: DataFrame, stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each key's row with the highest sequence; at equal sequence the incoming one."""
+    both = incoming.withColumn("_stored", F.lit(0)).unionByName(
+        stored.withColumn("_stored", F.lit(1)), allowMissingColumns=True
+    )
+    return keep_best(both, list(key), [F.col(SEQUENCE).desc(), F.col("_stored")]).drop("_stored")
+
+
 def merge_keyed(
     incoming: DataFrame,
     path: str,
@@ -45,6 +53,7 @@ def merge_keyed(
     token: str,
     buckets: int = BUCKETS,
     replaced: DataFrame | None = None,
+    by: Sequence[str] | None = None,
 ) -> None:
     """Bring a stored table up to ``incoming``, which has a ``_sequence`` and may have ``_deleted``.
 
@@ -56,7 +65,8 @@ def merge_keyed(
     sequence the incoming row stays. Keys in ``replaced`` lose their stored rows first,
     whatever their sequence; such a key must be among the incoming ones, if only as deleted.
 
-    ``buckets`` is fixed by the first merge. Rows with a null key component have no
+    ``buckets`` is fixed by the first merge, as is ``by``: other columns that choose the bucket,
+    which a key never changes. Rows with a null key component have no
     identity and are refused. Only the bucket numbers, at most ``buckets``, reach the driver.
     """
     spark = incoming.sparkSession
@@ -67,7 +77,7 @@ def merge_keyed(
         if not rows.filter(missing).isEmpty():
             raise ValueError(f"rows without {', '.join(key)} cannot be merged")
         newest = keep_best(rows, list(key), [F.col(SEQUENCE).desc()])
-        placed = bucketed(newest, key, buckets)
+        placed = bucketed(newest, by or key, buckets)
         touched = sorted(row[0] for row in placed.select(BUCKET).distinct().collect())
         merged = placed
         stored = if_stored(lambda: spark.read.parquet(path))
@@ -75,11 +85,7 @@ def merge_keyed(
             old = rows_of_buckets(stored, touched)
             if replaced is not None:
                 old = absent_from(old, replaced, list(key))
-            both = placed.withColumn("_stored", F.lit(0)).unionByName(
-                old.withColumn("_stored", F.lit(1)), allowMissingColumns=True
-            )
-            order = [F.col(SEQUENCE).desc(), F.col("_stored")]
-            merged = keep_best(both, list(key), order).drop("_stored")
+            merged = newest_rows(placed, old, key)
         merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staged)
     if path_exists(spark, f"{staged}/{BUCKET}=*"):
         (
