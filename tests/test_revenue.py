@@ -65,3 +65,19 @@ def test_a_batch_that_stopped_between_its_steps_is_finished(spark, tmp_path, mon
 def test_the_mart_of_nothing(spark, tmp_path):
     calendar = dim_date(spark, start=date(2024, 1, 1), end=date(2024, 1, 31))
     assert revenue(spark, str(tmp_path / "none"), calendar).count() == 0
+
+
+def test_changes_of_a_batch_take_one_shuffle(spark):
+    from conftest import plan_text
+
+    from tidemark.plans.revenue import ITEM, _changed_orders
+    from tidemark.sources.keyed import BUCKET, DELETED, SEQUENCE
+
+    def rows(values, sequence):
+        own = spark.createDataFrame(values, FACT).select(*ITEM)
+        return own.withColumns({SEQUENCE: F.lit(sequence).cast("bigint"), DELETED: F.lit(False)})
+
+    old = rows([item(i, i // 3, 20240101, 1, "new", 1) for i in range(30)], 1).withColumn(BUCKET, F.lit(0))
+    changed = _changed_orders(rows([item(3, 1, 20240101, 1, "cancelled", 1), item(90, 30, 20240101, 1, "new", 2)], 2), old)
+    assert sorted((r.order_id, r.qty, r.orders) for r in changed.collect()) == [(1, -1, 0), (30, 2, 1)]
+    assert plan_text(changed).count("Exchange ") == 1
