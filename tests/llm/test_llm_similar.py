@@ -118,3 +118,40 @@ def test_no_similar_pair_of_a_test_table_stays(spark, sf):
 
 def test_similar_of_nothing(spark):
     assert similar.drop_similar(corpus.empty_docs(spark)).count() == 0
+
+
+def test_fingerprints_link_first_and_lose_nothing(spark, monkeypatch):
+    """The pipeline's stage: SimHash pairs, verified, then the exact way; the rows of brute force."""
+    import corpus_pipeline
+
+    rows = chains()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = []
+    real = similar.nearest_links
+
+    def linking(*args):
+        pairs = real(*args)
+        found.extend((r.a, r.b) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(similar, "nearest_links", linking)
+    kept = corpus_pipeline.near(spark, docs, "")
+    assert check_similar(rows, corpus.collected(kept)) > 20
+    assert 0 < len(found) <= 2 * len(rows)
+    plain = similar.drop_similar(docs)
+    assert sorted(corpus.collected(kept), key=str) == sorted(corpus.collected(plain), key=str)
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_nearest_links_join_what_links(spark, crowd):
+    """Crowded or not, each row of a component of several meets another row of it."""
+    from tidemark.llm import simhash
+
+    base = corpus.prose(5, 200).split()
+    texts = [" ".join([*base[: i % 20], f"x{i % 20}", *base[i % 20 + 1 :]]) for i in range(60)] + [corpus.prose(77, 50)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n bigint, text string")
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows, "n", "text", 5).collect()}
+    pairs = simhash.nearest_links(rows.selectExpr("n", "CAST(text AS BINARY) AS text"), 5, crowd).collect()
+    assert all(groups[r.a] == groups[r.b] and r.a < r.b for r in pairs)
+    sizes = {g: list(groups.values()).count(g) for g in groups.values()}
+    assert {x for r in pairs for x in (r.a, r.b)} == {n for n, g in groups.items() if sizes[g] > 1}

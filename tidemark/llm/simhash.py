@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import one_per, replacing, stored
+from tidemark.llm.common import discard, one_per, replacing, stored
 from tidemark.llm.components import connected_components
 
 SEED = 42
@@ -238,6 +238,29 @@ def near_duplicates(
     return rows.join(components, "bits").select("doc_id", "bits", digits, "component_id")
 
 
+def nearest_links(rows: DataFrame, size: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
+    """Pairs (a, b) of numbers of (n, text), for callers that test them further.
+
+    Of each fingerprint that links to others, its smallest number beside the smallest one it
+    meets, directly or in a hub; and each number beside the smallest of its own
+    fingerprint. So there are at most two pairs per row, however large a group is.
+    """
+    numbered = stored(with_bits(rows, "n", "text", size), "fingerprints")
+    prints = stored(numbered.groupBy("bits").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    found = links(prints, crowd)
+    # The end of a link meets there too, unless it is a hub that is no fingerprint.
+    meeting = found.select(F.col("a").alias("bits"), F.col("b").alias("hub")).unionByName(
+        found.select(F.col("b").alias("bits"), F.col("b").alias("hub")).distinct()
+    )
+    met = stored(meeting.join(prints, "bits").select("hub", "low"), "meetings")
+    smallest = met.groupBy("hub").agg(F.min("low").alias("a"))
+    across = met.join(smallest, "hub").groupBy(F.col("low").alias("b")).agg(F.min("a").alias("a"))
+    within = numbered.join(prints, "bits").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    pairs = stored(across.select("a", "b").unionByName(within).filter("a <> b").distinct(), "nearest-links")
+    discard(numbered, prints, met)
+    return pairs
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",

@@ -1,8 +1,9 @@
 """Near-duplicates by the Jaccard similarity of word shingles, without loss.
 
-The fingerprints of ``simhash`` cannot carry this rule: texts that share four fifths of
+The fingerprints of ``simhash`` cannot carry this rule alone: texts that share four fifths of
 their shingles differ in about ten of 64 bits, and chains over so wide a budget no longer
-tell texts apart. So candidates come from the shingles themselves.
+tell texts apart. So with ``fingerprints`` the pairs that SimHash finds by pigeonring come first and are
+verified on their shingles; the rest of the rule has an exact way, whose candidates come from the shingles themselves.
 
 1. Shingles are dealt to blocks by their hash, and each block finds those that more than one
    text holds. Only they can be common to two texts, so from here on a text is its shared
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, one_per, replacing, stored, text_of
 from tidemark.llm.components import connected_components
+from tidemark.llm.simhash import nearest_links
 
 SHINGLE = 5
 SIMILAR = (4, 5)  # least similarity, as a fraction
@@ -294,9 +296,10 @@ def _open_keys(labelled: DataFrame, *more: Column) -> DataFrame:
     return several.filter("low < high").drop("low", "high")
 
 
-def similar_components(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def similar_components(rows: DataFrame, rounds: int = ROUNDS, fingerprints: bool = False) -> DataFrame:
     """(node, label) for each text of (n, text) that is similar to another one, with the smallest
-    ``n`` of its component; rows of equal ``n`` are equal."""
+    ``n`` of its component; rows of equal ``n`` are equal. The result is the same with
+    ``fingerprints``, where SimHash of the same shingles links first what it finds."""
     texts = stored(holders(rows), "holders")
     every = texts.select(F.explode("keys").alias("key"), "n", "size", "alone", "sketch")
     again = F.xxhash64("key").alias("_hash")
@@ -316,6 +319,10 @@ def similar_components(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         labels = connected_components(links)
         discard(found)
 
+    if fingerprints:
+        first = nearest_links(rows, SHINGLE)
+        verify(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        discard(first)
     for number in range(rounds):
         labelled = _labelled(every, labels)
         # The order of leaders is the same under all keys, so that copies have few different ones.
@@ -355,7 +362,9 @@ def similar_components(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return labels
 
 
-def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def drop_similar(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, fingerprints: bool = False
+) -> DataFrame:
     """``docs`` without near-duplicates: one row of each component of similar rows stays.
 
     It is the one with the smallest hash of id and text. Rows with the same id and text
@@ -364,7 +373,7 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ro
     """
     number = F.xxhash64(F.lit(SEED), f"`{doc_id}`", f"`{text}`")
     rows = docs.select(number.alias("n"), text_of(F.col(f"`{text}`")).cast("binary").alias("text"))
-    labels = similar_components(rows, rounds)
+    labels = similar_components(rows, rounds, fingerprints)
     gone = labels.filter("label <> node").select(F.col("node").alias("_n"))
     kept = replacing(docs, _n=number).join(gone, "_n", "left_anti")
     columns = [f"`{name}`" for name in docs.columns]
