@@ -25,3 +25,17 @@ def test_the_named_folder_wins_and_a_local_session_gets_its_own():
     assert shared_folder(named) == "hdfs:///shared"
     local = session("local[8]")
     assert shared_folder(local) == shared_folder(local)
+
+
+def test_scan_tasks_stay_small(spark, tmp_path):
+    """A scan task sorts what it decodes before a shuffle, so large files are read in pieces, however few cores there are."""
+    from tidemark.session import prepare
+
+    path = tmp_path / "t.txt"
+    path.write_text(("x" * 99 + "\n") * 400_000)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert prepare(spark).read.text(str(path)).rdd.getNumPartitions() >= 3
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if before is None else spark.conf.set("spark.sql.files.minPartitionNum", before)
