@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import corpus
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +271,20 @@ def test_lattice_against_all_segmentations():
     assert np.isfinite(ours[-1])
 
 
+def test_words_of_a_batch_are_those_of_its_texts():
+    """Split in whole batches, not text by text: the same words in the same order."""
+    texts = [b"", b" \t\n\x0b\x0c\r ", b" Ab\x00c  d\xff\xfe ", b"a\xc2\xa0b \xe2\x80\x83c", "É éA".encode(), b"x", b"", b"ab X x"]
+    array = pa.array(texts, pa.binary())
+    halves = pa.chunked_array([array.slice(0, 4), array.slice(4, 0), array.slice(4)])
+    for column, expected in ((array, texts), (halves, texts), (array.slice(2, 3), texts[2:5]), (array.slice(0, 2), texts[:2])):
+        numbers, ends, words = lattice.split(column)
+        words = words.to_pylist()
+        found = [[words[i] for i in x] for x in np.split(numbers, ends)[:-1]]
+        assert found == [text.lower().split() for text in expected]
+        assert len(set(words)) == len(words) == len(set(numbers.tolist()))
+    assert len(lattice.split(pa.chunked_array([], pa.binary()))[2]) == 0
+
+
 def check_scores(rows, result):
     tokens = [(text or "").encode().lower().split() + [None] for _, text in rows]
     held = [zlib.crc32(str(i).encode()) % 7 == 2 if i is not None else False for i, _ in rows]

@@ -18,12 +18,12 @@ word starts, and each different word needs its recursion only once.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -195,33 +195,45 @@ class Lattice:
         return total
 
 
-def split(text: bytes) -> list[bytes]:
-    """Words of a text, capital letters A to Z lowered."""
-    return text.lower().split()
+def split(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Numbers of all words of binary texts, capital letters A to Z lowered, in a row; where each
+    text's words end; and the different words by number, in order of first occurrence."""
+    chunks = texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]
+    trimmed = pc.ascii_trim_whitespace(pa.chunked_array([x.view(pa.string()) for x in chunks], pa.string()))
+    # A text without words is split into one empty word.
+    empty = pc.equal(pc.binary_length(trimmed), 0).to_numpy()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(trimmed))
+    lengths = np.where(empty, 0, pc.list_value_length(lists).to_numpy())
+    every = pc.list_flatten(lists)
+    words = every.filter(pc.greater(pc.binary_length(every), 0)).combine_chunks()
+    parts = [x.dictionary_encode() for x in (words.chunks if isinstance(words, pa.ChunkedArray) else [words])]
+    if len(parts) > 1:
+        parts = pa.chunked_array(parts).unify_dictionaries().chunks
+    numbers = np.concatenate([x.indices.to_numpy() for x in parts]) if parts else np.zeros(0, np.int32)
+    distinct = parts[0].dictionary if parts else pa.array([], pa.string())
+    return numbers, np.cumsum(lengths, dtype=np.int64), distinct.view(pa.binary())
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, component, count) of a batch; words of held-out texts alone count zero times."""
     for batch in batches:
-        train: dict[int, Counter] = {}
-        other: set[bytes] = set()
-        texts = (x.as_buffer().to_pybytes() for x in batch.column("text"))
-        held, parts = batch.column("held_out").to_pylist(), batch.column("component").to_pylist()
-        for text, out, part in zip(texts, held, parts, strict=True):
-            if out:
-                other.update(split(text))
-            else:
-                train.setdefault(part, Counter()).update(split(text))
-        train[0] = train.get(0, Counter())
-        for word in other:
-            train[0].setdefault(word, 0)
-        for part, counter in train.items():
-            n = len(counter)
+        if not batch.num_rows:
+            continue
+        numbers, ends, words = split(batch.column("text"))
+        held = np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
+        part = np.where(held, -1, batch.column("component").to_numpy())
+        of = np.repeat(part, np.diff(ends, prepend=0))
+        for k in sorted({0, *part[~held].tolist()}):
+            counts = np.bincount(numbers[of == k], minlength=len(words))
+            told = counts > 0
+            if k == 0:
+                told[numbers[of == -1]] = True
+            mine = np.flatnonzero(told)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(counter), pa.binary()),
-                    pa.array(np.full(n, part, np.int32)),
-                    pa.array(list(counter.values()), pa.int64()),
+                    words.take(pa.array(mine)),
+                    pa.array(np.full(len(mine), k, np.int32)),
+                    pa.array(counts[mine].astype(np.int64)),
                 ],
                 ["word", "component", "count"],
             )
@@ -326,10 +338,11 @@ class Model:
 
 
 def _requests(table: pa.Table) -> pa.Table:
-    words = sorted({w for text in table.column("text").to_pylist() for w in split(text)})
+    words = split(table.column("text"))[2]
+    words = words.take(pc.sort_indices(words))
     block = pa.repeat(table.column("block")[0], len(words))
     slots = pa.array(np.arange(len(words), dtype=np.int32))
-    return pa.table({"block": block, "slot": slots, "word": pa.array(words, pa.binary())})
+    return pa.table({"block": block, "slot": slots, "word": words})
 
 
 def _texts(model: Model):
@@ -355,14 +368,16 @@ def _texts(model: Model):
         found = model.log10(counts, spelled) if model.texts[0] else (
             np.repeat(spelled[:, None] + np.log10(0.5), parts, axis=1)
         )
-        split_texts = [split(text) for text in texts.column("text").to_pylist()]
-        order = {w: i for i, w in enumerate(sorted({w for words in split_texts for w in words}))}
-        rows = []
-        for words in split_texts:
-            at = np.fromiter(map(order.__getitem__, words), np.int64, len(words))
+        numbers, ends, words = split(texts.column("text"))
+        # A word's slot is its place among the block's words in order, as in the request.
+        slot = np.empty(len(words), np.int64)
+        slot[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+        places, rows = slot[numbers], []
+        for begin, end_at in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            at = places[begin:end_at]
             rows.append(
                 (
-                    len(words) + 1,
+                    len(at) + 1,
                     int((total[at] > 0).sum()) + int(model.texts[0] > 0),
                     float(base[at].sum() + end_base),
                     model.mixed(found[at].sum(axis=0) + end),
