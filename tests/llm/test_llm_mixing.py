@@ -163,3 +163,33 @@ def test_the_pipelines_stage_delivers_its_weights(spark, monkeypatch):
     rows = mixing.mixing_rates(docs, labels, corpus_pipeline.TARGETS, budget=None, most=1.0).collect()
     held = np.array([sum(r.n_tokens * ids[r.doc_id] * r[f"p_{d}"] for r in rows) for d in corpus_pipeline.TARGETS])
     assert np.abs(held / held.sum() - WEIGHTS).max() < 0.02
+
+
+def test_step_lengths_share_a_pass_and_passes_share_code(spark):
+    """The driver compiles an evaluation's code once, and starts one job for all lengths of a step."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet((0.075, 0.012, 0.013), 300)
+    rows = spark.createDataFrame([(n + 1, x.tolist()) for n, x in enumerate(p)], "tokens bigint, p array<double>")
+    rows = rows.repartition(3).cache()
+    evaluate = mixing.evaluator(rows, 3, 1.0)
+    evaluate(np.array([0.3, -0.2, 1.1]))
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    before = compiled.getCount()
+    vectors = [np.array([0.4, 0.7, -0.1]) / 2**n for n in range(4)]
+    one_by_one = [evaluate(x) for x in vectors]
+    assert compiled.getCount() == before
+    passes, ahead = [], evaluate.ahead
+    ahead(vectors)
+    for mine, other in zip(map(evaluate, vectors), one_by_one, strict=True):
+        assert all(np.allclose(x, y, rtol=1e-12) for x, y in zip(mine, other, strict=True))
+
+    calls = []
+
+    def counted(vector):
+        calls.append(vector)
+        return evaluate(vector)
+
+    counted.ahead = lambda tried: (passes.append(len(tried)), ahead(tried))
+    mixing.descend(counted, WEIGHTS, None)
+    assert len(passes) < 0.6 * len(calls)
+    rows.unpersist()

@@ -8,7 +8,7 @@ Of all such rates those nearest to one are taken. They are the projection of one
 step from rates of one: a document's rate is 1 - p . v within the bounds, ``p`` being its
 posterior and ``v`` one vector with an entry per domain. So the state of the descent is
 that vector: any task can compute a document's rate from its posterior, and each step is
-one aggregate over the posteriors. Steps are taken in the full metric of the documents
+one aggregate over the posteriors, which tries several lengths of it. Steps are taken in the full metric of the documents
 that lie within the bounds, until the optimality condition holds.
 
 Without a given budget the largest one is fitted with the rates at which a bound on them
@@ -36,6 +36,7 @@ SAMPLE = 20_000  # labelled documents the classifier is fitted on, at most
 FIT_STEPS = 40
 MOST_STEPS = 120  # aggregates after which Newton steps give way to gradient steps
 GRADIENT_STEPS = 200  # evaluations for those, at most
+AHEAD = 8  # lengths of a Newton step that are evaluated in one pass
 SHORTEST = 2.0**-20  # part of a Newton step below which it is no help
 CLOSE = 1e-4  # residual, as a share of all tokens, at which a target counts as met
 OPTIMAL = 1e-6  # norm of the gradient, as a share of all tokens, at which the descent ends
@@ -139,9 +140,9 @@ def _posteriors(df: DataFrame, text: Column, mix: Mix) -> DataFrame:
     return out.withColumn("_p", padded).drop("_features", "_raw", "_posterior", "_best")
 
 
-def rate(vector: list[float], p: Column, most: float | None) -> Column:
+def rate(vector: list[float] | list[Column], p: Column, most: float | None) -> Column:
     """The rate 1 - p . vector, projected onto the bounds."""
-    down = sum((F.get(p, i) * F.lit(float(v)) for i, v in enumerate(vector)), F.lit(0.0))
+    down = sum((F.get(p, i) * F.lit(v) for i, v in enumerate(vector)), F.lit(0.0))
     bounded = F.greatest(F.lit(1.0) - down, F.lit(0.0))
     return bounded if most is None else F.least(bounded, F.lit(float(most)))
 
@@ -160,22 +161,41 @@ def evaluator(rows: DataFrame, k: int, most: float | None) -> Evaluate | None:
         return None
     pairs = [(i, j) for i in range(k) for j in range(i + 1)]
 
+    # Vectors stand in the rows, not in the expressions: as literals their numbers would have the
+    # driver generate and compile new code for each evaluation.
+    entry = [F.get("v", i) for i in range(k)]
+    now, t = F.col("now"), F.col("t")
+    down = sum((share[i] * entry[i] for i in range(k)), F.lit(0.0))
+    free = (now > 0) if most is None else (now > 0) & (now < most)
+    sums = [
+        F.sum(t * ((now - 1) * (now - 1) / 2 + now * down)),
+        *[F.sum(t * now * share[i]) for i in range(k)],
+        *[F.sum(F.when(free, t * share[i] * share[j]).otherwise(0.0)) for i, j in pairs],
+    ]
+    known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
+
+    def ahead(vectors: list[np.ndarray]) -> None:
+        """Evaluate several vectors in one pass; only the last pass is remembered."""
+        known.clear()
+        tried = [
+            F.struct(F.lit(n).alias("at"), F.array(*[F.lit(float(x)) for x in vector]).alias("v"))
+            for n, vector in enumerate(vectors)
+        ]
+        beside = rows.select("p", tokens.alias("t"), F.inline(F.array(*tried)))
+        rated = beside.withColumn("now", rate(entry, F.col("p"), most))
+        for at, *told in rated.groupBy("at").agg(*sums).collect():
+            values = np.array(told, float) / total
+            overlap = np.zeros((k, k))
+            for (i, j), value in zip(pairs, values[k + 1 :], strict=True):
+                overlap[i, j] = overlap[j, i] = value
+            known[vectors[at].tobytes()] = values[0], values[1 : k + 1], overlap
+
     def evaluate(vector: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        now = F.col("now")
-        down = sum((share[i] * F.lit(float(v)) for i, v in enumerate(vector)), F.lit(0.0))
-        free = (now > 0) if most is None else (now > 0) & (now < most)
-        rated = rows.select("p", tokens.alias("t"), rate(list(vector), F.col("p"), most).alias("now"))
-        sums = rated.agg(
-            F.sum(F.col("t") * ((now - 1) * (now - 1) / 2 + now * down)),
-            *[F.sum(F.col("t") * now * share[i]) for i in range(k)],
-            *[F.sum(F.when(free, F.col("t") * share[i] * share[j]).otherwise(0.0)) for i, j in pairs],
-        ).first()
-        values = np.array(sums, float) / total
-        overlap = np.zeros((k, k))
-        for (i, j), value in zip(pairs, values[k + 1 :], strict=True):
-            overlap[i, j] = overlap[j, i] = value
-        return values[0], values[1 : k + 1], overlap
+        if vector.tobytes() not in known:
+            ahead([vector])
+        return known[vector.tobytes()]
 
+    evaluate.ahead = ahead
     return evaluate
 
 
@@ -206,6 +226,8 @@ def ascend(
         damping = ridge + 0.1 * np.linalg.norm(slope) / (1 + np.linalg.norm(vector))
         inner = basis.T @ overlap @ basis + damping * np.eye(basis.shape[1])
         step, size, stuck = np.linalg.solve(inner, slope), 1.0, True
+        if hasattr(evaluate, "ahead"):
+            evaluate.ahead([vector + size / 2**n * (basis @ step) for n in range(AHEAD)])
         while size > SHORTEST and used < MOST_STEPS:
             there = judged(vector + size * (basis @ step))
             used += 1
