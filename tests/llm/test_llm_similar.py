@@ -155,3 +155,39 @@ def test_nearest_links_join_what_links(spark, crowd):
     assert all(groups[r.a] == groups[r.b] and r.a < r.b for r in pairs)
     sizes = {g: list(groups.values()).count(g) for g in groups.values()}
     assert {x for r in pairs for x in (r.a, r.b)} == {n for n, g in groups.items() if sizes[g] > 1}
+
+
+def test_rounds_that_find_nothing_are_short(spark, monkeypatch):
+    """Nothing is compared or joined anew without candidates, and packs are made once; the driver plans no more than that."""
+    from tidemark.llm import components
+
+    made = []
+    real = similar.stored
+    for module in (similar, components):
+        monkeypatch.setattr(module, "stored", lambda df, label: made.append(label) or real(df, label))
+    shared = corpus.prose(9, 6)
+    apart = [(i, f"{shared} {corpus.prose(500 + i, 40)}") for i in range(20)]
+    docs = spark.createDataFrame(apart, "doc_id bigint, text string")
+    assert check_similar(apart, corpus.collected(similar.drop_similar(docs, fingerprints=True))) == 0
+    assert made.count("candidates") == similar.ROUNDS + 3
+    assert not {"similar", "labels", "hooked"} & {*made} and made.count("packs") == 1
+    made.clear()
+    rows = [*apart, (50, apart[3][1] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert check_similar(rows, corpus.collected(similar.drop_similar(docs))) == 1
+    assert made.count("candidates") == similar.ROUNDS + 2
+    assert made.count("similar") == made.count("hooked") == made.count("packs") == 1
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_keys_are_refined_only_where_crowded(spark, monkeypatch, crowd):
+    from tidemark.llm import simhash
+
+    made = []
+    real = simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, label: made.append(label) or real(df, label))
+    prints = spark.createDataFrame([(x,) for x in (0, 1, 2, 4, 7, 1 << 40)], "bits bigint")
+    links = {frozenset((r.a, r.b)) for r in simhash.links(prints, crowd).collect()}
+    assert made.count("keys") == (1 if crowd > 2 else 2)
+    if crowd > 2:
+        assert links == {frozenset(x) for x in [(0, 1), (0, 2), (0, 4), (0, 1 << 40), (1, 2), (1, 4), (2, 4), (1, 7), (2, 7), (4, 7), (1, 1 << 40), (2, 1 << 40), (4, 1 << 40)]}

@@ -15,33 +15,20 @@ def connected_components(links: DataFrame) -> DataFrame:
     then its label's label (pointer jumping), so long chains shrink by doubling. Sums
     over a hub's links combine map-side, joins on a hub can be split by adaptive
     execution, and each round's labels are stored in place of the last round's. Only the number of changed labels
-    comes to the driver. Self links and repeated links are harmless.
+    comes to the driver. Self links and repeated links are harmless. Each node is kept as a
+    neighbour of its own, so that one join brings its label along with the others'.
     """
-    forth = links.select("a", "b")
-    edges = stored(
-        forth.unionByName(forth.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .filter("a <> b")
-        .distinct(),
-        "links",
-    )
-    labels = stored(
-        edges.groupBy("a")
-        .agg(F.min("b").alias("lowest"))
-        .select(F.col("a").alias("node"), F.least("a", "lowest").alias("label")),
-        "labels",
-    )
+    ends = [F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"]
+    edges = stored(links.filter("a <> b").select(F.inline(F.array(*ends))).distinct(), "links")
     if edges.isEmpty():
-        return labels
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        offered = (
-            edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy("a")
-            .agg(F.min("label").alias("offer"))
-        )
+        own = F.when(F.col("a") == F.col("b"), F.col("label"))
         hooked = stored(
-            labels.select("node", "label").join(offered.withColumnRenamed("a", "node"), "node").select(
-                "node", F.col("label").alias("before"), F.least("label", "offer").alias("label")
-            ),
+            edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
+            .groupBy(F.col("a").alias("node"))
+            .agg(F.min(own).alias("before"), F.min("label").alias("label")),
             "hooked",
         )
         above = hooked.select(F.col("node").alias("label"), F.col("label").alias("top"))

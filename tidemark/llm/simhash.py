@@ -196,12 +196,17 @@ def _hubs(crowded: DataFrame) -> DataFrame:
 def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) with the components of all pairs at most ``LIMIT`` bits apart.
 
-    ``prints`` holds each fingerprint once, as ``bits``. A link's end may be a hub.
+    ``prints`` holds each fingerprint once, as ``bits``. A link's end may be a hub. Without
+    crowded keys there is nothing to refine, and without finer ones that are, no hubs.
     """
     few, many = _split(prints.select("bits", F.inline(_keys(F.col("bits")))), crowd)
+    found = _pairs(few)
+    if many.isEmpty():
+        return found
     finer = many.select("bits", "start").select("bits", F.inline(_refined_keys(F.col("bits"))))
     few_finer, still = _split(finer, crowd)
-    return _pairs(few).unionByName(_pairs(few_finer)).unionByName(_hubs(still))
+    found = found.unionByName(_pairs(few_finer))
+    return found if still.isEmpty() else found.unionByName(_hubs(still))
 
 
 def near_duplicates(

@@ -306,18 +306,25 @@ def similar_components(rows: DataFrame, rounds: int = ROUNDS, fingerprints: bool
     tested: list[DataFrame] = []
     labels: DataFrame | None = None
 
-    def verify(pairs: DataFrame) -> None:
-        """Test the candidates not met before, and join the components of those that are similar."""
+    def verify(pairs: DataFrame) -> bool:
+        """Test the candidates not met before, join the components of those that are similar; whether there are any.
+
+        Rounds often meet nobody new: then nothing is compared, and the components stay as they are.
+        """
         nonlocal labels
         new = reduce(lambda left, old: left.join(old, ["a", "b"], "left_anti"), tested, pairs.distinct())
-        tested.append(stored(new, "candidates"))
-        found = stored(_similar(tested[-1], texts), "similar")
-        links = found
-        if labels is not None:
+        found = candidates = stored(new, "candidates")
+        if not candidates.isEmpty():
+            tested.append(candidates)
+            found = stored(_similar(candidates, texts), "similar")
+        links, some = found, found is not candidates and not found.isEmpty()
+        if some and labels is not None:
             # What hung together before is told by a link to the component's label.
             links = found.unionByName(labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = connected_components(links)
+        joined = connected_components(links)
+        labels = joined if some or labels is None else labels
         discard(found)
+        return some
 
     if fingerprints:
         first = nearest_links(rows, SHINGLE)
@@ -341,23 +348,28 @@ def similar_components(rows: DataFrame, rounds: int = ROUNDS, fingerprints: bool
         )
 
     # First the nearest partner of each text, which joins most of a group; then all pairs across what is left.
+    # The packs stay as they are if the first of these has joined nothing.
+    packs: DataFrame | None = None
     for most in (1, None):
-        labelled = _labelled(every, labels)
-        sizes = _open_keys(labelled, F.ceil(F.count("*") / PACK).cast("int").alias("parts"))
-        part = F.pmod(F.xxhash64(F.lit(SEED), "n"), F.col("parts")).cast("int").alias("part")
-        packs = (
-            labelled.select("*", again)
-            .join(sizes.select("*", again), ["key", "_hash"])
-            .select("key", part, F.struct(*TEXT).alias("text"))
-            .groupBy("key", "part")
-            .agg(F.collect_list("text").alias("texts"))
-        )
-        packs = stored(packs, "packs")
+        if packs is None:
+            labelled = _labelled(every, labels)
+            sizes = _open_keys(labelled, F.ceil(F.count("*") / PACK).cast("int").alias("parts"))
+            part = F.pmod(F.xxhash64(F.lit(SEED), "n"), F.col("parts")).cast("int").alias("part")
+            packed = (
+                labelled.select("*", again)
+                .join(sizes.select("*", again), ["key", "_hash"])
+                .select("key", part, F.struct(*TEXT).alias("text"))
+                .groupBy("key", "part")
+                .agg(F.collect_list("text").alias("texts"))
+            )
+            packs = stored(packed, "packs")
         a = packs.select("key", F.col("part").alias("p"), F.col("texts").alias("a"))
         b = packs.select("key", F.col("part").alias("q"), F.col("texts").alias("b"))
         met = a.join(b, "key").filter("p <= q AND (p < q OR size(a) > 1)")
-        verify(met.select("a", "b", F.expr("p = q").alias("same")).mapInArrow(_across(most), "a bigint, b bigint"))
-        discard(packs)
+        some = verify(met.select("a", "b", F.expr("p = q").alias("same")).mapInArrow(_across(most), "a bigint, b bigint"))
+        if some or most is None:
+            discard(packs)
+            packs = None
     discard(*tested)
     return labels
 
