@@ -160,6 +160,54 @@ def test_hard_negatives_against_brute_force(spark, monkeypatch, pack):
     assert set(found) == wanted and len(wanted) > 500
 
 
+def test_hard_negatives_in_many_cells(spark, monkeypatch):
+    """Several blocks of anchors and slots of rows, with most rows as anchors and exact copies among them."""
+    monkeypatch.setattr(negatives, "PACK", 9)
+    monkeypatch.setattr(negatives, "BLOCK_BYTES", 1 << 13)
+    rows = clustered(6, 300)
+    rows += [(4000 + i, rows[i % 3][1], i % 2) for i in range(60)]
+    rng = np.random.default_rng(9)
+    for width in (2, 3, 300):  # also longer than those whose every pair is scored
+        rows += [(5000 + 100 * width + i, ((1 + rng.random(width)) * (1 + i % 4)).tolist(), i % 3) for i in range(40)]
+    found = corpus.collected(negatives.hard_negatives(table(spark, rows), F.col("vec_id") % 3 > 0))
+    assert len(found) == len(set(found))
+    rows = [(i, np.float32(v).tolist() if usable(v) else v, label) for i, v, label in rows]
+    wanted = brute_negatives(rows, lambda i: i % 3 > 0)
+    assert set(found) == wanted
+    assert {row[0] // 100 for row in wanted} > {52, 53, 350}
+
+
+def test_hard_negatives_keep_the_driver_small(spark, monkeypatch):
+    """Copies of the anchors are not broadcast, and the tasks' shares of the sample do not meet in the driver."""
+    plans, collected = {}, []
+    frame = type(spark.range(0))
+    real, collect = negatives.stored, frame.collect
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def spied(df):
+        collected.append(plan_of(df))
+        return collect(df)
+
+    monkeypatch.setattr(negatives, "stored", lambda df, label: plans.update({label: plan_of(df)}) or real(df, label))
+    monkeypatch.setattr(frame, "collect", spied)
+    rows = [(i, [float(np.float32(x)) for x in v], i % 4) for i, v in enumerate(np.random.default_rng(8).normal(size=(500, 6)))]
+    assert negatives.hard_negatives(table(spark, rows), F.col("vec_id") % 9 == 0).count() > 50
+    for label in ("near-rows", "window-rows"):
+        assert "MapInArrow" in plans[label] and "Broadcast" not in plans[label]
+    assert collected and not any("TakeOrdered" in plan for plan in collected)
+
+
+def test_sample_for_references_is_whole(spark, monkeypatch):
+    """The least hashes first, as if all were sorted; ids that repeat or lie above the bound leave it no shorter."""
+    monkeypatch.setattr(negatives, "SAMPLE", 10)
+    for ids in (list(range(500)), [7] * 500, [7] * 490 + list(range(10)), list(range(4)), []):
+        taken = spark.createDataFrame([(i, [float(i), float(k)]) for k, i in enumerate(ids)], "vec_id bigint, vector array<float>")
+        wanted = [x.vec_id for x in taken.select("vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(10).collect()]
+        assert sorted(int(v[0]) for v in negatives._sample(taken)) == sorted(wanted)
+
+
 def test_angles_bound_every_score():
     rng = np.random.default_rng(4)
     vectors = np.concatenate([rng.normal(size=(150, 8)), np.zeros((1, 8)), np.eye(8), -np.eye(8)])

@@ -6,15 +6,19 @@ inequality the angle between two rows is at least the largest difference of thei
 reference, and at most the smallest sum (a sum beyond the half turn counts from the full
 one). The two cosines times both lengths, rounded outwards, bound the score.
 
-Rows are packed with the intervals of their angles and lengths, and every pack of
-anchors meets every pack of rows, unless the intervals already rule out all scores
-wanted. Inside a pair of packs the rows' own bounds decide which pairs are scored:
-
-* for positives, those whose upper bound reaches the k-th best lower bound so far;
-* for negatives, those whose bounds overlap the window of one of the anchor's positives.
-
-Each pair of packs sends on at most the few best rows of an anchor (or of an anchor
-and positive), so the shuffles that follow move no group as a whole.
+Anchors and rows are packed by nearest reference. Every pack of anchors meets every pack of
+rows in one cell of a grid: a cell has a block of the anchors' packs, of bounded size,
+and the rows' packs of one slot, which stream past it. A row's bounds against
+the intervals of a pack decide, both ways, which rows of the two packs are scored at all:
+
+* for positives, those that can reach the anchor's k-th best score in the cell so far;
+* for negatives, those that can fall into the window of one of the anchor's positives
+  and reach the k-th best score in it so far.
+
+Where a score costs more than its bounds (long vectors, components beyond exact
+doubles), each pair's own bounds decide too. A cell sends on the few best rows of an anchor (or
+of an anchor and positive), so the shuffles that follow move no group as a whole. Nothing here is
+broadcast, and only the sample for the references reaches the driver.
 """
 
 from __future__ import annotations
@@ -44,11 +48,16 @@ PACK_BYTES = 1 << 20
 SCORES = 1 << 62  # no score may reach it: it bounds the quantised components of a vector
 SLACK = 1e-6  # radians; an angle's rounding is far smaller
 EXACT = 2.0**52  # whole numbers that doubles add without rounding
+EXACT_SINGLE = 2.0**23  # and single floats
+WIDE = 256  # components from which a score costs more than its bounds
+BLOCK_BYTES = 1 << 25  # of a block of anchors, about
+ANCHOR_BYTES = 128  # of an anchor beside its components, about
+CHUNK = 1 << 16  # rows of a batch that a cell sends on
 TINY = 1e-9
 
 PACKED = (
-    "pack bigint, width int, low array<double>, high array<double>, shortest double, longest double, "
-    "reach bigint, least bigint, keys binary, ids binary, labels binary, vectors binary, angles binary, windows binary"
+    "pack bigint, width int, reach bigint, "
+    "keys binary, ids binary, labels binary, vectors binary, angles binary, windows binary"
 )
 NAMES = [x.split()[0] for x in PACKED.split(", ")]
 
@@ -80,7 +89,7 @@ def angles_to(vectors: np.ndarray, directions: np.ndarray | None) -> np.ndarray:
     return np.arccos(np.clip(unit_rows(vectors) @ directions.T, -1.0, 1.0))
 
 
-def _packs(chosen: dict[int, np.ndarray], scale: int, windows: int):
+def _packs(chosen: dict[int, np.ndarray], scale: int):
     """Rows (key, vec_id, label, vector, windows) in packs of one width and nearest reference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,20 +99,14 @@ def _packs(chosen: dict[int, np.ndarray], scale: int, windows: int):
         def batch_of(width: int, rows: list) -> pa.RecordBatch:
             nonlocal number
             keys, ids, labels, vectors, angles, wanted = (np.array(x) for x in zip(*rows, strict=True))
-            lengths = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
-            least, greatest = wanted[:, :windows], wanted[:, windows:]
+            reach = int(np.abs(vectors).max(initial=0))
+            small = np.int16 if reach <= np.iinfo(np.int16).max else np.int32
             pack = (
-                number, width, angles.min(axis=0), angles.max(axis=0),
-                float(lengths.min()), float(lengths.max()), int(np.abs(vectors).max(initial=0)),
-                int(least[least <= greatest].min(initial=SCORES)),
-                *[x.astype(np.int64).tobytes() for x in (keys, ids, labels)],
-                vectors.astype(np.int32).tobytes(), angles.tobytes(), wanted.astype(np.int64).tobytes(),
+                number, width, reach, *[x.astype(np.int64).tobytes() for x in (keys, ids, labels)],
+                vectors.astype(small).tobytes(), angles.tobytes(), wanted.astype(np.int64).tobytes(),
             )
             number += 1
-            kinds = [
-                pa.int64(), pa.int32(), *[pa.list_(pa.float64())] * 2, *[pa.float64()] * 2,
-                *[pa.int64()] * 2, *[pa.binary()] * 6,
-            ]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 6]
             arrays = [pa.array([x], k) for x, k in zip(pack, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, NAMES)
 
@@ -133,18 +136,37 @@ def _packs(chosen: dict[int, np.ndarray], scale: int, windows: int):
 class Pack:
     """A pack's columns as arrays."""
 
-    def __init__(self, row: dict, side: str):
-        width = row["width"]
+    FIELDS = ("keys", "ids", "labels", "vectors", "angles", "windows", "lengths")
+
+    def __init__(self, row: dict, side: str = ""):
+        width, mark = row["width"], side and f"_{side}"
         self.keys, self.ids, self.labels = (
-            np.frombuffer(row[f"{x}_{side}"], np.int64) for x in ("keys", "ids", "labels")
+            np.frombuffer(row[f"{x}{mark}"], np.int64) for x in ("keys", "ids", "labels")
         )
         n = len(self.ids)
-        self.vectors = np.frombuffer(row[f"vectors_{side}"], np.int32).reshape(n, width)
-        self.angles = np.frombuffer(row[f"angles_{side}"], np.float64).reshape(n, -1)
-        self.windows = np.frombuffer(row[f"windows_{side}"], np.int64).reshape(n, -1)
-        self.reach = row[f"reach_{side}"]
+        vectors = row[f"vectors{mark}"]
+        self.vectors = np.frombuffer(vectors, np.int16 if len(vectors) == 2 * n * width else np.int32).reshape(n, width)
+        self.angles = np.frombuffer(row[f"angles{mark}"], np.float64).reshape(n, -1)
+        self.windows = np.frombuffer(row[f"windows{mark}"], np.int64).reshape(n, -1)
+        self.reach = row[f"reach{mark}"]
         self.lengths = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(axis=1))
 
+    def taken(self, at: np.ndarray) -> Pack:
+        """The rows at these places."""
+        new = Pack.__new__(Pack)
+        new.reach = self.reach
+        for x in self.FIELDS:
+            setattr(new, x, getattr(self, x)[at])
+        return new
+
+    @staticmethod
+    def joined(packs: list[Pack]) -> Pack:
+        new = Pack.__new__(Pack)
+        new.reach = max(x.reach for x in packs)
+        for x in Pack.FIELDS:
+            setattr(new, x, np.concatenate([getattr(pack, x) for pack in packs]))
+        return new
+
 
 def bounds(a: Pack, b: Pack) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest score of each pair of rows, rounded outwards."""
@@ -191,94 +213,210 @@ def best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, most: int) -> np.n
     return order[np.arange(len(r)) - first < most]
 
 
-def _positives(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                a, b = Pack(row, "a"), Pack(row, "b")
-                same = (a.labels[:, None] == b.labels[None, :]) & (a.ids[:, None] != b.ids[None, :])
-                if not same.any():
-                    continue
-                low, high = bounds(a, b)
-                low[~same] = -np.inf
-                if low.shape[1] > most:
-                    # Repeated rows must not raise the bar: an id counts once.
-                    _, first = np.unique(b.ids, return_index=True)
-                    once = low[:, first]
-                    if once.shape[1] > most:
-                        bar = np.partition(once, once.shape[1] - most, axis=1)[:, -most]
-                        same &= high >= bar[:, None]
-                score = scores(a, b, same)
-                i, j = np.nonzero(same)
-                kept = best(i, b.ids[j], score[i, j], most)
-                i, j = i[kept], j[kept]
-                columns = [pa.array(x) for x in (a.keys[i], b.ids[j], score[i, j])]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "other", "score"])
+def spans(a: Pack, b: Pack) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest score of each row of ``a`` with any row of ``b``, rounded outwards.
 
-    return run
+    Only the intervals of the angles and lengths of ``b`` count.
+    """
+    low, high = b.angles.min(axis=0), b.angles.max(axis=0)
+    short, long = a.lengths * b.lengths.min(), a.lengths * b.lengths.max()
+    apart = np.maximum(a.angles - high, low - a.angles).max(axis=1, initial=0.0)
+    within = np.minimum(a.angles + high, 2 * np.pi - a.angles - low).min(axis=1, initial=np.pi)
+    most, least = np.cos(np.maximum(apart - SLACK, 0.0)), np.cos(np.minimum(within + SLACK, np.pi))
+    margin = TINY * long + 1.0
+    greatest = most * np.where(most >= 0, long, short) + margin
+    return np.floor(least * np.where(least >= 0, short, long) - margin), np.ceil(greatest)
+
+
+def pairs_within(a: Pack, b: Pack, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places in ``a`` and in ``b`` of the pairs that score from ``low`` to ``high``, given by row of ``a``, and their scores."""
+    least, greatest = spans(a, b)
+    rows = np.flatnonzero((low <= high) & (greatest >= low) & (least <= high))
+    if not len(rows):
+        return rows, rows, rows
+    if len(rows) < len(a.ids):
+        a, low, high = a.taken(rows), low[rows], high[rows]
+    least, greatest = spans(b, a)
+    columns = np.flatnonzero((greatest >= low.min()) & (least <= high.max()))
+    if not len(columns):
+        return columns, columns, columns
+    if len(columns) < len(b.ids):
+        b = b.taken(columns)
+    largest = float(a.reach) * float(b.reach) * a.vectors.shape[1]
+    if largest <= EXACT and a.vectors.shape[1] < WIDE:
+        # Limits beyond the exact whole numbers are rounded, but no score lies there.
+        kind = np.float32 if largest <= EXACT_SINGLE else np.float64
+        score = a.vectors.astype(kind) @ b.vectors.astype(kind).T
+        fits = score >= low[:, None].astype(kind)
+        if high.min() < SCORES:
+            fits &= score <= high[:, None].astype(kind)
+    else:
+        least, greatest = bounds(a, b)
+        fits = (greatest >= low[:, None]) & (least <= high[:, None])
+        score = scores(a, b, fits)
+        fits &= (score >= low[:, None]) & (score <= high[:, None])
+    i, j = np.nonzero(fits)
+    return rows[i], columns[j], score[i, j].astype(np.int64)
+
+
+class Leaders:
+    """The best few (other, score) of each of many rows, as more and more are offered."""
+
+    def __init__(self, rows: int, most: int):
+        self.most = most
+        self.bar = np.full(rows, -SCORES)  # the score to reach, and by ties the id to stay below
+        self.bar_other = np.full(rows, np.iinfo(np.int64).max)
+        self.held = [tuple(np.zeros(0, np.int64) for _ in range(3))]
+        self.waiting, self.room = 0, max(1 << 15, rows * most)
+
+    def offer(self, row: np.ndarray, other: np.ndarray, score: np.ndarray) -> None:
+        bar = self.bar[row]
+        fits = (score > bar) | ((score == bar) & (other <= self.bar_other[row]))
+        if fits.any():
+            self.held.append((row[fits], other[fits], score[fits]))
+            self.waiting += len(self.held[-1][0])
+            if self.waiting > self.room:
+                self.settle()
+
+    def settle(self) -> tuple[np.ndarray, ...]:
+        """Rows, others and scores of the best so far, by row."""
+        row, other, score = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        kept = best(row, other, score, self.most)
+        row, other, score = row[kept], other[kept], score[kept]
+        self.held, self.waiting = [(row, other, score)], 0
+        last = np.flatnonzero(np.append(row[1:] != row[:-1], True)) if len(row) else kept
+        full = last[np.diff(last, prepend=-1) == self.most]
+        self.bar[row[full]], self.bar_other[row[full]] = score[full], other[full]
+        return row, other, score
+
+
+class Block:
+    """The anchors of a cell that have one width, by nearest reference, and their best rows so far."""
+
+    def __init__(self, packs: list[Pack], most: int, windows: int, size: int):
+        anchors = Pack.joined(packs)
+        if anchors.angles.shape[1]:
+            anchors = anchors.taken(np.argsort(anchors.angles.argmin(axis=1), kind="stable"))
+        self.keys, self.windows = anchors.keys, windows
+        self.leaders = Leaders(len(self.keys) * max(1, windows), most)
+        self.parts = [
+            (k, anchors.taken(np.arange(k, min(k + size, len(self.keys))))) for k in range(0, len(self.keys), size)
+        ]
+
+    def meet(self, b: Pack) -> None:
+        for start, a in self.parts:
+            if self.windows:
+                self._negatives(start, a, b)
+            else:
+                self._positives(start, a, b)
+
+    def _positives(self, start: int, a: Pack, b: Pack) -> None:
+        low = self.leaders.bar[start : start + len(a.ids)]
+        i, j, score = pairs_within(a, b, low, np.full(len(a.ids), SCORES))
+        fits = (a.labels[i] == b.labels[j]) & (a.ids[i] != b.ids[j])
+        self.leaders.offer(start + i[fits], b.ids[j[fits]], score[fits])
+
+    def _negatives(self, start: int, a: Pack, b: Pack) -> None:
+        n, count = len(a.ids), self.windows
+        least, greatest = a.windows[:, :count], a.windows[:, count:]
+        bar = self.leaders.bar[start * count : (start + n) * count].reshape(n, count)
+        low, open_ = np.maximum(least, bar), least <= greatest
+        i, j, score = pairs_within(
+            a, b, np.where(open_, low, SCORES).min(axis=1), np.where(open_, greatest, -SCORES).max(axis=1)
+        )
+        differ = a.labels[i] != b.labels[j]
+        i, j, score = i[differ], j[differ], score[differ]
+        for p in range(count):
+            fits = open_[i, p] & (score >= low[i, p]) & (score <= greatest[i, p])
+            self.leaders.offer((start + i[fits]) * count + p, b.ids[j[fits]], score[fits])
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        row, other, score = self.leaders.settle()
+        columns = {"key": self.keys[row // max(1, self.windows)], "other": other, "score": score}
+        if self.windows:
+            columns["nth"] = (row % self.windows + 1).astype(np.int32)
+        for k in range(0, len(row), CHUNK):
+            yield pa.RecordBatch.from_pydict({x: pa.array(y[k : k + CHUNK]) for x, y in columns.items()})
 
 
-def _negatives(most: int, positives: int):
+def _cells(most: int, windows: int = 0):
+    """Best rows of each cell's anchors; a cell's anchors come first, then its rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, waiting, blocks = None, {}, {}
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                a, b = Pack(row, "a"), Pack(row, "b")
-                low, high = bounds(a, b)
-                differ = a.labels[:, None] != b.labels[None, :]
-                least, greatest = a.windows[:, :positives], a.windows[:, positives:]
-                wanted = np.zeros_like(differ)
-                for p in range(positives):
-                    open_ = least[:, p] <= greatest[:, p]
-                    wanted |= (
-                        open_[:, None] & (low <= greatest[:, p, None]) & (high >= least[:, p, None])
-                    )
-                wanted &= differ
-                if not wanted.any():
+                if row["cell"] != cell:
+                    for block in blocks.values():
+                        yield from block.found()
+                    cell, waiting, blocks = row["cell"], {}, {}
+                width = row["width"]
+                if row["side"] == 0:
+                    waiting.setdefault(width, []).append(Pack(row))
                     continue
-                score = scores(a, b, wanted)
-                for p in range(positives):
-                    fits = wanted & (score >= least[:, p, None]) & (score <= greatest[:, p, None])
-                    i, j = np.nonzero(fits)
-                    if not len(i):
-                        continue
-                    kept = best(i, b.ids[j], score[i, j], most)
-                    i, j = i[kept], j[kept]
-                    nth = np.full(len(i), p + 1, np.int32)
-                    columns = [pa.array(x) for x in (a.keys[i], nth, b.ids[j], score[i, j])]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "nth", "other", "score"])
+                if width in waiting:
+                    size = max(1, min(PACK, PACK_BYTES // (4 * width)))
+                    blocks[width] = Block(waiting.pop(width), most, windows, size)
+                if width in blocks:
+                    blocks[width].meet(Pack(row))
+        for block in blocks.values():
+            yield from block.found()
 
     return run
 
 
-def _meeting(anchors: DataFrame, packs: DataFrame, near: Column | None) -> DataFrame:
-    """Every pack of anchors beside every pack of rows of its width, in blocks.
+def _grid(anchors: DataFrame, packs: DataFrame) -> tuple[int, int]:
+    """Blocks of anchors, each of bounded size, and slots of rows.
 
-    Rows' packs stay in one slot each; the packs of anchors, the smaller side, go to
-    all slots. ``near`` may rule pairs out by the columns of both sides.
+    All anchors go to every slot and all rows to every block, so there are only as many slots
+    as make the anchors' copies about as large as the rows', or keep all cores busy.
     """
-    slots = int(anchors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = anchors.select("width", *[F.col(x).alias(f"{x}_a") for x in NAMES if x != "width"])
-    b = packs.select("width", *[F.col(x).alias(f"{x}_b") for x in NAMES if x != "width"])
-    a = a.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    b = b.withColumn("slot", F.pmod(F.xxhash64("pack_b"), F.lit(slots)).cast("int"))
-    met = b.join(a, ["slot", "width"])
-    needed = [f"{x}_{side}" for side in "ab" for x in ("keys", "ids", "labels", "vectors", "angles", "windows", "reach")]
-    return (met if near is None else met.filter(near)).select("width", *needed)
-
-
-def _in_window() -> Column:
-    """Whether the score interval of two packs overlaps the span of the anchors' windows."""
-    axes = F.zip_with(
-        F.arrays_zip(F.col("low_a").alias("l"), F.col("high_a").alias("h")),
-        F.arrays_zip(F.col("low_b").alias("l"), F.col("high_b").alias("h")),
-        lambda x, y: F.greatest(F.lit(0.0), x["l"] - y["h"], y["l"] - x["h"]),
-    )
-    cosine = F.cos(F.greatest(F.lit(0.0), F.coalesce(F.array_max(axes), F.lit(0.0)) - SLACK))
-    long, short = F.col("longest_a") * F.col("longest_b"), F.col("shortest_a") * F.col("shortest_b")
-    high = cosine * F.when(cosine >= 0, long).otherwise(short) + TINY * long + 1.0
-    return high >= F.col("least_a").cast("double") * (1 - TINY)
+    spark = anchors.sparkSession
+    held = F.sum(F.octet_length("ids") / 8 * (4 * F.col("width") + ANCHOR_BYTES))
+    of_anchors, of_rows = (df.agg(held).first()[0] or 1 for df in (anchors, packs))
+    blocks = math.ceil(of_anchors / BLOCK_BYTES)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return blocks, max(1, min(most, max(2 * spark.sparkContext.defaultParallelism, int(blocks * of_rows / of_anchors))))
+
+
+def _meeting(anchors: DataFrame, packs: DataFrame, run, schema: str) -> DataFrame:
+    """What ``run`` makes of the cells: every pack of anchors beside every pack of rows of its width.
+
+    Both sides are dealt out by cell and sorted, and ``run`` keeps a cell's anchors: no join, so no side
+    is ever broadcast on the size it has before it is copied.
+    """
+    blocks, slots = _grid(anchors, packs)
+
+    def dealt(df: DataFrame, side: int, cell: str) -> DataFrame:
+        return df.select(F.expr(f"explode({cell})").alias("cell"), F.lit(side).alias("side"), *NAMES)
+
+    def turn(n: int) -> str:
+        return f"CAST(pmod(xxhash64(pack), {n}) AS INT)"
+
+    every_slot = dealt(anchors, 0, f"transform(sequence(0, {slots - 1}), x -> {turn(blocks)} * {slots} + x)")
+    every_block = dealt(packs, 1, f"transform(sequence(0, {blocks - 1}), x -> x * {slots} + {turn(slots)})")
+    cells = every_slot.unionByName(every_block).repartitionById(blocks * slots, F.col("cell"))
+    return cells.sortWithinPartitions("cell", "side").mapInArrow(run, schema)
+
+
+def _sample(taken: DataFrame) -> list[list[float]]:
+    """The vectors that the references are chosen from: those with the least hashes of their ids.
+
+    Tasks merge them, so that the driver gets the sample only, not one of each task. A bound on the
+    hash leaves out most other rows before; if too few ids lie below it, all rows are sorted.
+    """
+    size = taken.agg(F.max(F.size("vector")), F.count("*")).first()
+    most = max(REFERENCES, min(SAMPLE, SAMPLE_BYTES // (8 * (size[0] or 1))))
+    wanted, hashed = min(most, size[1]), F.xxhash64("vec_id")
+    share = 4 * most / max(1, size[1])
+    for below in (taken.filter(hashed < F.lit(int(share * 2.0**64) - (1 << 63))), taken) if share < 1 else (taken,):
+        ordered = stored(below.select("vector", "vec_id").orderBy(hashed, "vec_id").limit(most).select("vector"), "sample")
+        sample = ordered.collect()
+        discard(ordered)
+        if len(sample) == wanted:
+            break
+    return [row["vector"] for row in sample]
 
 
 def hard_negatives(
@@ -317,14 +455,10 @@ def hard_negatives(
         F.col(f"`{vector}`").alias("vector"),
         F.coalesce(anchors, F.lit(False)).alias("anchor"),
     ).filter("vec_id IS NOT NULL AND label IS NOT NULL")
-    kind = taken.schema["vector"].dataType.simpleString()
-    longest = taken.agg(F.max(F.size("vector"))).first()[0] or 1
-    most = max(REFERENCES, min(SAMPLE, SAMPLE_BYTES // (8 * longest)))
-    sample = taken.select("vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).collect()
-    chosen = references([row["vector"] for row in sample])
-
-    def packed(source: DataFrame, windows: int = 0) -> DataFrame:
-        run = _packs(chosen, scale, windows)
+    chosen = references(_sample(taken))
+
+    def packed(source: DataFrame) -> DataFrame:
+        run = _packs(chosen, scale)
         return source.select("key", "vec_id", "label", "vector", "windows").mapInArrow(run, PACKED)
 
     none = F.lit(None).cast("array<bigint>").alias("windows")
@@ -345,7 +479,7 @@ def hard_negatives(
 
     first = stored(packed(named.select("*", none)), "anchor-packs")
     near = stored(
-        _meeting(first, packs, None).mapInArrow(_positives(positives), "key bigint, other bigint, score bigint"),
+        _meeting(first, packs, _cells(positives), "key bigint, other bigint, score bigint"),
         "near-rows",
     )
     best_rows = stored(top(near, ["key"], positives).select("key", "rank", "other", "score"), "positives")
@@ -361,12 +495,10 @@ def hard_negatives(
     )
     both = F.concat(F.transform(listed, lambda x: x["least"]), F.transform(listed, lambda x: x["greatest"]))
     second = stored(
-        packed(named.join(by_rank.select("key", both.alias("windows")), "key"), positives), "window-packs"
+        packed(named.join(by_rank.select("key", both.alias("windows")), "key")), "window-packs"
     )
     found = stored(
-        _meeting(second, packs, _in_window()).mapInArrow(
-            _negatives(negatives, positives), "key bigint, nth int, other bigint, score bigint"
-        ),
+        _meeting(second, packs, _cells(negatives, positives), "key bigint, other bigint, score bigint, nth int"),
         "window-rows",
     )
     best_negatives = top(found, ["key", "nth"], negatives).select(
