@@ -1,7 +1,7 @@
 """Hard negatives by angular triangle filtering.
 
 Each vector is quantised to whole numbers; a score is the integer inner product of two
-of them. Every row stores its angles to a few reference directions. By the triangle
+of them. Every row has its angles to a few reference directions. By the triangle
 inequality the angle between two rows is at least the largest difference of their angles to a
 reference, and at most the smallest sum (a sum beyond the half turn counts from the full
 one). The two cosines times both lengths, rounded outwards, bound the score.
@@ -57,7 +57,7 @@ TINY = 1e-9
 
 PACKED = (
     "pack bigint, width int, reach bigint, "
-    "keys binary, ids binary, labels binary, vectors binary, angles binary, windows binary"
+    "keys binary, ids binary, labels binary, vectors binary, windows binary"
 )
 NAMES = [x.split()[0] for x in PACKED.split(", ")]
 
@@ -98,15 +98,15 @@ def _packs(chosen: dict[int, np.ndarray], scale: int):
 
         def batch_of(width: int, rows: list) -> pa.RecordBatch:
             nonlocal number
-            keys, ids, labels, vectors, angles, wanted = (np.array(x) for x in zip(*rows, strict=True))
+            keys, ids, labels, vectors, wanted = (np.array(x) for x in zip(*rows, strict=True))
             reach = int(np.abs(vectors).max(initial=0))
             small = np.int16 if reach <= np.iinfo(np.int16).max else np.int32
             pack = (
                 number, width, reach, *[x.astype(np.int64).tobytes() for x in (keys, ids, labels)],
-                vectors.astype(small).tobytes(), angles.tobytes(), wanted.astype(np.int64).tobytes(),
+                vectors.astype(small).tobytes(), wanted.astype(np.int64).tobytes(),
             )
             number += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 6]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
             arrays = [pa.array([x], k) for x, k in zip(pack, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, NAMES)
 
@@ -124,7 +124,7 @@ def _packs(chosen: dict[int, np.ndarray], scale: int):
                 for i in np.flatnonzero(fits).tolist():
                     key, vec_id, label, wanted = (x[int(at[i])] for x in names)
                     mine = waiting.setdefault((width, int(near[i])), [])
-                    mine.append((key, vec_id, label, whole[i], angles[i], wanted or []))
+                    mine.append((key, vec_id, label, whole[i], wanted or []))
                     if len(mine) == room:
                         yield batch_of(width, waiting.pop((width, int(near[i]))))
         for (width, _), rows in waiting.items():
@@ -134,11 +134,11 @@ def _packs(chosen: dict[int, np.ndarray], scale: int):
 
 
 class Pack:
-    """A pack's columns as arrays."""
+    """A pack's columns as arrays; angles that were not kept are counted again."""
 
     FIELDS = ("keys", "ids", "labels", "vectors", "angles", "windows", "lengths")
 
-    def __init__(self, row: dict, side: str = ""):
+    def __init__(self, row: dict, side: str = "", directions: np.ndarray | None = None):
         width, mark = row["width"], side and f"_{side}"
         self.keys, self.ids, self.labels = (
             np.frombuffer(row[f"{x}{mark}"], np.int64) for x in ("keys", "ids", "labels")
@@ -146,7 +146,11 @@ class Pack:
         n = len(self.ids)
         vectors = row[f"vectors{mark}"]
         self.vectors = np.frombuffer(vectors, np.int16 if len(vectors) == 2 * n * width else np.int32).reshape(n, width)
-        self.angles = np.frombuffer(row[f"angles{mark}"], np.float64).reshape(n, -1)
+        angles = row.get(f"angles{mark}")
+        if angles is None:
+            self.angles = angles_to(self.vectors.astype(np.float64), directions)
+        else:
+            self.angles = np.frombuffer(angles, np.float64).reshape(n, -1)
         self.windows = np.frombuffer(row[f"windows{mark}"], np.int64).reshape(n, -1)
         self.reach = row[f"reach{mark}"]
         self.lengths = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(axis=1))
@@ -339,7 +343,7 @@ class Block:
             yield pa.RecordBatch.from_pydict({x: pa.array(y[k : k + CHUNK]) for x, y in columns.items()})
 
 
-def _cells(most: int, windows: int = 0):
+def _cells(chosen: dict[int, np.ndarray], most: int, windows: int = 0):
     """Best rows of each cell's anchors; a cell's anchors come first, then its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,13 +357,13 @@ def _cells(most: int, windows: int = 0):
                     cell, waiting, blocks = row["cell"], {}, {}
                 width = row["width"]
                 if row["side"] == 0:
-                    waiting.setdefault(width, []).append(Pack(row))
+                    waiting.setdefault(width, []).append(Pack(row, directions=chosen.get(width)))
                     continue
                 if width in waiting:
                     size = max(1, min(PACK, PACK_BYTES // (4 * width)))
                     blocks[width] = Block(waiting.pop(width), most, windows, size)
                 if width in blocks:
-                    blocks[width].meet(Pack(row))
+                    blocks[width].meet(Pack(row, directions=chosen.get(width)))
         for block in blocks.values():
             yield from block.found()
 
@@ -479,7 +483,7 @@ def hard_negatives(
 
     first = stored(packed(named.select("*", none)), "anchor-packs")
     near = stored(
-        _meeting(first, packs, _cells(positives), "key bigint, other bigint, score bigint"),
+        _meeting(first, packs, _cells(chosen, positives), "key bigint, other bigint, score bigint"),
         "near-rows",
     )
     best_rows = stored(top(near, ["key"], positives).select("key", "rank", "other", "score"), "positives")
@@ -498,7 +502,7 @@ def hard_negatives(
         packed(named.join(by_rank.select("key", both.alias("windows")), "key")), "window-packs"
     )
     found = stored(
-        _meeting(second, packs, _cells(negatives, positives), "key bigint, other bigint, score bigint, nth int"),
+        _meeting(second, packs, _cells(chosen, negatives, positives), "key bigint, other bigint, score bigint, nth int"),
         "window-rows",
     )
     best_negatives = top(found, ["key", "nth"], negatives).select(
